@@ -29,7 +29,7 @@ def _plain(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
-        return value + 0.0
+        return repr(value)
     if hasattr(value, "item"):
         return _plain(value.item())
     return value
