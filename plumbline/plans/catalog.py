@@ -631,8 +631,8 @@ def qq_table(spark, sf_dir):
     return rounded(out, theoretical=6, fitted=5)
 
 
-@query(LINEAR + """, an AS (SELECT i AS anchor, quantile_cont(prediction, i / 19.0::DOUBLE) AS x0
-       FROM sc, range(20) g(i) GROUP BY i),
+@query(LINEAR + f""", an AS (SELECT unnest(range(20)) AS anchor,
+       unnest(quantile_cont(prediction, [{", ".join(repr(i / 19) for i in range(20))}])) AS x0 FROM sc),
 h AS (SELECT anchor, x0, list_sort(list(abs(prediction - x0)))[CAST(floor(0.3 * count(*) + 1e-10) AS BIGINT)] AS h
       FROM an, sc GROUP BY anchor, x0),
 w AS (SELECT anchor, x0, prediction - x0 AS d, residual AS y, pow(1 - pow(abs(prediction - x0) / h, 3), 3) AS w
@@ -755,7 +755,7 @@ sk AS (SELECT {", ".join(f"avg(pow({c} - m_{c}, 3)) / pow(avg(pow({c} - m_{c}, 2
 """ + ", ".join(
     f"d_{c} AS (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS code FROM (SELECT DISTINCT {c} FROM tr))" for c in _CODED
 ) + f""" SELECT o_orderkey, {r("sale_price", 6)} AS sale_price,
-       {", ".join(f"{r(_boxed(c), 4)} AS {c}" for c in _BOXED)}, {r("enc", 3)} AS n_name_encoded,
+       {", ".join(f"{r(_boxed(c), 5)} AS {c}" for c in _BOXED)}, {r("enc", 3)} AS n_name_encoded,
        {", ".join(f"d_{c}.code AS {c}" for c in _CODED)}
 FROM v JOIN en USING (n_name), sk, {", ".join(f"d_{c}" for c in _CODED)}
 WHERE {" AND ".join(f"d_{c}.{c} = v.{c}" for c in _CODED)}""")
@@ -767,7 +767,7 @@ def feature_stages_transform(spark, sf_dir):
     out = model.transform(frame)
     return out.select(
         ID, F.round(TARGET, 6).alias(TARGET),
-        *[F.round(F.col(c).cast("double"), 4).alias(c) for c in _BOXED],
+        *[F.round(F.col(c).cast("double"), 5).alias(c) for c in _BOXED],
         F.round("n_name_encoded", 3).alias("n_name_encoded"), *_CODED,
     )
 
