@@ -8,7 +8,7 @@ from functools import reduce
 from statistics import NormalDist
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FIT, QUALITY
@@ -103,7 +103,8 @@ def run_together(tasks: list, parallelism: int = FIT.parallelism) -> list:
     if len(tasks) == 1 or parallelism <= 1:
         return [t() for t in tasks]
     with ThreadPoolExecutor(parallelism) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in tasks]]
+        inherit = inheritable_thread_target(SparkSession.active())
+        return [f.result() for f in [pool.submit(inherit(t)) for t in tasks]]
 
 
 def held_out_predictions(
