@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +26,14 @@ class Lookup:
 
 def settle(df: DataFrame, weight: str | None = None) -> Lookup:
     """Computes ``df`` once: held as a local relation when small, checkpointed otherwise."""
-    head = df.limit(BROADCAST_ROWS + 1).toArrow()
-    if head.num_rows <= BROADCAST_ROWS and head.nbytes <= BROADCAST_BYTES:
-        return Lookup(df.sparkSession.createDataFrame(head, schema=df.schema), True, weight)
-    return Lookup(cut_lineage(df), False, weight)
+    once = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        head = once.limit(BROADCAST_ROWS + 1).toArrow()
+        if head.num_rows <= BROADCAST_ROWS and head.nbytes <= BROADCAST_BYTES:
+            return Lookup(df.sparkSession.createDataFrame(head, schema=df.schema), True, weight)
+        return Lookup(cut_lineage(once), False, weight)
+    finally:
+        once.unpersist()
 
 
 def _hot_rows(lookup: Lookup) -> DataFrame:

@@ -126,6 +126,32 @@ def _gather(narrow: DataFrame, rest: list[_Bracket]) -> None:
                 b.value, b.found = value, True
 
 
+def _solve(
+    narrow: DataFrame, names: list[str], ranks: dict[str, list[int]], counts: dict[str, int]
+) -> dict[str, list]:
+    """Values at the wanted ranks; column ``v<i>`` of ``narrow`` holds ``names[i]``."""
+    brackets = [_Bracket(i, r, counts[n]) for i, n in enumerate(names) for r in ranks.get(n, [])]
+    active = [b for b in brackets if b.inside > GATHER_ROWS]
+    while active:
+        _narrow(narrow, active)
+        active = [b for b in active if not b.found and b.inside > GATHER_ROWS]
+    rest = [b for b in brackets if not b.found]
+    if rest:
+        _gather(narrow, rest)
+    out: dict[str, list] = {n: [] for n in names}
+    for b in brackets:
+        out[names[b.column]].append(b.value)
+    return out
+
+
+def _counts(narrow: DataFrame, names: list[str]) -> dict[str, int]:
+    counts: dict[str, int] = {}
+    for part in batches(list(enumerate(names)), 200):
+        row = narrow.agg(*[F.count(f"v{i}").alias(f"n{i}") for i, _ in part]).first()
+        counts.update({n: c for (_, n), c in zip(part, row)})
+    return counts
+
+
 def kth_values(
     df: DataFrame,
     values: dict[str, Column],
@@ -133,30 +159,19 @@ def kth_values(
     counts: dict[str, int] | None = None,
 ) -> dict[str, list]:
     """The values at 0-based ``ranks`` of each named expression; NULLs are ignored."""
-    names = [n for n in values if ranks.get(n)]
-    if not names:
-        return {n: [] for n in values}
+    names = list(values)
     narrow = df.select(*[values[n].alias(f"v{i}") for i, n in enumerate(names)])
-    if counts is None:
-        row = narrow.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(names))]).first()
-        counts = dict(zip(names, row))
-    brackets = [_Bracket(i, r, counts[n]) for i, n in enumerate(names) for r in ranks[n]]
-    active = [b for b in brackets if b.inside > GATHER_ROWS]
-    if active:
-        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    # every pass reads only these columns; joins above them run once
+    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        while active:
-            _narrow(narrow, active)
-            active = [b for b in active if not b.found and b.inside > GATHER_ROWS]
-        rest = [b for b in brackets if not b.found]
-        if rest:
-            _gather(narrow, rest)
+        return _solve(narrow, names, ranks, counts or _counts(narrow, names))
     finally:
         narrow.unpersist()
-    out: dict[str, list] = {n: [] for n in values}
-    for b in brackets:
-        out[names[b.column]].append(b.value)
-    return out
+
+
+def _positions(shares: list[float], n: int) -> list[tuple[float, int, int]]:
+    exact = [p * (n - 1) for p in shares]
+    return [(x, math.floor(x), math.ceil(x)) for x in exact]
 
 
 def exact_quantiles(
@@ -165,34 +180,25 @@ def exact_quantiles(
     """Linearly interpolated quantiles of several expressions; NULL for empty ones."""
     names = list(values)
     narrow = df.select(*[values[n].cast("double").alias(f"v{i}") for i, n in enumerate(names)])
-    counts: dict[str, int] = {}
-    for part in batches(list(enumerate(names)), 200):
-        row = narrow.agg(*[F.count(f"v{i}").alias(f"n{i}") for i, _ in part]).first()
-        counts.update({n: c for (_, n), c in zip(part, row)})
-    result: dict[str, list[float | None]] = {n: [None] * len(shares) for n in names}
-    small = [(i, n) for i, n in enumerate(names) if 0 < counts[n] <= DIRECT_ROWS]
-    large = [(i, n) for i, n in enumerate(names) if counts[n] > DIRECT_ROWS]
-    if small:
-        most = max(counts[n] for _, n in small)
-        for part in batches(small, max(1, min(WIDTH, 4_000_000 // most))):
-            row = narrow.agg(*[F.percentile(f"v{i}", list(shares)).alias(f"q{i}") for i, _ in part]).first()
-            result.update({n: list(q) for (_, n), q in zip(part, row)})
-    if large:
-        ranks = {}
-        for _, n in large:
-            wanted = set()
-            for p in shares:
-                position = p * (counts[n] - 1)
-                wanted |= {math.floor(position), math.ceil(position)}
-            ranks[n] = sorted(wanted)
-        found = kth_values(narrow, {n: F.col(f"v{i}") for i, n in large}, ranks, counts)
-        for _, n in large:
-            at = dict(zip(ranks[n], found[n]))
-            for k, p in enumerate(shares):
-                position = p * (counts[n] - 1)
-                low, high = math.floor(position), math.ceil(position)
-                if low == high:
-                    result[n][k] = at[low]
-                else:
-                    result[n][k] = (high - position) * at[low] + (position - low) * at[high]
-    return result
+    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = _counts(narrow, names)
+        result: dict[str, list[float | None]] = {n: [None] * len(shares) for n in names}
+        small = [(i, n) for i, n in enumerate(names) if 0 < counts[n] <= DIRECT_ROWS]
+        if small:
+            most = max(counts[n] for _, n in small)
+            for part in batches(small, max(1, min(WIDTH, 4_000_000 // most))):
+                row = narrow.agg(*[F.percentile(f"v{i}", list(shares)).alias(f"q{i}") for i, _ in part]).first()
+                result.update({n: list(q) for (_, n), q in zip(part, row)})
+        places = {n: _positions(shares, counts[n]) for n in names if counts[n] > DIRECT_ROWS}
+        if places:
+            ranks = {n: sorted({r for _, a, z in at for r in (a, z)}) for n, at in places.items()}
+            found = _solve(narrow, names, ranks, counts)
+            for n, at in places.items():
+                value = dict(zip(ranks[n], found[n]))
+                result[n] = [
+                    value[a] if a == z else (z - x) * value[a] + (x - a) * value[z] for x, a, z in at
+                ]
+        return result
+    finally:
+        narrow.unpersist()

@@ -173,9 +173,9 @@ def lowess_grid(
     Rows fan out only to the anchors whose window holds them and are reduced to five
     sums per anchor before the shuffle, so what moves is one row per anchor and task.
     """
-    grid = lowess_anchors(df, x, frac, anchors)
     points = df.select(as_double(df, x).alias("x"), as_double(df, y).alias("y")).dropna()
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    grid = lowess_anchors(points, "x", frac, anchors)
     window = _anchor_array(grid)
 
     def windowed(rows: DataFrame) -> DataFrame:
@@ -217,9 +217,11 @@ def moments(df: DataFrame, columns: Sequence[str]) -> tuple[int, np.ndarray, np.
     names = [f"c{i}" for i in range(len(columns))]
     narrow = df.select(*[as_double(df, c).alias(n) for c, n in zip(columns, names)]).dropna()
     vectors = VectorAssembler(inputCols=names, outputCol="v").transform(narrow).select("v")
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     stats = vectors.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("v")).alias("s")).first()["s"]
     spread = np.sqrt(np.asarray(stats["variance"].toArray(), dtype=float))
     matrix = np.nan_to_num(Correlation.corr(vectors, "v").first()[0].toArray())
+    vectors.unpersist()
     np.fill_diagonal(matrix, np.where(spread > 0, 1.0, 0.0))
     return int(stats["count"]), np.asarray(stats["mean"].toArray()), matrix * np.outer(spread, spread)
 

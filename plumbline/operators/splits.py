@@ -58,9 +58,10 @@ def first_k(
     targets = default(apply_to, order)
     picked = F.lit(False)
     open_groups = {}
-    sizes = df.agg(*[F.count_if(m).alias(f"n{g}") for g, (m, _) in wanted.items()]).first()
+    row = df.agg(*[F.count_if(m).alias(f"n{g}") for g, (m, _) in wanted.items()]).first()
+    sizes = {g: row[f"n{g}"] for g in wanted}
     for g, (member, k) in wanted.items():
-        if k >= sizes[f"n{g}"]:
+        if k >= sizes[g]:
             picked = picked | member
         elif k > 0:
             open_groups[g] = (member, member, k)
@@ -71,6 +72,7 @@ def first_k(
             df,
             {g: F.when(member, key) for g, (member, _, _) in open_groups.items()},
             {g: [k - 1] for g, (_, _, k) in open_groups.items()},
+            sizes,
         )
         tests = []
         for g, (member, _, _) in open_groups.items():
@@ -89,6 +91,7 @@ def first_k(
             else:
                 picked = picked | (scope & (target < cut))
                 remaining[g] = (member & (key == cut), scope & (target == cut), k - below)
+                sizes[g] = equal
         open_groups = remaining
     return picked
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numeric
-from ..operators import cleaning, encoders, impute, metrics, outliers, residuals, splits, transforms
+from ..operators import cleaning, encoders, impute, metrics, outliers, permutation, residuals, splits, transforms
 from ..operators.features import FeatureStages
 from ..operators.learners import linear_regressor
 from ..operators.lime import bin_profile, compare_predictions
@@ -20,7 +20,6 @@ from ..operators.permutation import (
     compare_importance,
     importance_from_errors,
     low_importance,
-    permute_column,
     permuted_errors,
     top_features,
 )
@@ -68,6 +67,13 @@ def fold_key(name: str = ID):
     return F.col(name)
 
 
+BLOCK = 2048  # ids per permutation bucket: unique ids bound a bucket at any table size
+
+
+def block_key(name: str = ID):
+    return F.floor(F.col(name) / BLOCK)
+
+
 def r(expr: str, digits: int) -> str:
     """SQL rounding without a negative zero."""
     return f"(round({expr}, {digits}) + 0.0)"
@@ -590,16 +596,14 @@ def sample_n(spark, sf_dir):
     return splits.sample_n(table(spark, sf_dir, "orders").select(ID, "o_totalprice"), 500, [ID], order=order_key())
 
 
-@query(f"""WITH x AS (SELECT o_orderkey, o_totalprice, o_orderkey % 8 AS bucket,
-       row_number() OVER (PARTITION BY o_orderkey % 8 ORDER BY {ORDERED}, o_orderkey) - 1 AS i,
-       count(*) OVER (PARTITION BY o_orderkey % 8) AS m FROM orders)
+@query(f"""WITH x AS (SELECT o_orderkey, o_totalprice, o_orderkey // {BLOCK} AS bucket,
+       row_number() OVER (PARTITION BY o_orderkey // {BLOCK} ORDER BY {ORDERED}, o_orderkey) - 1 AS i,
+       count(*) OVER (PARTITION BY o_orderkey // {BLOCK}) AS m FROM orders)
 SELECT x.o_orderkey, d.o_totalprice FROM x JOIN x d ON d.bucket = x.bucket AND d.i = (x.i + 37) % x.m""")
 def permute_column(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(ID, "o_totalprice")
-    from ..operators import permutation
-
     return permutation.permute_column(
-        rows, [ID], "o_totalprice", bucket=F.col(ID) % 8, order=order_key()[0], shift=F.lit(37)
+        rows, [ID], "o_totalprice", bucket=block_key(), order=order_key()[0], shift=F.lit(37)
     )
 
 
@@ -846,9 +850,9 @@ def lime_bin_profile(spark, sf_dir):
 
 # ---- permutation importance of the linear model -----------------------------------
 
-PERMUTED = LINEAR + f""", rw AS (SELECT o_orderkey % 8 AS bucket, sale_price AS y, n_lines, avg_price,
-       row_number() OVER (PARTITION BY o_orderkey % 8 ORDER BY {ORDERED}, o_orderkey) - 1 AS i,
-       count(*) OVER (PARTITION BY o_orderkey % 8) AS m FROM vf),
+PERMUTED = LINEAR + f""", rw AS (SELECT o_orderkey // {BLOCK} AS bucket, sale_price AS y, n_lines, avg_price,
+       row_number() OVER (PARTITION BY o_orderkey // {BLOCK} ORDER BY {ORDERED}, o_orderkey) - 1 AS i,
+       count(*) OVER (PARTITION BY o_orderkey // {BLOCK}) AS m FROM vf),
 er AS (SELECT k, avg(pow(x.y - b0 - b1 * CASE WHEN k // 3 = 0 AND k >= 0 THEN d.n_lines ELSE x.n_lines END
                             - b2 * CASE WHEN k // 3 = 1 THEN d.avg_price ELSE x.avg_price END, 2)) AS mse
        FROM lin, range(-1, 6) g(k) JOIN rw x ON TRUE JOIN rw d ON d.bucket = x.bucket
@@ -862,7 +866,7 @@ def linear_importance(spark, sf_dir) -> DataFrame:
     frame = valuation_frame(spark, sf_dir).select(ID, TARGET, *FEATURES)
     errors = permuted_errors(
         frame, linear_model(frame), FEATURES, TARGET, [ID], n_repeats=3,
-        bucket=F.col(ID) % 8, order=order_key()[0], shift=F.col("k") * 37 + 11,
+        bucket=block_key(), order=order_key()[0], shift=F.col("k") * 37 + 11,
     )
     return importance_from_errors(errors)
 
