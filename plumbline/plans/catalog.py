@@ -23,7 +23,7 @@ from ..operators.permutation import (
     permuted_errors,
     top_features,
 )
-from ..operators.bayes_ridge import sufficient_statistics
+from ..operators.bayes_ridge import BayesianRidge, sufficient_statistics
 from ..operators.shap import (
     ShapValues,
     base_value,
@@ -694,6 +694,42 @@ def sufficient_stats(spark, sf_dir):
     return out.select("row_name", "col_name", F.round(F.col("cross") / 1e6, 4).alias("cross_m"))
 
 
+def _step(alpha: str, lam: str) -> tuple[str, str]:
+    """Ridge weights of two centred features at the given precisions."""
+    ratio = f"({lam} / {alpha})"
+    det = f"((g11 + {ratio}) * (g22 + {ratio}) - g12 * g12)"
+    return f"((s1 * (g22 + {ratio}) - s2 * g12) / {det})", f"((s2 * (g11 + {ratio}) - s1 * g12) / {det})"
+
+
+_W1, _W2 = _step("alpha", "lam")
+
+
+@query(f"""WITH RECURSIVE {FRAME},
+m AS (SELECT count(*)::DOUBLE AS n, avg(n_lines) AS m1, avg(avg_price) AS m2, avg(sale_price) AS my,
+      var_pop(n_lines) * count(*) AS g11, var_pop(avg_price) * count(*) AS g22, covar_pop(n_lines, avg_price) * count(*) AS g12,
+      covar_pop(n_lines, sale_price) * count(*) AS s1, covar_pop(avg_price, sale_price) * count(*) AS s2,
+      var_pop(sale_price) * count(*) AS yy FROM vf),
+g AS (SELECT *, (g11 + g22) / 2 + sqrt(pow((g11 - g22) / 2, 2) + g12 * g12) AS e1,
+      (g11 * g22 - g12 * g12) / ((g11 + g22) / 2 + sqrt(pow((g11 - g22) / 2, 2) + g12 * g12)) AS e2 FROM m),
+it AS (SELECT 0 AS i, n / yy AS alpha, 1.0::DOUBLE AS lam, NULL::DOUBLE AS p1, NULL::DOUBLE AS p2, FALSE AS done FROM g
+  UNION ALL
+  SELECT i + 1, (n - gamma + 2e-6) / (greatest(yy - 2 * (w1 * s1 + w2 * s2) + w1 * w1 * g11 + 2 * w1 * w2 * g12 + w2 * w2 * g22, 0) + 2e-6),
+         (gamma + 2e-6) / (w1 * w1 + w2 * w2 + 2e-6), w1, w2, p1 IS NOT NULL AND abs(w1 - p1) + abs(w2 - p2) < 1e-3
+  FROM (SELECT it.*, g.*, {_W1} AS w1, {_W2} AS w2,
+               alpha * e1 / (lam + alpha * e1) + alpha * e2 / (lam + alpha * e2) AS gamma
+        FROM it, g WHERE NOT done AND i < 300)),
+z AS (SELECT {_W1} AS w1, {_W2} AS w2, m1, m2, my FROM it, g WHERE i = (SELECT max(i) FROM it))
+SELECT 'n_lines' AS term, round(w1, 3) AS coefficient FROM z UNION ALL SELECT 'avg_price', round(w2, 6) FROM z
+UNION ALL SELECT 'intercept', round(my - w1 * m1 - w2 * m2, 2) FROM z""")
+def bayesian_ridge(spark, sf_dir):
+    """Evidence maximisation from sufficient statistics of the whole frame."""
+    frame = valuation_frame(spark, sf_dir).select(TARGET, *FEATURES)
+    out = BayesianRidge(FEATURES, TARGET).fit(frame).coefficient_table(spark)
+    value = F.col("coefficient")
+    digits = F.when(F.col("term") == "n_lines", F.round(value, 3)).when(F.col("term") == "avg_price", F.round(value, 6))
+    return out.withColumn("coefficient", digits.otherwise(F.round(value, 2)))
+
+
 @query(LINEAR + f"""SELECT o_orderkey, {r("prediction", 1)} AS "Prediction", {r("sale_price", 6)} AS "Actual",
        {r("abs(residual)", 1)} AS "Error" FROM sc""", name="compare_predictions")
 def compared(spark, sf_dir):

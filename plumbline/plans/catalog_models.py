@@ -9,7 +9,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators.bayes_ridge import BayesianRidge
 from ..operators.learners import ColumnRegressor, base_learner, base_learners, evaluate_learners
 from ..operators.lime import bin_profile, explain_first
 from ..operators.metrics import cv_summary
@@ -68,11 +67,6 @@ def stacked_cv(spark, sf_dir):
     return cv_summary(cross_validate(model_rows(spark, sf_dir), stacked(), [ID], folds=2))
 
 
-@query()
-def bayesian_ridge(spark, sf_dir):
-    return BayesianRidge(INPUTS, TARGET).fit(model_rows(spark, sf_dir)).coefficient_table(spark)
-
-
 @query()
 def search_trials(spark, sf_dir):
     """Seeded trials, each a cross-validation over the whole frame."""
