@@ -23,6 +23,7 @@ from .columns import batches
 DIRECT_ROWS = 200_000
 GATHER_ROWS = 20_000
 ACCURACY = 10_000
+MARGIN = 3 / ACCURACY  # beyond the sketch's own rank error
 WIDTH = 40  # aggregate expressions per job
 
 
@@ -58,31 +59,35 @@ def _grouped(brackets):
     return list(groups.items())
 
 
-def _narrow(narrow: DataFrame, active: list[_Bracket]) -> None:
-    groups = _grouped(active)
-    cuts = []
-    for part in batches(groups, WIDTH):
-        exprs = []
+def _shares(b: _Bracket) -> tuple[float, float]:
+    """Two probabilities around the wanted rank; neighbouring ranks get the same pair."""
+    centre = round((b.rank - b.below + 0.5) / b.inside, 5)
+    return max(0.0, centre - MARGIN), min(1.0, centre + MARGIN)
+
+
+def _propose(narrow: DataFrame, active: list[_Bracket]) -> list[tuple]:
+    """(condition, value, low cut, high cut, brackets): one sketch per distinct bracket."""
+    proposals = []
+    for part in batches(_grouped(active), WIDTH):
+        exprs, wanted = [], []
         for i, ((column, low, high), members) in enumerate(part):
-            share = []
-            for b in members:
-                centre = (b.rank - b.below + 0.5) / b.inside
-                share += [max(0.0, centre - 3 / ACCURACY), min(1.0, centre + 3 / ACCURACY)]
             v = F.col(f"v{column}")
-            exprs.append(
-                F.percentile_approx(F.when(_within(v, low, high), v), share, ACCURACY).alias(f"c{i}")
-            )
-        cuts += list(narrow.agg(*exprs).first())
-    tests = []
-    for ((column, low, high), members), found in zip(groups, cuts):
-        v = F.col(f"v{column}")
-        inside = _within(v, low, high)
-        for i, b in enumerate(members):
-            a, z = found[2 * i], found[2 * i + 1]
-            tests.append((b, a, z, inside, v))
-    for part in batches(tests, WIDTH):
+            pairs = sorted({_shares(b) for b in members})
+            wanted.append((v, _within(v, low, high), pairs, members))
+            flat = [p for pair in pairs for p in pair]
+            exprs.append(F.percentile_approx(F.when(wanted[-1][1], v), flat, ACCURACY).alias(f"c{i}"))
+        for (v, inside, pairs, members), cuts in zip(wanted, narrow.agg(*exprs).first()):
+            for k, pair in enumerate(pairs):
+                near = [b for b in members if _shares(b) == pair]
+                proposals.append((inside, v, cuts[2 * k], cuts[2 * k + 1], near))
+    return proposals
+
+
+def _narrow(narrow: DataFrame, active: list[_Bracket]) -> None:
+    """Counts on each side of the proposed cuts and moves every bracket to its rank's side."""
+    for part in batches(_propose(narrow, active), WIDTH):
         exprs = []
-        for i, (_, a, z, inside, v) in enumerate(part):
+        for i, (inside, v, a, z, _) in enumerate(part):
             exprs += [
                 F.count_if(inside & (v < F.lit(a))).alias(f"l{i}"),
                 F.count_if(inside & (v == F.lit(a))).alias(f"a{i}"),
@@ -90,22 +95,25 @@ def _narrow(narrow: DataFrame, active: list[_Bracket]) -> None:
                 F.count_if(inside & (v == F.lit(z))).alias(f"z{i}"),
             ]
         counts = narrow.agg(*exprs).first()
-        for i, (b, a, z, _, _) in enumerate(part):
+        for i, (_, _, a, z, near) in enumerate(part):
             less, at_a, middle, at_z = counts[4 * i : 4 * i + 4]
-            if a == z:
-                at_z = 0
-            offset = b.rank - b.below
-            if offset < less:
-                b.high, b.inside = a, less
-            elif offset < less + at_a:
-                b.value, b.found = a, True
-            elif offset < less + at_a + middle:
-                b.low, b.high, b.below, b.inside = a, z, b.below + less + at_a, middle
-            elif offset < less + at_a + middle + at_z:
-                b.value, b.found = z, True
-            else:
-                passed = less + at_a + middle + at_z
-                b.low, b.below, b.inside = z, b.below + passed, b.inside - passed
+            _move(near, a, z, less, at_a, middle, 0 if a == z else at_z)
+
+
+def _move(near: list[_Bracket], a, z, less: int, at_a: int, middle: int, at_z: int) -> None:
+    for b in near:
+        offset = b.rank - b.below
+        if offset < less:
+            b.high, b.inside = a, less
+        elif offset < less + at_a:
+            b.value, b.found = a, True
+        elif offset < less + at_a + middle:
+            b.low, b.high, b.below, b.inside = a, z, b.below + less + at_a, middle
+        elif offset < less + at_a + middle + at_z:
+            b.value, b.found = z, True
+        else:
+            passed = less + at_a + middle + at_z
+            b.low, b.below, b.inside = z, b.below + passed, b.inside - passed
 
 
 def _reader(values: Column):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FIT, LEARNERS
+from ..functions.columns import col
+from ..functions.lookups import settle
 from .metrics import regression_metrics, run_together
 
 LEARNER_NAMES = ("gbt_a", "gbt_b", "rf")
@@ -69,10 +72,14 @@ def evaluate_learners(
     parallelism: int = FIT.parallelism,
 ) -> DataFrame:
     """(model, train_rmse, test_rmse, train_r2, test_r2), one row per learner."""
+    kept = [col(c) for c in [*features, label]]
+    both = train.select(*kept, F.lit("train").alias("_set")).unionByName(
+        test.select(*kept, F.lit("test").alias("_set"))
+    )
+    both = both.persist(StorageLevel.MEMORY_AND_DISK)
 
     def task(name, learner):
-        model = ColumnRegressor(learner, features).fit(train)
-        both = train.withColumn("_set", F.lit("train")).unionByName(test.withColumn("_set", F.lit("test")))
+        model = ColumnRegressor(learner, features).fit(both.filter("_set = 'train'"))
         sets = regression_metrics(model.transform(both), label, by=["_set"])
         return sets.agg(
             *[
@@ -86,4 +93,6 @@ def evaluate_learners(
     out = tables[0]
     for table in tables[1:]:
         out = out.unionByName(table)
-    return out
+    result = settle(out).table
+    both.unpersist()
+    return result

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..config import FIT, LIME, default
 from ..functions.columns import as_double, col, id_hash
+from ..functions.lookups import settle
 from ..functions.numeric import (
     CENTRAL_DEN,
     CENTRAL_NUM,
@@ -284,7 +285,7 @@ def explain_first(
     label: str | None = None, n: int = 5, **options,
 ) -> DataFrame:
     """Explanations of the first ``n`` rows in id order, with the actual value when known."""
-    first = sample_n(df, n, id_cols, order=[col(c) for c in id_cols])
+    first = settle(sample_n(df, n, id_cols, order=[col(c) for c in id_cols])).table
     out = lime_explain(model, first, profile, features, id_cols, **options)
     if label is None:
         return out

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import FIT, default
 from ..functions.columns import as_double, col, id_hash
+from ..functions.lookups import settle
 from .metrics import minmax_normalize
 
 BUCKET_ROWS = 2048
@@ -184,7 +185,7 @@ def permutation_report(
     top_n: int = 20, **options
 ) -> dict:
     """Importance, its top, the comparison with SHAP and the noisy features."""
-    importance = permutation_importance(df, model, features, label, id_cols, **options).persist()
+    importance = settle(permutation_importance(df, model, features, label, id_cols, **options)).table
     return {
         "importance": importance,
         "top": top_features(importance, top_n),

@@ -152,6 +152,7 @@ def kernel_shap(
         F.struct(*[col(c) for c in id_cols]).alias("key"),
         *[as_double(explained, f).alias(f"x{j}") for j, f in enumerate(features)],
     )
+    rows = settle(rows).table  # used twice below: draw the sample once
     parallelism = spark.sparkContext.defaultParallelism
     fanned = (
         rows.withColumn("cid", F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))))

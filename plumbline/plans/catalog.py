@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numeric
+from ..functions.lookups import settle
 from ..operators import cleaning, encoders, impute, metrics, outliers, permutation, residuals, splits, transforms
 from ..operators.features import FeatureStages
 from ..operators.learners import linear_regressor
@@ -544,7 +545,8 @@ def cv_rmse(spark, sf_dir):
     frame = valuation_frame(spark, sf_dir).select(ID, TARGET, *FEATURES)
     folded = splits.assign_folds(frame, [ID], key=fold_key()).persist()
     scored = metrics.held_out_predictions(folded, linear_regressor(FEATURES, TARGET))
-    out = metrics.cv_summary(metrics.fold_errors(scored, TARGET))
+    out = metrics.cv_summary(settle(metrics.fold_errors(scored, TARGET)).table)
+    folded.unpersist()
     return rounded(out, rmse_mean=3, rmse_std=3, rmse_of_mean=3)
 
 
@@ -932,7 +934,7 @@ def top_feature(spark, sf_dir):
 @query(PERMUTED + f"SELECT {_MILLIONS} FROM pi WHERE importance_mean <= (SELECT avg(importance_mean) FROM pi)")
 def low_importance_features(spark, sf_dir):
     """Features at or below the mean importance, as a threshold that scales with the data."""
-    importance = linear_importance(spark, sf_dir).persist()
+    importance = settle(linear_importance(spark, sf_dir)).table
     threshold = importance.agg(F.avg("importance_mean")).first()[0]
     return _in_millions(low_importance(importance, threshold))
 

@@ -44,7 +44,6 @@ def stacked(parallelism: int = 4) -> StackedRegressor:
 def base_learner_eval(spark, sf_dir):
     """Train and test error of each base learner."""
     fitted, held_out, _ = preprocess(model_rows(spark, sf_dir), [ID], TARGET)
-    fitted = fitted.persist()
     return evaluate_learners(fitted, held_out, base_learners(TARGET, SMALL), INPUTS, TARGET)
 
 
