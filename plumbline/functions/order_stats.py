@@ -25,6 +25,7 @@ GATHER_ROWS = 20_000
 ACCURACY = 10_000
 MARGIN = 3 / ACCURACY  # beyond the sketch's own rank error
 WIDTH = 40  # aggregate expressions per job
+COLUMNS = 32  # columns persisted at the same time
 
 
 @dataclass
@@ -165,16 +166,22 @@ def kth_values(
     values: dict[str, Column],
     ranks: dict[str, list[int]],
     counts: dict[str, int] | None = None,
+    persist: bool = True,
 ) -> dict[str, list]:
-    """The values at 0-based ``ranks`` of each named expression; NULLs are ignored."""
+    """The values at 0-based ``ranks`` of each named expression; NULLs are ignored.
+
+    The passes read only these expressions, persisted so that joins above them run
+    once. Turn ``persist`` off when ``df`` is cheap to read again.
+    """
     names = list(values)
     narrow = df.select(*[values[n].alias(f"v{i}") for i, n in enumerate(names)])
-    # every pass reads only these columns; joins above them run once
-    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    if persist:
+        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _solve(narrow, names, ranks, counts or _counts(narrow, names))
     finally:
-        narrow.unpersist()
+        if persist:
+            narrow.unpersist()
 
 
 def _positions(shares: list[float], n: int) -> list[tuple[float, int, int]]:
@@ -186,6 +193,15 @@ def exact_quantiles(
     df: DataFrame, values: dict[str, Column], shares: list[float]
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several expressions; NULL for empty ones."""
+    result: dict[str, list[float | None]] = {}
+    for part in batches(list(values), COLUMNS):
+        result.update(_quantiles(df, {n: values[n] for n in part}, shares))
+    return result
+
+
+def _quantiles(
+    df: DataFrame, values: dict[str, Column], shares: list[float]
+) -> dict[str, list[float | None]]:
     names = list(values)
     narrow = df.select(*[values[n].cast("double").alias(f"v{i}") for i, n in enumerate(names)])
     narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)

@@ -47,20 +47,27 @@ class ColumnRegressor(Estimator):
     the form every explainer here accepts.
     """
 
-    def __init__(self, regressor: Estimator, features: Sequence[str]):
+    def __init__(self, regressor: Estimator, features: Sequence[str], persist: bool = False):
         super().__init__()
         self.regressor = regressor
         self.features = list(features)
+        self.persist = persist  # for inputs with joins or shuffles above them: fits read rows more than once
 
     def _fit(self, df: DataFrame) -> PipelineModel:
         vectors = assembler(self.features)
-        model = self.regressor.fit(vectors.transform(df))
-        return PipelineModel([vectors, model])
-
-
-def linear_regressor(features: Sequence[str], label: str) -> ColumnRegressor:
-    """Least squares by the normal equations: one tree-aggregated pass."""
-    return ColumnRegressor(LinearRegression(labelCol=label, solver="normal"), features)
+        rows = vectors.transform(df).select("features", col(self.regressor.getLabelCol()))
+        if not self.persist:
+            return PipelineModel([vectors, self.regressor.fit(rows)])
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return PipelineModel([vectors, self.regressor.fit(rows)])
+        finally:
+            rows.unpersist()
+
+
+def linear_regressor(features: Sequence[str], label: str, persist: bool = False) -> ColumnRegressor:
+    """Least squares by the normal equations, from tree-aggregated moments."""
+    return ColumnRegressor(LinearRegression(labelCol=label, solver="normal"), features, persist)
 
 
 def evaluate_learners(

@@ -127,7 +127,10 @@ def _anchor_array(rows: list[tuple]) -> Column:
 
 
 def lowess_anchors(df: DataFrame, x: str, frac: float, anchors: int) -> list[tuple]:
-    """(anchor, x0, h): evenly spaced quantiles of x and the distance to the k-th neighbour."""
+    """(anchor, x0, h): evenly spaced quantiles of x and the distance to the k-th neighbour.
+
+    ``df`` is read several times and should be persisted.
+    """
     value = as_double(df, x)
     shares = [i / (anchors - 1) for i in range(anchors)]
     points = sorted({q for q in exact_quantiles(df, {"x": value}, shares)["x"] if q is not None})
@@ -138,6 +141,7 @@ def lowess_anchors(df: DataFrame, x: str, frac: float, anchors: int) -> list[tup
         {str(i): F.abs(value - F.lit(p)) for i, p in enumerate(points)},
         {str(i): [k - 1] for i in range(len(points))},
         {str(i): n for i in range(len(points))},
+        persist=False,
     )
     return [(i, p, reach[str(i)][0]) for i, p in enumerate(points)]
 

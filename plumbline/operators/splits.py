@@ -73,6 +73,7 @@ def first_k(
             {g: F.when(member, key) for g, (member, _, _) in open_groups.items()},
             {g: [k - 1] for g, (_, _, k) in open_groups.items()},
             sizes,
+            persist=False,
         )
         tests = []
         for g, (member, _, _) in open_groups.items():
@@ -191,4 +192,9 @@ def sample_n(
     order = default(order, seeded_order(id_cols, default(seed, FIT.seed)))
     if n <= TOP_K_ROWS:
         return df.orderBy(*order).limit(n)
-    return df.filter(first_k(df, order, {0: (F.lit(True), n)}))
+    keys = [F.col(f"_o{i}") for i in range(len(order))]
+    base = df.select(*[o.alias(f"_o{i}") for i, o in enumerate(order)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.filter(first_k(base, keys, {0: (F.lit(True), n)}, order))
+    finally:
+        base.unpersist()

@@ -114,7 +114,7 @@ ORDERED = "(o_orderkey * 7919 + 42) % 100003"
 
 
 def linear_model(frame: DataFrame):
-    return linear_regressor(FEATURES, TARGET).fit(frame)
+    return linear_regressor(FEATURES, TARGET, persist=True).fit(frame)
 
 
 def linear_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

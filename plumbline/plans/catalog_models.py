@@ -87,7 +87,7 @@ def best_trials(spark, sf_dir):
 def tree_shap_values(spark, sf_dir):
     """Exact contributions of a boosted model for every row of the frame."""
     rows = model_rows(spark, sf_dir)
-    model = ColumnRegressor(base_learner("gbt_a", TARGET, SMALL["gbt_a"]), INPUTS).fit(rows)
+    model = ColumnRegressor(base_learner("gbt_a", TARGET, SMALL["gbt_a"]), INPUTS, persist=True).fit(rows)
     return tree_shap(model, rows, INPUTS, [ID]).values
 
 
@@ -103,7 +103,7 @@ def kernel_shap_importance(spark, sf_dir):
 @query()
 def lime_explanations(spark, sf_dir):
     rows = model_rows(spark, sf_dir)
-    model = ColumnRegressor(base_learner("rf", TARGET, SMALL["rf"]), INPUTS).fit(rows)
+    model = ColumnRegressor(base_learner("rf", TARGET, SMALL["rf"]), INPUTS, persist=True).fit(rows)
     return explain_first(model, rows, bin_profile(rows, INPUTS), INPUTS, [ID], TARGET, n=3)
 
 
