@@ -435,7 +435,7 @@ PROFILED = [("events", "value"), ("events", "user_id"), ("customer", "c_acctbal"
 
 def _profile_sql(extra: str) -> str:
     return " UNION ALL ".join(
-        f"""SELECT '{c}' AS feature, round(avg(pow({c} - m, 3)) / pow(avg(pow({c} - m, 2)), 1.5), 6) AS skewness,
+        f"""SELECT '{c}' AS feature, {r(f"avg(pow({c} - m, 3)) / pow(avg(pow({c} - m, 2)), 1.5)", 6)} AS skewness,
         CAST(min({c}) AS DOUBLE) AS minimum, min({c}) = max({c}) AS is_constant {extra.format(c=c)}
         FROM {t}, (SELECT avg({c}) AS m FROM {t})""" for t, c in PROFILED
     )
@@ -505,8 +505,8 @@ def performance_report(spark, sf_dir):
 
 @query(LINEAR + """SELECT round(avg(residual), 3) + 0.0 AS mean_residual, round(stddev_pop(residual), 3) AS std_residual,
        round(min(residual), 3) AS min_residual, round(max(residual), 3) AS max_residual,
-       round(avg(pow(residual, 3)) / pow(avg(pow(residual, 2)), 1.5), 5) AS skewness,
-       round(avg(pow(residual, 4)) / pow(avg(pow(residual, 2)), 2) - 3, 5) AS kurtosis FROM sc""")
+       round(avg(pow(residual, 3)) / pow(avg(pow(residual, 2)), 1.5), 5) + 0.0 AS skewness,
+       round(avg(pow(residual, 4)) / pow(avg(pow(residual, 2)), 2) - 3, 5) + 0.0 AS kurtosis FROM sc""")
 def residual_summary(spark, sf_dir):
     out = residuals.residual_summary(linear_rows(spark, sf_dir)[1])
     return rounded(out, mean_residual=3, std_residual=3, min_residual=3, max_residual=3, skewness=5, kurtosis=5)
