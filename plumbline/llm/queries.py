@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, packing, suffix_dedup
+from . import language_id, ngram_join, packing, suffix_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(f):
     return f
 
 
+def id_remainder(n: int):
+    """crc32 of the doc_id as text, modulo n; null for a null id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
 @query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), k=4, percent=85)
@@ -32,3 +37,9 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(table(spark, sf_dir, "documents"), labelled=id_remainder(4) != 2)
+    return found.select("doc_id", F.coalesce(id_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
