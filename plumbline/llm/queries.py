@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, ngram_join, packing, suffix_dedup
+from . import language_id, ngram_join, packing, suffix_dedup, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,10 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify(table(spark, sf_dir, "documents"), labelled=id_remainder(4) != 2)
     return found.select("doc_id", F.coalesce(id_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.score_toxicity(docs, labels, labelled=id_remainder(5) != 0)
+    return found.select("doc_id", F.coalesce(id_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
