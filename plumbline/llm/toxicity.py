@@ -195,43 +195,49 @@ def _contexts(costs: np.ndarray, wanted: frozenset):
     return run
 
 
-def evidence(words: set[str], weights: dict[str, float]) -> float:
-    """Each word counts by its strongest feature."""
-    return sum(max(weights.get(f, 0.0) for f in features(w)) for w in words)
+def evidence(words: set[str], weights: dict[str, float]) -> tuple[float, float]:
+    """The weight of the most telling word, and the sum of the others; a word counts by its strongest feature."""
+    own = [max(weights.get(f, 0.0) for f in features(w)) for w in words]
+    most = max(own, default=0.0)
+    return most, min(sum(own) - most, 4 * most)
 
 
 def _evidence(costs: np.ndarray, weights: list[dict[str, float]]):
-    """(toxic, bin) of training texts, each under the weights of the other fold."""
+    """(toxic, most, more) in bins, of training texts, each under the weights of the other fold."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(costs)
         for part in parts:
-            bins = [int(evidence(restorer.words(t or ""), weights[f]) / STEP)
-                    for t, f in zip(part.column("text").to_pylist(), part.column("fold").to_pylist())]
-            yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(bins, pa.int32())], names=["toxic", "bin"])
+            found = [evidence(restorer.words(t or ""), weights[f])
+                     for t, f in zip(part.column("text").to_pylist(), part.column("fold").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("toxic"), *(pa.array([round(x[i] / STEP) for x in found], pa.int32()) for i in (0, 1))],
+                names=["toxic", "most", "more"])
 
     return run
 
 
-def calibrated(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope of a logistic regression of y on x with counts n, slightly shrunk."""
-    beta, penalty = np.zeros(2), np.array([1e-3, 1e-1])
-    design = np.stack([np.ones(len(x)), x], axis=1)
-    for _ in range(50):
+def calibrated(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Intercept and slopes of a logistic regression of y on the columns of x with counts n, slightly shrunk."""
+    design = np.column_stack([np.ones(len(x)), x])
+    beta, penalty = np.zeros(design.shape[1]), np.full(design.shape[1], 0.1)
+    penalty[0] = 1e-3
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         gradient = design.T @ (n * (y - p)) - penalty * beta
         hessian = (design * (n * p * (1 - p))[:, None]).T @ design + np.diag(penalty)
         step = np.linalg.solve(hessian, gradient)
-        beta = beta + step * min(1.0, 4 / max(np.abs(step).max(), 1e-12))
-    return float(beta[0]), float(beta[1])
+        beta = beta + step * min(1.0, 2 / max(np.abs(step).max(), 1e-12))
+    return beta
 
 
 class ToxicityModel:
-    def __init__(self, costs: np.ndarray, intercept: float, slope: float, weights: dict[str, float]):
-        self.costs, self.intercept, self.slope, self.weights = costs, intercept, slope, weights
+    def __init__(self, costs: np.ndarray, intercept: float, slopes: tuple[float, float], weights: dict[str, float]):
+        self.costs, self.intercept, self.slopes, self.weights = costs, intercept, slopes, weights
 
     def log_odds(self, words: set[str]) -> float:
-        return self.intercept + self.slope * evidence(words, self.weights)
+        most, more = evidence(words, self.weights)
+        return self.intercept + self.slopes[0] * most + self.slopes[1] * more
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
@@ -250,10 +256,10 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
     for r in training.groupBy("toxic", "fold").agg(F.count("*").alias("n")).collect():
         n[r["toxic"], r["fold"]] = r["n"]
     if not n.sum():
-        return ToxicityModel(costs, -10.0, 0.0, {})
+        return ToxicityModel(costs, -10.0, (0.0, 0.0), {})
     prior = math.log((n[1].sum() + 0.5) / (n[0].sum() + 0.5))
     if not n.all():
-        return ToxicityModel(costs, prior, 0.0, {})
+        return ToxicityModel(costs, prior, (0.0, 0.0), {})
     totals = {"all": n.sum(axis=1), 0: n[:, 1], 1: n[:, 0]}  # what the weights for a fold are fitted on
     counts = training.mapInArrow(_counted(costs), "feature string, toxic int, fold int, n long").groupBy("feature").agg(
         *(F.sum(F.when((F.col("toxic") == t) & (F.col("fold") == f), F.col("n")).otherwise(0)).alias(f"n{t}{f}")
@@ -280,11 +286,11 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
             weight = math.log((a + 0.5) / (totals[part][1] + 1)) - math.log((c + 1.0) / (totals[part][0] + 1))
             if a >= LEAST_CONTEXTS and weight >= LEAST_WEIGHT:
                 weights[part][f] = weight
-    bins = training.mapInArrow(_evidence(costs, [weights[0], weights[1]]), "toxic int, bin int").groupBy("toxic", "bin").agg(
-        F.count("*").alias("n")).collect()
-    x, y, k = (np.array([r[c] for r in bins], float) for c in ("bin", "toxic", "n"))
-    intercept, slope = calibrated(x * STEP, y, k)
-    return ToxicityModel(costs, intercept, max(slope, 0.0), weights["all"])
+    bins = training.mapInArrow(_evidence(costs, [weights[0], weights[1]]), "toxic int, most int, more int").groupBy(
+        "toxic", "most", "more").agg(F.count("*").alias("n")).collect()
+    most, more, y, k = (np.array([r[c] for r in bins], float) for c in ("most", "more", "toxic", "n"))
+    beta = calibrated(np.stack([most, more], axis=1) * STEP, y, k)
+    return ToxicityModel(costs, float(beta[0]), (max(float(beta[1]), 0.0), max(float(beta[2]), 0.0)), weights["all"])
 
 
 def _scored(model: ToxicityModel):
