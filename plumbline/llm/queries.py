@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, ngram_join, packing, suffix_dedup, toxicity
+from . import language_id, mixing, ngram_join, packing, suffix_dedup, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,71 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+SQL["op3_mixing"] = r"""
+WITH RECURSIVE sizes AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
+  FROM sizes GROUP BY source
+), filled(step, source, source_size, weight, target, full_) AS (
+  SELECT 0, source, source_size, weight, 1.5 * sum(source_size) OVER () * weight / sum(weight) OVER (), false FROM totals
+  UNION ALL
+  SELECT step + 1, source, source_size, weight,
+    CASE WHEN full_ OR target >= 2 * source_size THEN 2.0 * source_size ELSE
+      (1.5 * sum(source_size) OVER () - coalesce(sum(2.0 * source_size) FILTER (full_ OR target >= 2 * source_size) OVER (), 0))
+      / sum(weight) FILTER (NOT (full_ OR target >= 2 * source_size)) OVER () * weight END,
+    full_ OR target >= 2 * source_size
+  FROM filled WHERE step < 60
+), targets AS (
+  SELECT source, source_size, target FROM filled WHERE step = 60
+), seats AS (
+  SELECT source, count(*) AS seats FROM (
+    SELECT source FROM (
+      SELECT source, target / (2 * k - 1) AS q, k
+      FROM targets, generate_series(1, (SELECT ceil(max(source_size) * 2 / 16.0)::BIGINT + 2 FROM targets)) g(k))
+    ORDER BY q DESC, source NULLS LAST, k LIMIT (SELECT round(sum(target) / 16)::BIGINT FROM targets))
+  GROUP BY source
+), placed AS (
+  SELECT doc_id, s.source, size,
+    ('0x' || substr(md5(concat_ws('|', 'mix', 'shard', doc_id, size)), 1, 8))::BIGINT
+      % greatest(ceil(source_size / 262144.0), 1)::BIGINT AS shard
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source WHERE size > 0
+), streams AS (
+  SELECT *, sum(size) OVER (PARTITION BY source, shard ORDER BY md5(concat_ws('|', 'mix', 'place', doc_id)), doc_id, size
+    ROWS UNBOUNDED PRECEDING)::BIGINT AS end_ FROM placed
+), shards AS (
+  SELECT source, shard, max(end_) AS words FROM streams GROUP BY ALL
+), quotas AS (
+  SELECT source, shard, words, count(*) FILTER (r <= coalesce(seats, 0)) AS quota FROM (
+    SELECT h.*, seats, row_number() OVER (PARTITION BY h.source ORDER BY words / (2 * k - 1) DESC, shard, k) AS r
+    FROM shards h LEFT JOIN seats s ON h.source IS NOT DISTINCT FROM s.source,
+      generate_series(1, (SELECT ceil(max(words) * 2 / 16.0)::BIGINT + 2 FROM shards)) g(k))
+  GROUP BY ALL
+), blocks AS (
+  SELECT source, shard, block, quota // n + (r <= quota % n)::INT AS times FROM (
+    SELECT source, shard, least(quota, 2 * n) AS quota, n, block,
+      row_number() OVER (PARTITION BY source, shard ORDER BY md5(concat_ws('|', 'mix', 'block', shard, block)), block) AS r
+    FROM (SELECT *, ceil(words / 16.0)::BIGINT AS n FROM quotas), generate_series(0, n - 1) g(block))
+), taken AS (
+  SELECT d.source, d.shard, d.end_, sum((least((block + 1) * 16, end_) - greatest(block * 16, end_ - size)) * times) AS taken
+  FROM streams d JOIN blocks b ON d.source IS NOT DISTINCT FROM b.source AND d.shard = b.shard
+    AND block * 16 < end_ AND (block + 1) * 16 > end_ - size
+  GROUP BY ALL
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM (SELECT doc_id, d.source, size, taken FROM streams d LEFT JOIN taken t
+        ON d.source IS NOT DISTINCT FROM t.source AND d.shard = t.shard AND d.end_ = t.end_
+      UNION ALL SELECT doc_id, source, size, 0 FROM sizes WHERE size = 0) a
+  JOIN targets t ON a.source IS NOT DISTINCT FROM t.source
+"""
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), length=2048)
