@@ -115,3 +115,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     found = toxicity.score_toxicity(docs, labels, labelled=id_remainder(5) != 0)
     return found.select("doc_id", F.coalesce(id_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -345,31 +345,50 @@ def _cut(length: int, with_text: bool):
             for i in range(part.num_rows):
                 text = part.column("text")[i].as_buffer().to_pybytes()
                 left, spans = remaining(text, bool(part.column("whole")[i].as_py()), part.column("ranges")[i].as_py(), length)
-                rows.append((len(text), len(text) - len(left), spans, hashlib.sha256(left).hexdigest(), left))
-            columns = list(zip(*rows)) or [()] * 5
+                # a cut inside a character leaves bytes that are no text
+                last = left.decode("utf-8", "ignore") if with_text else hashlib.sha256(left).hexdigest()
+                rows.append((len(text), len(text) - len(left), spans, last))
+            columns = list(zip(*rows)) or [()] * 4
             arrays = [pa.array(c, pa.int64()) for c in columns[:3]] + [pa.array(columns[3], pa.string())]
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            if with_text:  # a cut inside a character leaves bytes that are no text
-                arrays.append(pa.array([c.decode("utf-8", "ignore") for c in columns[4]], pa.string()))
-                names.append("kept")
-            own = [c for c in part.schema.names if c not in ("text", "whole", "ranges")]
-            yield pa.RecordBatch.from_arrays([part.column(c) for c in own] + arrays, names=own + names)
+            names = ["row", "n_bytes", "n_removed", "n_spans", "kept" if with_text else "kept_sha256"]
+            yield pa.RecordBatch.from_arrays([part.column("row"), *arrays], names=names)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, with_text: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) and the text that is left, for each row of docs.
+def cut_rows(docs: DataFrame, length: int, with_text: bool) -> DataFrame:
+    """(row, n_bytes, n_removed, n_spans, kept or kept_sha256): all columns of docs but the text are in `row`."""
+    small_batches(docs.sparkSession)
+    binary = utf8(F.col("text"))
+    key = F.unhex(F.md5(binary))
+    removed = repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), binary.alias("text")), length)
+    items = removed.agg(F.coalesce(F.sum(F.coalesce(F.size("ranges"), F.lit(0)) + 1), F.lit(0))).first()[0]
+    side = F.broadcast(removed) if items <= BROADCAST_ITEMS else removed
+    rows = docs.select(F.struct(*(c for c in docs.columns if c != "text")).alias("row"), key.alias("key"), binary.alias("text"))
+    asked = rows.join(side, "key", "left").select("row", "text", "whole", "ranges")
+    kind = asked.schema["row"].dataType.simpleString()
+    last = "kept string" if with_text else "kept_sha256 string"
+    return asked.mapInArrow(_cut(length, with_text), f"row {kind}, n_bytes long, n_removed long, n_spans long, {last}")
+
+
+def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of docs (doc_id, text).
 
     Removed is each byte of a `length`-byte string that also starts elsewhere, in the same or another row, judged on
     the input. Null is empty; shorter texts are kept; repeated rows are copies of each other and lose all their bytes.
     Repeated or null ids are told apart by their text. An empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
-    binary = utf8(F.col("text"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(binary)).alias("key"), binary.alias("text"))
-    removed = repeats(texts, length)
-    items = removed.agg(F.coalesce(F.sum(F.coalesce(F.size("ranges"), F.lit(0)) + 1), F.lit(0))).first()[0]
-    side = F.broadcast(removed) if items <= BROADCAST_ITEMS else removed
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text
-    return texts.join(side, "key", "left").select("doc_id", "text", "whole", "ranges").mapInArrow(_cut(length, with_text), schema)
+    return cut_rows(docs.select("doc_id", "text"), length, False).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+    """The rows of docs with repeated strings cut out of the text; n_chars, if there is such a column, is renewed.
+
+    A text that is removed altogether becomes empty, and its row stays.
+    """
+    made = cut_rows(docs, length, True)
+    new = {"text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    return made.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
