@@ -26,7 +26,7 @@ GRAM = 32  # bytes hashed for the key of a window
 BUCKET_BYTES = 1 << 19
 HOT_SNIPPETS = 1500  # distinct snippets of one key that are still sorted in one task
 NARROW = 8  # windows that are told apart together at first
-BROADCAST_ITEMS = 1_000_000
+BROADCAST_ITEMS = 100_000
 PLACE_BITS = np.uint64(24)
 SEPARATOR = 255  # no byte of UTF-8
 
