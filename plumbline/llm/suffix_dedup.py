@@ -24,7 +24,7 @@ from .common import batches, mixed, prefix_sums, settled, small_batches, span_ha
 
 GRAM = 32  # bytes hashed for the key of a window
 BUCKET_BYTES = 1 << 19
-HOT_SNIPPETS = 1500  # distinct snippets of one key that are still sorted in one task
+HOT_SNIPPETS = 5000  # distinct snippets of one key that are still sorted in one task
 NARROW = 8  # windows that are told apart together at first
 BROADCAST_ITEMS = 100_000
 PLACE_BITS = np.uint64(24)
