@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, mixing, ngram_join, packing, suffix_dedup, toxicity
+from . import ann, exact_search, language_id, license_scan, mixing, ngram_join, packing, suffix_dedup, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,11 +110,34 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(id_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op7_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.best_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+SQL["op9_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x : floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z : z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
+"""
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
