@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_search, language_id, license_scan, mixing, ngram_join, packing, suffix_dedup, toxicity
+from . import ann, exact_search, language_id, license_scan, mixing, ngram_join, packing, suffix_dedup, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,62 @@ def id_remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
+def unescaped(sql: str) -> str:
+    """SQL of a text with its character references by name decoded."""
+    for name, character in warc.ENTITIES.items():
+        sql = "replace({}, '{}', '{}')".format(sql, name, character.replace("'", "''"))
+    return sql
+
+
+@query
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
+SQL["op1_warc_derivatives"] = r"""
+WITH r AS (
+  SELECT url, coalesce(html, '') AS html, md5(concat_ws('|', 'response', page_id, url)) AS h FROM pages
+), i AS (
+  SELECT url, html, '<urn:uuid:' || concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) || '>' AS refers_to,
+    sha1(html) AS s FROM r
+), d AS (
+  SELECT *, 'sha1:' || translate(list_aggregate(list_transform(range(8), lambda k :
+    to_base(('0x' || s[5 * k + 1 : 5 * k + 5])::BIGINT, 32, 4)), 'string_agg', ''),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS digest,
+    md5('conversion|' || refers_to) AS c, md5('metadata|' || refers_to) AS m FROM i
+), n AS (
+  SELECT *, '<urn:uuid:' || concat_ws('-', c[1:8], c[9:12], c[13:16], c[17:20], c[21:32]) || '>' AS conversion_id,
+    '<urn:uuid:' || concat_ws('-', m[1:8], m[9:12], m[13:16], m[17:20], m[21:32]) || '>' AS metadata_id FROM d
+), t AS (
+  SELECT *, regexp_replace(regexp_replace(html,
+    '(?is)<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</(script|style|noscript|template)\s*>', '', 'g'), '\s+', ' ', 'g') AS shown,
+    regexp_replace(trim(TITLE), '\s+', ' ', 'g') AS title FROM n
+), b AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(SHOWN, '[ \t]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g') AS plain,
+    'conversion-record: ' || conversion_id || E'\r\n' || 'source-payload-digest: ' || digest || E'\r\n'
+    || 'source-payload-length: ' || strlen(html) || E'\r\n' || CASE WHEN title <> '' THEN 'title: ' || title || E'\r\n' ELSE '' END
+    || E'http-header: HTTP/1.1 200 OK\r\nhttp-header: Content-Type: text/html; charset=utf-8\r\nhttp-header: Content-Length: '
+    || strlen(html) || E'\r\n' || coalesce(list_aggregate(list_transform(regexp_extract_all(html,
+      '(?i)<a\b[^>]*?\bhref\s*=\s*["'']([^"''>]*)["'']', 1), lambda x :
+      'outlink: ' || regexp_replace(LINK, '\s+', '%20', 'g') || E' L a/@href\r\n'), 'string_agg', ''), '') AS fields
+  FROM t
+), o AS (
+  SELECT metadata_id AS record_id, 'metadata' AS warc_type, url, refers_to, digest, 'application/warc-fields' AS content_type,
+    fields AS block FROM b
+  UNION ALL
+  SELECT conversion_id, 'conversion', url, refers_to, digest, 'text/plain; charset=utf-8', plain FROM b
+)
+SELECT record_id, warc_type, url AS target_uri, '2024-01-01T00:00:00Z' AS warc_date, refers_to, digest AS source_payload_digest,
+  content_type, strlen(block)::BIGINT AS content_length, 'sha1:' || translate(list_aggregate(list_transform(range(8), lambda k :
+    to_base(('0x' || sha1(block)[5 * k + 1 : 5 * k + 5])::BIGINT, 32, 4)), 'string_agg', ''),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS block_digest, block
+FROM o
+""".replace("TITLE", unescaped("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")).replace("LINK", unescaped("x")).replace(
+    "SHOWN", unescaped(r"""regexp_replace(regexp_replace(shown,
+    '(?i)</?(address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>',
+    chr(10), 'g'), '(?s)<[^>]*>', '', 'g')"""))
+
+
 @query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), k=4, percent=85)
