@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import bounded, settled, small_batches
 
 SAMPLE_ROWS = 96  # labelled rows of a language that its automaton is fitted on
 SAMPLE_CHARS = 256  # of each of these rows, from a seeded place
@@ -151,9 +151,9 @@ def sample_texts(docs: DataFrame, labelled, rows: int = SAMPLE_ROWS, chars: int
     times the rows wanted, so that no large group is ranked.
     """
     there = docs.where(labelled & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = there.groupBy("lang").agg(F.count("*").alias("c"))
+    counts = settled(there.groupBy("lang").agg(F.count("*").alias("c")), "languages")
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
-    cut = there.select("lang", "text", draw.alias("draw")).join(counts, "lang").where(
+    cut = there.select("lang", "text", draw.alias("draw")).join(bounded(counts), "lang").where(
         F.col("draw") <= F.lit(float(1 << 40)) * 4 * rows / F.col("c"))
     at = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - chars, F.lit(0)) + 1) + 1
     ranked = cut.select("lang", "draw", F.substring("text", at.cast("int"), F.lit(chars)).alias("part")).withColumn(
