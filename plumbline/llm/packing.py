@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import settled, small_batches
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 GROUP_ROWS = 50_000
 _CACHE: dict = {}
 _BREAK = re.compile(r" (?=\S)")
@@ -45,16 +45,34 @@ class WordCache:
         at = [0, *(m.start() for m in _BREAK.finditer(text)), len(text)]
         return [text[a:b] for a, b in zip(at, at[1:])]
 
+    def learn(self, words: list[str]) -> None:
+        """Ids of new words; one of letters only is a single unit of the model, which then needs no pre-tokenizer."""
+        plain = [w for w in words if (w[1:] if w[:1] == " " else w).isalpha()]
+        units = [w.encode().decode("latin-1").translate(_BYTE_LETTERS) for w in plain]
+        tokenize = self.tokenizer.model.tokenize
+        for w, unit in zip(plain, units):
+            self.known[w] = np.array([t.id for t in tokenize(unit)], "<u4").tobytes()
+        rest = [w for w in words if w not in self.known]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.known[w] = np.array(e.ids, "<u4").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
         split = [self.words(t) for t in texts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        fresh = list({w for words in split for w in words if w not in self.known})
-        for w, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+        self.learn(list(set().union(*split).difference(self.known)))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE writes each byte as a visible character: itself, or the next free one from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 def _tokenizer(path: str | None) -> WordCache:
