@@ -40,7 +40,8 @@ def search_bucket(queries: np.ndarray, vectors: np.ndarray, k: int):
     scores = _products(queries, first)
     at = min(k, scores.shape[1])
     bound = -np.partition(-scores.astype(np.float64), at - 1, axis=1)[:, at - 1] if len(vectors) >= k else np.full(len(queries), -np.inf)
-    q, r = np.nonzero(scores >= bound[:, None])
+    bound = bound - np.abs(bound) * (1e-12 if scores.dtype == object else 0)  # whole numbers beyond 53 bits
+    q, r = np.nonzero((scores >= bound[:, None]).astype(bool))
     found = [(q, r, scores[q, r])]
     rest, rest_lengths = vectors[len(first) :], lengths[len(first) :]
     if len(rest):
@@ -59,11 +60,11 @@ def search_bucket(queries: np.ndarray, vectors: np.ndarray, k: int):
                 some = np.flatnonzero(partial + left * mine >= bound[i] - slack[i])
             if len(some):
                 exact = _products(queries[i : i + 1], rest[some])[0]
-                good = exact >= bound[i]
+                good = (exact >= bound[i]).astype(bool)
                 found.append((np.full(good.sum(), i), some[good] + len(first), exact[good]))
     q, r, s = (np.concatenate(x) for x in zip(*found))
     # the k best of each query; ties to the row that comes first
-    place = np.lexsort((order[r], -s if s.dtype != object else np.array([-float(x) for x in s]), q))
+    place = np.array(sorted(range(len(s)), key=lambda i: (q[i], -s[i], order[r[i]])), np.int64)
     rank = np.arange(len(place)) - np.searchsorted(q[place], q[place])
     place = place[rank < k]
     return q[place], order[r[place]], np.array([int(x) for x in s[place]], dtype=object)

@@ -59,10 +59,12 @@ class SuffixAutomaton:
 
     def table(self, symbols: int) -> np.ndarray:
         """next state * symbols * 2 + (1 if a phrase ends before this symbol), for state * symbols + symbol."""
-        root = np.zeros(symbols, np.int64)
+        unknown = len(self.next)  # a state after a symbol that the sample lacks: nothing extends it
+        root = np.full(symbols, unknown, np.int64)
         for c, t in self.next[0].items():
             root[c] = t
-        out = np.tile(root * symbols * 2 + 1, (len(self.next), 1))
+        out = np.tile(root * symbols * 2 + 1, (len(self.next) + 1, 1))
+        out[0] = root * symbols * 2
         for s, moves in enumerate(self.next):
             for c, t in moves.items():
                 out[s, c] = t * symbols * 2

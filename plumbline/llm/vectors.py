@@ -49,7 +49,7 @@ def top_k(rows: DataFrame, asked: Column, n_shards: int, search: Callable, k: in
     rows has vec_id, vector and shard (from 0 to n_shards - 1). search(queries, vectors, k) gives, for a block and a
     shard, query places, row places and scores of at least the k best of each query; rows come in order of vec_id.
     """
-    queries = rows.where(asked)
+    queries = rows.where(asked).groupBy("vec_id").agg(F.min("vector").alias("vector"))  # one for each id
     blocks = max(1, -(-queries.count() // BLOCK_ROWS))
     dim = F.size("vector").alias("dim")
     left = rows.select("vec_id", "vector", dim, "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),

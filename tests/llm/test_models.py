@@ -1,0 +1,95 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from plumbline.llm import language_id, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def remainder(n):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def test_automaton_accepts_exactly_the_substrings():
+    text = [1, 2, 1, 1, 2, 3, 1, 2, 1]
+    automaton = language_id.SuffixAutomaton(text)
+
+    def accepts(s):
+        state = 0
+        for c in s:
+            if c not in automaton.next[state]:
+                return False
+            state = automaton.next[state][c]
+        return True
+
+    there = {tuple(text[i:j]) for i in range(len(text)) for j in range(i, len(text) + 1)}
+    for n in range(1, 5):
+        for s in np.ndindex(*(4,) * n):
+            assert accepts(s) == (tuple(s) in there)
+
+
+def test_phrases_equal_a_greedy_parse():
+    model = language_id.LanguageModel({"a": ["banana bandana"], "b": ["cabbage cab"]})
+    samples = {"a": "banana bandana", "b": "cabbage cab"}
+    for text in ("banana cab", "ab", "bandanas", "zzz"):
+        encoded = model.encode(language_id.fold_text(text))
+        for k, own in enumerate(model.languages):
+            known = model.encode(language_id.fold_text(samples[own])).tolist() + [0]
+            have = {tuple(known[i:j]) for i in range(len(known)) for j in range(i + 1, len(known) + 1)}
+            n, i, s = 0, 0, encoded.tolist()
+            while i < len(s):
+                j = i + 1
+                while j < len(s) and tuple(s[i : j + 1]) in have:
+                    j += 1
+                n, i = n + 1, j
+            assert model.phrases([encoded])[0, k] == n
+
+
+def test_language_of_held_out_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = language_id.identify(docs, labelled=remainder(4) != 2).join(docs.select("doc_id", "lang"), "doc_id")
+    right, rows = found.where(remainder(4) == 2).agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert rows > 200 and right > 0.97
+
+
+def test_language_of_odd_rows(docs, empty):
+    got = language_id.identify(docs)
+    assert got.count() == docs.count()
+    by = {r.doc_id: r for r in got.collect() if r.doc_id is not None}
+    text = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    for i, r in by.items():
+        assert (r.lang_pred == "und") == (not any(map(str.isalpha, text[i] or "")))
+        assert 0 <= r.score <= 1
+    kept = language_id.known_language(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == got.where("lang_pred <> 'und'").count()
+    assert language_id.identify(empty).count() == 0
+
+
+def test_channel_restores_words():
+    # a flat model that favours the word's letters
+    flat = np.full((toxicity.SYMBOLS,) * 3, 5.0, np.float32)
+    word = [0, 0, *(ord(c) - 96 for c in "idiot"), 0]
+    for a, b, c in zip(word, word[1:], word[2:]):
+        flat[a, b, c] = 0.1
+    for disguise in ("1d10t", "i.d.i.o.t", "idiiiot", "!d!ot", "id*ot", "idiot"):
+        assert toxicity.decode(disguise, flat) == "idiot"
+    assert toxicity.Restorer(flat).words("so i d i o t there") >= {"idiot", "so", "there"}
+
+
+def test_toxicity_of_held_out_rows(spark):
+    sf = SF.replace("0.01", "0.1")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    found = toxicity.score_toxicity(docs, labels, labelled=remainder(5) != 0).join(labels, "doc_id").where(remainder(5) == 0)
+    t = {(r.toxic, r.predicted): r.n for r in found.groupBy("toxic", "predicted").agg(F.count("*").alias("n")).collect()}
+    assert t[1, 1] / (t[1, 1] + t.get((1, 0), 0)) > 0.85
+    assert t.get((0, 1), 0) / t[0, 0] < 0.01
+
+
+def test_toxicity_of_odd_rows(spark, docs, empty):
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(50)] + [(None, 1), (3, 7), (4, None)], "doc_id long, toxic int")
+    for marks in (labels, labels.limit(0), labels.where("toxic = 0")):
+        got = toxicity.score_toxicity(docs, marks).collect()
+        assert len(got) == docs.count()
+        assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    assert toxicity.score_toxicity(empty, labels).count() == 0
