@@ -40,7 +40,8 @@ def search_bucket(queries: np.ndarray, vectors: np.ndarray, k: int):
     scores = _products(queries, first)
     at = min(k, scores.shape[1])
     bound = -np.partition(-scores.astype(np.float64), at - 1, axis=1)[:, at - 1] if len(vectors) >= k else np.full(len(queries), -np.inf)
-    bound = bound - np.abs(bound) * (1e-12 if scores.dtype == object else 0)  # whole numbers beyond 53 bits
+    if scores.dtype == object:  # products beyond 53 bits: the bound was rounded
+        bound = bound - np.abs(bound) * 1e-12
     q, r = np.nonzero((scores >= bound[:, None]).astype(bool))
     found = [(q, r, scores[q, r])]
     rest, rest_lengths = vectors[len(first) :], lengths[len(first) :]
