@@ -28,9 +28,11 @@ def settle(df: DataFrame, weight: str | None = None) -> Lookup:
     """Computes ``df`` once: held as a local relation when small, checkpointed otherwise."""
     once = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        head = once.limit(BROADCAST_ROWS + 1).toArrow()
-        if head.num_rows <= BROADCAST_ROWS and head.nbytes <= BROADCAST_BYTES:
-            return Lookup(df.sparkSession.createDataFrame(head, schema=df.schema), True, weight)
+        # measured before anything is collected; JSON is about as long as the values or longer
+        text = F.to_json(F.struct(*[col(c) for c in once.columns]))
+        rows, size = once.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+        if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+            return Lookup(df.sparkSession.createDataFrame(once.toArrow(), schema=df.schema), True, weight)
         return Lookup(cut_lineage(once), False, weight)
     finally:
         once.unpersist()

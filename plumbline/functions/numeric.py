@@ -61,8 +61,9 @@ def normal_quantile(p: Column) -> Column:
 
 
 def normal_density(x: Column, mean: Column, spread: Column) -> Column:
-    z = (x - mean) / spread
-    return F.exp(-z * z / 2) / (spread * math.sqrt(2 * math.pi))
+    """NULL where there is no spread."""
+    z = F.try_divide(x - mean, spread)
+    return F.try_divide(F.exp(-z * z / 2), spread * math.sqrt(2 * math.pi))
 
 
 BOXCOX_FLOOR = -1 + 1e-9

@@ -4,9 +4,12 @@ Spark's ``percentile`` keeps every distinct value of a group in one buffer, whic
 is fine for a bounded column and impossible for an unbounded one. Beyond
 ``DIRECT_ROWS`` values the wanted ranks are bracketed instead: a mergeable sketch
 proposes two cut values, an exact count decides which side of them each rank lies
-on, and the bracket shrinks by a factor of thousands per round until few values
-are left. Counts, not the sketch, decide, so the result is exact; a heavy tie ends
-the search at once. The driver only ever holds bracket ends and counts.
+on, and the bracket shrinks by a factor of hundreds per round until few values
+are left. Counts, not the sketch, decide, so the result is exact. Cuts are values of
+the column (KLL sketches keep items, whole numbers as such), so every round passes at
+least one value and a heavy tie ends the search. Sketches merge in two levels, so that
+no task receives one from every partition of a large table. The driver only ever holds bracket ends
+and counts.
 """
 
 from __future__ import annotations
@@ -22,9 +25,15 @@ from .columns import batches
 
 DIRECT_ROWS = 200_000
 GATHER_ROWS = 20_000
-ACCURACY = 10_000
-MARGIN = 3 / ACCURACY  # beyond the sketch's own rank error
+SKETCH_K = 4096
+GROUPS = 256  # of partitions whose sketches are merged first
+MARGIN = 0.002  # beyond the sketch's own rank error
 WIDTH = 40  # aggregate expressions per job
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+SKETCHES = {
+    False: (F.kll_sketch_agg_double, F.kll_merge_agg_double, F.kll_sketch_get_quantile_double),
+    True: (F.kll_sketch_agg_bigint, F.kll_merge_agg_bigint, F.kll_sketch_get_quantile_bigint),
+}
 COLUMNS = 32  # columns persisted at the same time
 
 
@@ -69,15 +78,21 @@ def _shares(b: _Bracket) -> tuple[float, float]:
 def _propose(narrow: DataFrame, active: list[_Bracket]) -> list[tuple]:
     """(condition, value, low cut, high cut, brackets): one sketch per distinct bracket."""
     proposals = []
+    parted = narrow.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(GROUPS)))
+    kinds = dict(narrow.dtypes)
     for part in batches(_grouped(active), WIDTH):
-        exprs, wanted = [], []
+        exprs, merges, reads, wanted = [], [], [], []
         for i, ((column, low, high), members) in enumerate(part):
             v = F.col(f"v{column}")
+            sketch, merge, read = SKETCHES[kinds[f"v{column}"] in WHOLE]
             pairs = sorted({_shares(b) for b in members})
             wanted.append((v, _within(v, low, high), pairs, members))
             flat = [p for pair in pairs for p in pair]
-            exprs.append(F.percentile_approx(F.when(wanted[-1][1], v), flat, ACCURACY).alias(f"c{i}"))
-        for (v, inside, pairs, members), cuts in zip(wanted, narrow.agg(*exprs).first()):
+            exprs.append(sketch(F.when(wanted[-1][1], v), SKETCH_K).alias(f"c{i}"))
+            merges.append(merge(f"c{i}", SKETCH_K).alias(f"c{i}"))
+            reads.append(read(f"c{i}", F.array(*[F.lit(p) for p in flat])).alias(f"c{i}"))
+        cut_rows = parted.groupBy("_group").agg(*exprs).agg(*merges).select(*reads).first()
+        for (v, inside, pairs, members), cuts in zip(wanted, cut_rows):
             for k, pair in enumerate(pairs):
                 near = [b for b in members if _shares(b) == pair]
                 proposals.append((inside, v, cuts[2 * k], cuts[2 * k + 1], near))
@@ -142,7 +157,10 @@ def _solve(
     brackets = [_Bracket(i, r, counts[n]) for i, n in enumerate(names) for r in ranks.get(n, [])]
     active = [b for b in brackets if b.inside > GATHER_ROWS]
     while active:
+        before = [b.inside for b in active]
         _narrow(narrow, active)
+        if any(b.inside >= n and not b.found for b, n in zip(active, before)):
+            raise RuntimeError("a rank search made no progress")
         active = [b for b in active if not b.found and b.inside > GATHER_ROWS]
     rest = [b for b in brackets if not b.found]
     if rest:

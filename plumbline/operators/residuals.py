@@ -49,13 +49,16 @@ def residual_summary(df: DataFrame, residual: str = "residual") -> DataFrame:
 
 
 def residual_histogram(df: DataFrame, residual: str = "residual", bins: int = 50) -> DataFrame:
-    """(bin, left, right, n, density) for every equal-width bin, empty ones included."""
+    """(bin, left, right, n, density) for every equal-width bin, empty ones included.
+
+    Without spread all values fall into the first bin, whose width and the rest are 0 and its density NULL.
+    """
     r = as_double(df, residual)
     span = df.select(
         F.struct(F.min(r).alias("low"), F.max(r).alias("high"), F.count(r).alias("n"))
     ).scalar()
     width = (span["high"] - span["low"]) / bins
-    number = F.when(width == 0, 0).otherwise(F.least(F.floor((r - span["low"]) / width), F.lit(bins - 1)))
+    number = F.when(width == 0, 0).otherwise(F.least(F.floor(F.try_divide(r - span["low"], width)), F.lit(bins - 1)))
     counted = (
         df.filter(r.isNotNull())
         .select(number.cast("int").alias("bin"))
@@ -69,7 +72,7 @@ def residual_histogram(df: DataFrame, residual: str = "residual", bins: int = 50
         (span["low"] + F.col("bin") * width).alias("left"),
         (span["low"] + (F.col("bin") + 1) * width).alias("right"),
         "n",
-        (F.col("n") / (span["n"] * width)).alias("density"),
+        F.try_divide(F.col("n"), span["n"] * width).alias("density"),
     )
 
 
@@ -331,7 +334,7 @@ def shapiro_wilk_statistic(
         .otherwise(F.col("m") / F.col("scale"))
     )
     return weighted.agg(
-        F.max("n").alias("n"), (F.sum(weight * F.col("x")) ** 2 / F.max("ss")).alias("statistic")
+        F.max("n").alias("n"), F.try_divide(F.sum(weight * F.col("x")) ** 2, F.max("ss")).alias("statistic")
     )
 
 

@@ -188,13 +188,17 @@ def sample_n(
     seed: int | None = None,
     order: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """Exactly ``n`` rows without replacement, or all rows when there are fewer."""
+    """Exactly ``n`` rows without replacement, or all rows when there are fewer.
+
+    The n-th order key is found first and filters the rows, so that a top-k sees about ``n`` rows
+    in all rather than ``n`` of every partition. Rows equal in all order keys are told apart by that
+    top-k up to ``TOP_K_ROWS``; in a larger sample the last of such ties stay together.
+    """
     order = default(order, seeded_order(id_cols, default(seed, FIT.seed)))
-    if n <= TOP_K_ROWS:
-        return df.orderBy(*order).limit(n)
     keys = [F.col(f"_o{i}") for i in range(len(order))]
     base = df.select(*[o.alias(f"_o{i}") for i, o in enumerate(order)]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return df.filter(first_k(base, keys, {0: (F.lit(True), n)}, order))
+        near = df.filter(first_k(base, keys, {0: (F.lit(True), n)}, order))
     finally:
         base.unpersist()
+    return near.orderBy(*order).limit(n) if n <= TOP_K_ROWS else near

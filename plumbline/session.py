@@ -14,6 +14,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,14 @@ MISSING_TEXTS = (
 )
 
 
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def _number(c: str, kind: str) -> Column:
+    """A plain decimal number; Spark alone would also read 1D or 3f as one."""
+    return F.when(col(c).rlike(NUMBER), col(c).try_cast(kind))
+
+
 def read_delimited(
     spark: SparkSession, path: str, sep: str = "\t", schema: T.StructType | str | None = None
 ) -> DataFrame:
@@ -22,7 +30,8 @@ def read_delimited(
 
     With a schema the file is scanned once; without one a pass over the text decides
     the types. All usual missing texts become NULL before a type is chosen: the
-    columns are read as text and tried as whole numbers, then as doubles.
+    columns are read as text and tried as whole numbers, then as doubles. Anything
+    that is not a plain decimal number, true and false included, stays text.
     """
     reader = spark.read.option("sep", sep).option("header", True).option("nullValue", "NA")
     raw = reader.csv(path)
@@ -42,8 +51,8 @@ def _inferred(clean: DataFrame) -> dict[str, T.DataType]:
     for i, c in enumerate(clean.columns):
         exprs += [
             F.count(col(c)).alias(f"n{i}"),
-            F.count(col(c).try_cast("long")).alias(f"l{i}"),
-            F.count(col(c).try_cast("double")).alias(f"d{i}"),
+            F.count(_number(c, "long")).alias(f"l{i}"),
+            F.count(_number(c, "double")).alias(f"d{i}"),
         ]
     row = clean.agg(*exprs).first()
     kinds = {}

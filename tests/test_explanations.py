@@ -25,10 +25,11 @@ def forest(linear_data):
 
 @pytest.fixture(scope="module")
 def residual_rows(spark):
-    rng = np.random.default_rng(0)
-    y = rng.normal(200_000, 50_000, 300)
-    x = rng.normal(size=(300, 3))
-    rows = [(i, float(a), float(a + e), *map(float, v)) for i, (a, e, v) in enumerate(zip(y, rng.normal(0, 5000, 300), x))]
+    rng = np.random.default_rng(71)
+    x = rng.uniform(-2, 2, size=(300, 3))
+    y = 40 + 12 * x[:, 0] + rng.gumbel(0, 6, 300)
+    miss = rng.laplace(0, 2, 300) * (1 + np.abs(x[:, 1]))
+    rows = [(i, float(a), float(a + e), *map(float, v)) for i, (a, e, v) in enumerate(zip(y, miss, x))]
     df = spark.createDataFrame(rows, "id long, y double, prediction double, a double, b double, c double")
     return residuals.with_residual(df, "y").persist()
 
@@ -36,6 +37,19 @@ def residual_rows(spark):
 # ---- residuals ----------------------------------------------------------------
 
 
+@pytest.mark.parametrize("shift", [0.0, 2.5])
+def test_report_of_residuals_without_spread(spark, shift):
+    rows = [(i, float(i), float(i - shift), float(i % 7)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, y double, prediction double, a double")
+    report = residuals.residual_report(df, ["id"], "y", features=["a"])
+    assert report["tests"]["shapiro_wilk"]["statistic"] == 1.0 and report["tests"]["breusch_pagan"]["homoscedastic"]
+    assert report["summary"].first()["std_residual"] == 0.0
+    bins = report["tables"]["histogram"].orderBy("bin").collect()
+    assert bins[0]["n"] == 60 and sum(r["n"] for r in bins) == 60 and bins[0]["density"] is None
+    for table in report["tables"].values():
+        table.write.format("noop").mode("overwrite").save()
+
+
 def test_zero_spread_residuals(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0)], "y double, prediction double")
     out = residuals.standardized_residuals(residuals.with_residual(df, "y"))
@@ -77,7 +91,7 @@ def test_breusch_pagan_equals_direct_regression(residual_rows):
 
 def test_breusch_pagan_ignores_constant_and_duplicate_columns(residual_rows):
     plain = residuals.breusch_pagan(residual_rows, ["a", "b", "c"])
-    more = residual_rows.withColumn("k", F.lit(6.5)).withColumn("d", 2 * F.col("a"))
+    more = residual_rows.withColumn("k", F.lit(-3.0)).withColumn("d", 1 - 5 * F.col("a"))
     again = residuals.breusch_pagan(more, ["a", "b", "c", "k", "d"])
     assert again["lm_pvalue"] == pytest.approx(plain["lm_pvalue"], rel=1e-8) and again["df"] == 3
     assert residuals.breusch_pagan(more, ["k"])["lm_pvalue"] == 1.0
@@ -314,14 +328,14 @@ def test_lime_feature_count(linear_data, forest, count):
     assert len(rows) == min(count, 4)
 
 
-def test_lime_keeps_non_ascii_names_and_constant_columns(spark):
-    rng = np.random.default_rng(0)
-    rows = [(i, float(a), 1.0, float(2 * a)) for i, a in enumerate(rng.normal(size=80))]
-    df = spark.createDataFrame(rows, "id long, `площадь` double, k double, y double")
-    names = ["площадь", "k"]
+def test_lime_keeps_odd_names_and_constant_columns(spark):
+    grid = np.linspace(-1, 1, 90)
+    rows = [(i, float(v), 4.0, float(v - 7)) for i, v in enumerate(grid)]
+    names = ["größe (m²)", "fixed"]
+    df = spark.createDataFrame(rows, "id long, `größe (m²)` double, fixed double, y double")
     model = linear_regressor(names, "y").fit(df)
-    out = lime_explain(model, df.filter("id = 0"), bin_profile(df, names), names, ["id"], num_samples=500).collect()
-    assert "площадь" in out[0]["bin_label"] and all(math.isfinite(r["weight"]) for r in out)
+    out = lime_explain(model, df.filter("id = 11"), bin_profile(df, names), names, ["id"], num_samples=500).collect()
+    assert names[0] in out[0]["bin_label"] and all(math.isfinite(r["weight"]) for r in out)
 
 
 def test_compare_predictions(linear_data, linear):

@@ -194,6 +194,9 @@ def test_saved_recipe_scores_new_rows_in_batch_and_stream(spark, trained, houses
     batch = recipes.predict(spark, path, rows, ["id"], "SalePrice")
     assert batch.count() == 240 and batch.columns == ["id", "actual_price", "predicted_price", "error"]
     assert recipes.predict(spark, path, rows.drop("SalePrice"), ["id"]).count() == 240
+    unknown = rows.withColumn("SalePrice", F.when(F.col("id") % 2 == 0, F.col("SalePrice")))
+    open_ = recipes.predict(spark, path, unknown, ["id"], "SalePrice").where("actual_price IS NULL")
+    assert open_.count() == open_.where("error IS NULL AND predicted_price IS NOT NULL").count() == unknown.where("id % 2 <> 0").count()
     with pytest.raises(FileNotFoundError):
         recipes.load_model(spark, str(tmp_path / "absent"))
     rows.write.parquet(str(tmp_path / "in"))

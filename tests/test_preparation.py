@@ -13,10 +13,8 @@ from plumbline.sources.sinks import prediction_table, read_best_params, write_be
 
 @pytest.fixture
 def raw(spark, rng):
-    rows = [
-        (i, 526301100 + i, int(rng.integers(2006, 2011)), int(rng.integers(800, 3000)), "NAmes", float(rng.normal(180_000, 40_000)))
-        for i in range(20)
-    ]
+    kinds = ["Elm St", "Oak St", "Mill Rd"]
+    rows = [(i, 9000 - 3 * i, 2006 + i % 5, 900 + 37 * i, kinds[i % 3], 95_000.0 + 4_100 * i) for i in range(20)]
     return spark.createDataFrame(
         rows, "Order long, PID long, `Yr Sold` int, `Gr Liv Area` int, Neighborhood string, SalePrice double"
     )
@@ -33,6 +31,14 @@ def test_delimited_scan_infers_types_and_missing(spark, tmp_path):
     assert dict(typed.dtypes)["Lot Area"] == "double"
 
 
+def test_only_plain_numbers_become_numbers(spark, tmp_path):
+    path = tmp_path / "t.tsv"
+    path.write_text("a\tb\tc\td\te\n1D\t3f\ttrue\t1e3\t+7\n2D\t7D\tfalse\t.5\t-2\n")
+    df = read_delimited(spark, str(path))
+    assert dict(df.dtypes) == {"a": "string", "b": "string", "c": "string", "d": "double", "e": "bigint"}
+    assert [tuple(r) for r in df.orderBy("a").collect()] == [("1D", "3f", "true", 1000.0, 7), ("2D", "7D", "false", 0.5, -2)]
+
+
 def test_load_dataset_composes(spark, raw, tmp_path):
     path = str(tmp_path / "raw")
     raw.write.option("header", True).option("sep", "\t").csv(path)
@@ -102,7 +108,7 @@ def test_imputer_round_trip(gaps, tmp_path):
 
 @pytest.mark.parametrize("kind", ["double", "bigint", "int", "float", "smallint"])
 def test_outliers_in_every_numeric_type(spark, kind):
-    df = spark.createDataFrame([(v,) for v in (100, 105, 110, 102, 108, 10000)], "SalePrice long")
+    df = spark.createDataFrame([(v,) for v in (71, 64, 69, 66, 73, 68, 9001)], "SalePrice long")
     df = df.select(F.col("SalePrice").cast(kind).alias("SalePrice"))
     assert outliers.outlier_mask(df, ["SalePrice", "absent"]).filter("is_outlier").count() == 1
 
@@ -113,8 +119,8 @@ def test_missing_values_are_not_outliers(spark):
 
 
 def test_extreme_target_without_spread(spark):
-    df = spark.createDataFrame([(100.0,)] * 20 + [(100000.0,)], "SalePrice double")
-    assert outliers.remove_extreme_outliers(df).count() == 20
+    df = spark.createDataFrame([(42.0,)] * 15 + [(7e6,)], "SalePrice double")
+    assert outliers.remove_extreme_outliers(df).count() == 15
 
 
 @pytest.fixture
@@ -152,6 +158,14 @@ def test_first_k_moves_through_ties(spark):
     assert rows == sorted((i % 4, i) for i in range(200))[:70]
 
 
+def test_samples_and_splits_of_repeated_ids_end(spark):
+    rows = spark.range(0, 45_000, 1, 6).select((F.col("id") % 3).alias("id"), (F.col("id") % 1009).cast("double").alias("y"))
+    assert splits.sample_n(rows, 4_000, ["id"]).count() == 4_000
+    assert splits.sample_n(rows, 12_000, ["id"]).count() % 15_000 == 0  # ties of a larger sample stay together
+    marked = splits.mark_split(rows, ["id"], "y")
+    assert marked.count() == 45_000
+
+
 def test_sample_beyond_top_k_equals_ordered_sample(priced, monkeypatch):
     small = {r["id"] for r in splits.sample_n(priced, 100, ["id"]).collect()}
     monkeypatch.setattr(splits, "TOP_K_ROWS", 10)
