@@ -1,9 +1,11 @@
 """Column permutation and permutation importance.
 
-Rows fall into buckets by a hash of their id, which bounds a bucket whatever the
-data looks like. Inside a bucket the rows take a random order and a permuted column
-is that order rotated by a random distance. One shuffle of the rows serves every
-feature and repeat; a table smaller than one bucket is permuted as a whole.
+One rule at every size. For each repeat rows fall into buckets by a draw from their id and
+the repeat, which bounds a bucket whatever the data looks like. Inside a bucket the rows
+stand in the order of a second draw, and the values of a feature in the order of a draw that
+also depends on the feature; the i-th row receives the i-th value. So every feature and
+repeat is a shuffle of its own, and one shuffle of the narrow rows per repeat serves all
+features. A draw is a part of an MD5 digest, which any engine can compute.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FIT, default
-from ..functions.columns import as_double, col, id_hash
+from ..functions.columns import as_double, col
 from ..functions.lookups import settle
 from .metrics import minmax_normalize
 
@@ -24,42 +26,37 @@ BUCKET_ROWS = 2048
 NOISE_THRESHOLD = 0.01
 
 
-def _bucket_count(df: DataFrame) -> int:
-    return max(1, math.ceil(df.count() / BUCKET_ROWS))
+def draw(ids: Sequence[Column], *salt: Column) -> Column:
+    """60 bits of the digest of the ids and the salt, as a whole number."""
+    text = F.concat_ws("|", *[i.cast("string") for i in ids], *[s.cast("string") for s in salt])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def _bucketed(
-    df: DataFrame,
-    payload: list[Column],
-    id_cols: Sequence[str],
-    seed: int,
-    bucket: Column | None,
-    order: Column | None,
+    df: DataFrame, payload: list[Column], id_cols: Sequence[str], seed: int, repeats: Column, bucket_rows: int
 ) -> DataFrame:
-    """(bucket, rows): each bucket's rows in their random order."""
-    if bucket is None:
-        bucket = F.pmod(id_hash(id_cols, seed, F.lit("bucket")), F.lit(_bucket_count(df)))
-    key = default(order, id_hash(id_cols, seed, F.lit("order")))
-    row = F.struct(key.alias("_key"), *[col(c) for c in id_cols], *payload)
-    return (
-        df.select(bucket.cast("long").alias("bucket"), row.alias("r"))
-        .groupBy("bucket")
-        .agg(F.sort_array(F.collect_list("r")).alias("rows"))
+    """(repeat, rows): the rows of each bucket of each repeat, in their order; keys are in ``_ids``."""
+    buckets = max(1, math.ceil(df.count() / bucket_rows))
+    ids = [F.col(f"_id{i}") for i in range(len(id_cols))]
+    rows = df.select(*[col(c).alias(f"_id{i}") for i, c in enumerate(id_cols)], *payload)
+    rows = rows.withColumn("repeat", F.explode(repeats))
+    place = F.struct(
+        draw(ids, F.lit(seed), F.col("repeat"), F.lit("order")).alias("_key"), *ids,
+        *[F.col(c) for c in rows.columns if c != "repeat" and not c.startswith("_id")],
     )
+    bucket = F.pmod(draw(ids, F.lit(seed), F.col("repeat"), F.lit("bucket")), F.lit(buckets))
+    return rows.select("repeat", bucket.alias("bucket"), place.alias("r")).groupBy("repeat", "bucket").agg(
+        F.sort_array(F.collect_list("r")).alias("rows"))
 
 
-def _rotation(seed: int, number: Column, shift: Column | None) -> Column:
-    """Rotation distance in [1, size) of each bucket, 0 when there is one row."""
-    size = F.size("rows")
-    if shift is not None:
-        return F.pmod(shift, size)
-    free = F.pmod(F.xxhash64(F.lit(int(seed)), number, F.col("bucket")), F.greatest(size - 1, F.lit(1)))
-    return F.when(size > 1, 1 + free).otherwise(F.lit(0)).cast("int")
+def _donors(rows: Column, ids: int, seed: int, repeat: Column, feature: Column, value) -> Column:
+    """The values of a feature in their shuffled order."""
 
+    def keyed(r: Column) -> Column:
+        own = [r[f"_id{i}"] for i in range(ids)]
+        return F.struct(draw(own, F.lit(seed), repeat, feature).alias("k"), *own, value(r).alias("v"))
 
-def _rotated(rows: Column, distance: Column) -> Column:
-    size = F.size(rows)
-    return F.concat(F.slice(rows, distance + 1, F.greatest(size - distance, F.lit(0))), F.slice(rows, F.lit(1), distance))
+    return F.transform(F.array_sort(F.transform(rows, keyed)), lambda x: x["v"])
 
 
 def permute_column(
@@ -68,20 +65,16 @@ def permute_column(
     column: str,
     seed: int | None = None,
     repeat: int = 0,
-    bucket: Column | None = None,
-    order: Column | None = None,
-    shift: Column | None = None,
+    bucket_rows: int | None = None,
 ) -> DataFrame:
     """The frame with one column shuffled among its rows and all others in place."""
     seed = default(seed, FIT.seed)
-    others = [c for c in df.columns if c not in id_cols]
-    grouped = _bucketed(df, [col(c) for c in others], id_cols, seed, bucket, order)
-    donors = F.transform(F.col("rows"), lambda r: r[column])
-    pairs = F.arrays_zip(F.col("rows").alias("r"), _rotated(donors, F.col("by")).alias("donor"))
-    flat = grouped.withColumn("by", _rotation(seed, F.lit(repeat), shift)).select(F.inline(pairs))
-    return flat.select(
-        *[(F.col("donor") if c == column else F.col("r")[c]).alias(c) for c in df.columns]
-    )
+    payload = [F.struct(*[col(c) for c in df.columns]).alias("row")]
+    grouped = _bucketed(df, payload, id_cols, seed, F.array(F.lit(repeat)), default(bucket_rows, BUCKET_ROWS))
+    donors = _donors(F.col("rows"), len(id_cols), seed, F.col("repeat"), F.lit(column), lambda r: r["row"][column])
+    flat = grouped.select("rows", donors.alias("donors"))
+    flat = flat.select(F.inline(F.arrays_zip(F.col("rows").alias("r"), F.col("donors").alias("donor"))))
+    return flat.select(*[(F.col("donor") if c == column else F.col("r.row")[c]).alias(c) for c in df.columns])
 
 
 def permuted_errors(
@@ -92,43 +85,35 @@ def permuted_errors(
     id_cols: Sequence[str],
     n_repeats: int = 10,
     seed: int | None = None,
-    bucket: Column | None = None,
-    order: Column | None = None,
-    shift: Column | None = None,
+    bucket_rows: int | None = None,
     prediction: str = "prediction",
 ) -> DataFrame:
-    """(feature, repeat, mse); feature NULL is the untouched baseline."""
+    """(feature, repeat, mse); feature NULL is the untouched baseline.
+
+    A copy of a row carries its own values once and the one value it receives.
+    """
     seed = default(seed, FIT.seed)
-    names = [f"x{i}" for i in range(len(features))]
-    payload = [as_double(df, label).alias("y"), *[as_double(df, f).alias(n) for f, n in zip(features, names)]]
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    few = False
-    if bucket is None:
-        buckets = _bucket_count(df)
-        few = buckets < parallelism
-        bucket = F.pmod(id_hash(id_cols, seed, F.lit("bucket")), F.lit(buckets))
-    grouped = _bucketed(df, payload, id_cols, seed, bucket, order)
-    total = len(features) * n_repeats
-    jobs = grouped.withColumn("k", F.explode(F.sequence(F.lit(-1), F.lit(total - 1))))
-    if few:
-        # a handful of small buckets would leave most tasks idle; with more of them
-        # the copies are made and scored where the bucket is
-        jobs = jobs.repartition(parallelism)
-    jobs = jobs.withColumn("f", F.when(F.col("k") >= 0, F.floor(F.col("k") / n_repeats)).otherwise(-1).cast("int"))
-    jobs = jobs.withColumn("by", F.when(F.col("k") < 0, F.lit(0)).otherwise(_rotation(seed, F.col("k"), shift)))
-    pairs = F.arrays_zip(F.col("rows").alias("r"), _rotated(F.col("rows"), F.col("by")).alias("d"))
-    flat = jobs.select("f", "k", F.inline(pairs))
+    xs = F.array(*[as_double(df, f) for f in features]).alias("xs")
+    repeats = F.sequence(F.lit(0), F.lit(n_repeats - 1))
+    grouped = _bucketed(
+        df, [as_double(df, label).alias("y"), xs], id_cols, seed, repeats, default(bucket_rows, BUCKET_ROWS))
+    names = F.array(*[F.lit(f) for f in features])
+    jobs = grouped.withColumn("f", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))))
+    jobs = jobs.filter((F.col("f") >= 0) | (F.col("repeat") == 0))
+    shuffled = _donors(
+        F.col("rows"), len(id_cols), seed, F.col("repeat"), F.get(names, F.col("f")), lambda r: F.get(r["xs"], F.col("f")))
+    donors = F.when(F.col("f") >= 0, shuffled).otherwise(F.transform("rows", lambda r: F.lit(None).cast("double")))
+    flat = jobs.withColumn("donors", donors).select(
+        "f", "repeat", F.inline(F.arrays_zip(F.col("rows").alias("r"), F.col("donors").alias("donor"))))
     swapped = [
-        F.when(F.col("f") == i, F.col("d")[n]).otherwise(F.col("r")[n]).alias(f)
-        for i, (f, n) in enumerate(zip(features, names))
+        F.when(F.col("f") == i, F.col("donor")).otherwise(F.col("r.xs")[i]).alias(f) for i, f in enumerate(features)
     ]
-    scored = model.transform(flat.select("f", "k", F.col("r.y").alias("_y"), *swapped))
+    scored = model.transform(flat.select("f", "repeat", F.col("r.y").alias("_y"), *swapped))
     e = F.col("_y") - F.col(prediction)
-    errors = scored.groupBy("f", "k").agg(F.avg(e * e).alias("mse"))
-    named = F.get(F.array(*[F.lit(f) for f in features]), F.col("f"))
+    errors = scored.groupBy("f", "repeat").agg(F.avg(e * e).alias("mse"))
     return errors.select(
-        F.when(F.col("f") >= 0, named).alias("feature"),
-        F.when(F.col("k") >= 0, F.pmod(F.col("k"), F.lit(n_repeats))).alias("repeat"),
+        F.when(F.col("f") >= 0, F.get(names, F.col("f"))).alias("feature"),
+        F.when(F.col("f") >= 0, F.col("repeat")).alias("repeat"),
         "mse",
     )
 

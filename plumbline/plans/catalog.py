@@ -1,7 +1,8 @@
 """Registered queries over the benchmark tables, each beside the SQL of the same result.
 
 Row order keys here are integer arithmetic on the row id, so that SQL can draw the
-same folds, samples and permutations; the library's own default is a seeded hash.
+same folds and samples; the library's own default is a seeded hash. Permutations use
+the library's own rule.
 """
 
 from __future__ import annotations
@@ -68,11 +69,7 @@ def fold_key(name: str = ID):
     return F.col(name)
 
 
-BLOCK = 2048  # ids per permutation bucket: unique ids bound a bucket at any table size
-
-
-def block_key(name: str = ID):
-    return F.floor(F.col(name) / BLOCK)
+BLOCK = 2048  # rows of a permutation bucket on average
 
 
 def r(expr: str, digits: int) -> str:
@@ -598,15 +595,28 @@ def sample_n(spark, sf_dir):
     return splits.sample_n(table(spark, sf_dir, "orders").select(ID, "o_totalprice"), 500, [ID], order=order_key())
 
 
-@query(f"""WITH x AS (SELECT o_orderkey, o_totalprice, o_orderkey // {BLOCK} AS bucket,
-       row_number() OVER (PARTITION BY o_orderkey // {BLOCK} ORDER BY {ORDERED}, o_orderkey) - 1 AS i,
-       count(*) OVER (PARTITION BY o_orderkey // {BLOCK}) AS m FROM orders)
-SELECT x.o_orderkey, d.o_totalprice FROM x JOIN x d ON d.bucket = x.bucket AND d.i = (x.i + 37) % x.m""")
+def sql_draw(id_: str, *salt: str) -> str:
+    """SQL of ``permutation.draw``."""
+    text = ", ".join([f"{id_}::VARCHAR", *salt])
+    return f"('0x' || substr(md5(concat_ws('|', {text})), 1, 15))::BIGINT"
+
+
+def shuffled_sql(frame: str, id_: str, repeat: str, values: dict[str, str]) -> str:
+    """SQL of one frame's places in their buckets: p for a row, p_<name> for its value of each feature."""
+    size = f"(SELECT greatest(1, ceil(count(*) / {BLOCK}.0))::BIGINT FROM {frame})"
+    places = ", ".join(
+        f"row_number() OVER (PARTITION BY {repeat}, bucket ORDER BY {sql_draw(id_, '42', repeat, salt)}, {id_}) AS {name}"
+        for name, salt in {"p": "'order'", **{f"p_{n}": f"'{v}'" for n, v in values.items()}}.items()
+    )
+    return f"""SELECT *, {places} FROM (SELECT *, {sql_draw(id_, "42", repeat, "'bucket'")} % {size} AS bucket FROM {frame})"""
+
+
+@query(f"""WITH o AS (SELECT o_orderkey, o_totalprice, 0 AS rep FROM orders),
+x AS ({shuffled_sql("o", "o_orderkey", "rep", {"v": "o_totalprice"})})
+SELECT x.o_orderkey, d.o_totalprice FROM x JOIN x d ON d.bucket = x.bucket AND d.p_v = x.p""")
 def permute_column(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(ID, "o_totalprice")
-    return permutation.permute_column(
-        rows, [ID], "o_totalprice", bucket=block_key(), order=order_key()[0], shift=F.lit(37)
-    )
+    return permutation.permute_column(rows, [ID], "o_totalprice", seed=42, bucket_rows=BLOCK)
 
 
 # ---- residual tables and tests ----------------------------------------------------
@@ -888,24 +898,21 @@ def lime_bin_profile(spark, sf_dir):
 
 # ---- permutation importance of the linear model -----------------------------------
 
-PERMUTED = LINEAR + f""", rw AS (SELECT o_orderkey // {BLOCK} AS bucket, sale_price AS y, n_lines, avg_price,
-       row_number() OVER (PARTITION BY o_orderkey // {BLOCK} ORDER BY {ORDERED}, o_orderkey) - 1 AS i,
-       count(*) OVER (PARTITION BY o_orderkey // {BLOCK}) AS m FROM vf),
-er AS (SELECT k, avg(pow(x.y - b0 - b1 * CASE WHEN k // 3 = 0 AND k >= 0 THEN d.n_lines ELSE x.n_lines END
-                            - b2 * CASE WHEN k // 3 = 1 THEN d.avg_price ELSE x.avg_price END, 2)) AS mse
-       FROM lin, range(-1, 6) g(k) JOIN rw x ON TRUE JOIN rw d ON d.bucket = x.bucket
-       AND d.i = CASE WHEN k < 0 THEN x.i ELSE (x.i + 11 + 37 * k) % x.m END GROUP BY k),
-pi AS (SELECT CASE WHEN k // 3 = 0 THEN 'n_lines' ELSE 'avg_price' END AS feature, avg(mse - b) AS importance_mean,
-       stddev_pop(mse - b) AS importance_std FROM er, (SELECT mse AS b FROM er WHERE k = -1) WHERE k >= 0 GROUP BY 1)
-"""
+PERMUTED = LINEAR + f""", rq AS (SELECT o_orderkey, sale_price AS y, n_lines, avg_price, rep FROM vf, range(10) g(rep)),
+rw AS ({shuffled_sql("rq", "o_orderkey", "rep", {"a": "n_lines", "b": "avg_price"})}),
+er AS (SELECT 'n_lines' AS feature, x.rep, avg(pow(x.y - b0 - b1 * d.n_lines - b2 * x.avg_price, 2)) AS mse
+       FROM lin, rw x JOIN rw d ON d.rep = x.rep AND d.bucket = x.bucket AND d.p_a = x.p GROUP BY x.rep
+       UNION ALL SELECT 'avg_price', x.rep, avg(pow(x.y - b0 - b1 * x.n_lines - b2 * d.avg_price, 2))
+       FROM lin, rw x JOIN rw d ON d.rep = x.rep AND d.bucket = x.bucket AND d.p_b = x.p GROUP BY x.rep),
+pi AS (SELECT feature, avg(mse - b) AS importance_mean, stddev_pop(mse - b) AS importance_std FROM er,
+       (SELECT avg(pow(sale_price - b0 - b1 * n_lines - b2 * avg_price, 2)) AS b FROM lin, vf) GROUP BY 1)
+""".replace("count(*) / 2048.0", "count(DISTINCT o_orderkey) / 2048.0")
 
 
 def linear_importance(spark, sf_dir) -> DataFrame:
     frame = valuation_frame(spark, sf_dir).select(ID, TARGET, *FEATURES)
     errors = permuted_errors(
-        frame, linear_model(frame), FEATURES, TARGET, [ID], n_repeats=3,
-        bucket=block_key(), order=order_key()[0], shift=F.col("k") * 37 + 11,
-    )
+        frame, linear_model(frame), FEATURES, TARGET, [ID], n_repeats=10, seed=42, bucket_rows=BLOCK)
     return importance_from_errors(errors)
 
 
