@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..config import SHAP, default
 from ..functions.columns import as_double, col
 from ..functions.lookups import settle
-from ..session import checkpoint_folder
+from ..session import checkpoint_folder, cut_lineage
 from .permutation import top_features
 from .splits import sample_n
 
@@ -226,108 +226,160 @@ def node_table(model: Model, spark) -> tuple[DataFrame, dict[int, float]]:
     return flat, {i: w * scale for i, w in enumerate(weights)}
 
 
-def leaf_paths(nodes: list, weights: dict[int, float]) -> tuple[list[tuple], float]:
-    """Per leaf: the interval and cover share of each feature on its path; and the base value.
+LEAF_BYTES = 32 * 1024 * 1024  # leaf paths that one pass over the rows ships
+WORK_BYTES = 48 * 1024 * 1024  # arrays of one step in a task
+CELLS = 4  # of a path: feature, low, high, cover share
 
-    Leaves with the same number of distinct path features share one tuple of dense
-    arrays (feature, low, high, cover, value).
-    """
-    by_key = {(r["tree"], r["id"]): r for r in nodes}
-    grouped: dict[int, list] = {}
+
+def _tree_leaves(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Packed leaf paths of one tree, a row for each number of distinct path features."""
+    nodes = {r.id: r for r in pdf.itertuples(index=False)}
+    grouped: dict[int, tuple[list, list]] = {}
+    todo: list = [(nodes[0], {})]
     base = 0.0
-    for tree, weight in weights.items():
-        todo = [(by_key[tree, 0], {})]
-        while todo:
-            node, path = todo.pop()
-            if node["leftChild"] < 0:
-                value = weight * node["prediction"]
-                base += value * math.prod(c for _, _, c in path.values())
-                if path:
-                    grouped.setdefault(len(path), []).append((path, value))
-                continue
-            if node["categories"] is not None and node["categories"] >= 0:
-                raise ValueError("tree splits on nominal features are not supported; encode them as numbers")
-            j, t = node["feature"], node["threshold"]
-            low, high, cover = path.get(j, (-math.inf, math.inf, 1.0))
-            for child, bounds in (
-                (by_key[tree, node["leftChild"]], (low, min(high, t))),
-                (by_key[tree, node["rightChild"]], (max(low, t), high)),
-            ):
-                share = child["cover"] / node["cover"]
-                todo.append((child, {**path, j: (*bounds, cover * share)}))
-    tables = []
-    for leaves in grouped.values():
-        cells = [[(j, *p) for j, p in path.items()] for path, _ in leaves]
-        block = np.array(cells, dtype=float)
-        tables.append(
-            (block[:, :, 0].astype(int), block[:, :, 1], block[:, :, 2], block[:, :, 3],
-             np.array([v for _, v in leaves]))
+    while todo:
+        node, path = todo.pop()
+        if node.leftChild < 0:
+            base += node.weight * node.prediction * math.prod(p[3] for p in path.values())
+            cells, values = grouped.setdefault(len(path), ([], []))
+            cells.append(list(path.values()))
+            values.append(node.weight * node.prediction)
+            continue
+        if node.categories >= 0:
+            raise ValueError("tree splits on nominal features are not supported; encode them as numbers")
+        _, low, high, cover = path.get(node.feature, (node.feature, -math.inf, math.inf, 1.0))
+        for child, bounds in (
+            (nodes[node.leftChild], (low, min(high, node.threshold))),
+            (nodes[node.rightChild], (max(low, node.threshold), high)),
+        ):
+            share = cover * child.cover / node.cover
+            todo.append((child, {**path, node.feature: (node.feature, *bounds, share)}))
+    rows = [
+        (int(pdf["tree"].iloc[0]), d, np.array(cells, float).tobytes(), np.array(values).tobytes())
+        for d, (cells, values) in grouped.items()
+    ]
+    out = pd.DataFrame(rows, columns=["tree", "depth", "cells", "leaves"])
+    out["base"] = [base] + [0.0] * (len(out) - 1)
+    return out
+
+
+def leaf_paths(nodes: DataFrame, weights: dict[int, float]) -> DataFrame:
+    """(tree, depth, cells, leaves, base): paths are followed where a tree's nodes are, one tree at a time."""
+    spark = nodes.sparkSession
+    scale = spark.createDataFrame([(int(t), float(w)) for t, w in weights.items()], "tree int, weight double")
+    rows = nodes.withColumn("tree", F.col("tree").cast("int")).fillna({"categories": -1, "feature": -1}).join(
+        F.broadcast(scale), "tree")  # a number for each tree
+    return rows.groupBy("tree").applyInPandas(
+        _tree_leaves, "tree int, depth int, cells binary, leaves binary, base double")
+
+
+def _unpacked(rows: list) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(cells, values) of all leaves with equally many path features."""
+    tables: dict[int, list] = {}
+    for r in rows:
+        if r["depth"]:
+            tables.setdefault(r["depth"], []).append(r)
+    return [
+        (
+            np.concatenate([np.frombuffer(r["cells"]).reshape(-1, d, CELLS) for r in own]),
+            np.concatenate([np.frombuffer(r["leaves"]) for r in own]),
         )
-    return tables, base
+        for d, own in sorted(tables.items())
+    ]
+
+
+def _leaf_terms(x: np.ndarray, cells: np.ndarray, value: np.ndarray) -> np.ndarray:
+    out = np.zeros_like(x)
+    d = cells.shape[1]
+    feature, low, high, cover = cells[:, :, 0].astype(int), cells[:, :, 1], cells[:, :, 2], cells[:, :, 3]
+    held = x[:, feature]
+    one = ((held > low) & (held <= high)).astype(float)
+    share = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)]
+    for j in range(d):
+        # coefficient k: summed products of the subsets with k satisfied features
+        coefficients = [np.ones(one.shape[:2])]
+        for i in range(d):
+            if i == j:
+                continue
+            z, o = cover[:, i], one[:, :, i]
+            longer = [c * z for c in coefficients] + [np.zeros(one.shape[:2])]
+            for k, c in enumerate(coefficients):
+                longer[k + 1] += c * o
+            coefficients = longer
+        inner = sum(s * c for s, c in zip(share, coefficients))
+        part = value * (one[:, :, j] - cover[:, j]) * inner
+        select = np.zeros((len(value), x.shape[1]))
+        select[np.arange(len(value)), feature[:, j]] = 1.0
+        out += part @ select
+    return out
+
 
+def _contributions(x: np.ndarray, tables: list, batch: int = 256) -> np.ndarray:
+    """Shapley values of product games: one term per leaf, exact for path-dependent trees.
 
-def _contributions(x: np.ndarray, tables: list[tuple]) -> np.ndarray:
-    """Shapley values of product games: one term per leaf, exact for path-dependent trees."""
+    Rows and leaves are taken in steps whose arrays stay below WORK_BYTES.
+    """
     out = np.zeros_like(x)
-    for feature, low, high, cover, value in tables:
-        d = feature.shape[1]
-        held = x[:, feature]
-        one = ((held > low) & (held <= high)).astype(float)
-        share = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)]
-        for j in range(d):
-            # coefficient k: summed products of the subsets with k satisfied features
-            coefficients = [np.ones(one.shape[:2])]
-            for i in range(d):
-                if i == j:
-                    continue
-                z, o = cover[:, i], one[:, :, i]
-                longer = [c * z for c in coefficients] + [np.zeros(one.shape[:2])]
-                for k, c in enumerate(coefficients):
-                    longer[k + 1] = longer[k + 1] + c * o
-                coefficients = longer
-            inner = sum(s * c for s, c in zip(share, coefficients))
-            part = value * (one[:, :, j] - cover[:, j]) * inner
-            select = np.zeros((len(value), x.shape[1]))
-            select[np.arange(len(value)), feature[:, j]] = 1.0
-            out += part @ select
+    for cells, value in tables:
+        # rows x leaves arrays: a few for each path feature, and leaves x features to add them up
+        step = max(1, WORK_BYTES // (8 * (batch * 4 * (cells.shape[1] + 1) + x.shape[1])))
+        for a in range(0, len(x), batch):
+            for i in range(0, len(value), step):
+                out[a : a + batch] += _leaf_terms(x[a : a + batch], cells[i : i + step], value[i : i + step])
     return out
 
 
 def tree_shap(
-    model: Model, explained: DataFrame, features: Sequence[str], id_cols: Sequence[str], batch: int = 256
+    model: Model, explained: DataFrame, features: Sequence[str], id_cols: Sequence[str]
 ) -> ShapValues:
     """Exact contributions for decision trees, forests and boosted trees.
 
-    ``model`` is the tree model or a ``PipelineModel`` ending in one. The leaf paths
-    are shipped once per executor; rows are scored where they are, without a shuffle.
+    ``model`` is the tree model or a ``PipelineModel`` ending in one. Leaf paths are built on
+    executors, tree by tree, and shipped in passes of bounded size; rows are scored where they
+    are, without a shuffle. A usual model is one pass; sums of a large forest are written
+    between passes.
     """
     tree = model.stages[-1] if isinstance(model, PipelineModel) else model
     spark = explained.sparkSession
-    nodes, weights = node_table(tree, spark)
-    tables, base = leaf_paths(nodes.collect(), weights)
-    shared = spark.sparkContext.broadcast(tables)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        paths = shared.value
-        for pdf in batches:
-            x = np.array(pdf["x"].tolist(), dtype=float).reshape(len(pdf), -1)
-            parts = [_contributions(x[i : i + batch], paths) for i in range(0, len(x), batch)]
-            pdf["phi"] = list(np.vstack(parts)) if parts else []
-            yield pdf
+    leaves = cut_lineage(leaf_paths(*node_table(tree, spark)))
+    sizes = leaves.groupBy("tree").agg(
+        F.sum(F.length("cells") + F.length("leaves")).alias("size"), F.sum("base").alias("base")).orderBy("tree").collect()
+    passes, filled = [[]], 0
+    for r in sizes:
+        if filled and filled + r["size"] > LEAF_BYTES:
+            passes.append([])
+            filled = 0
+        passes[-1].append(r["tree"])
+        filled += r["size"]
 
     keys = [explained.schema[c] for c in id_cols]
     array = T.ArrayType(T.DoubleType())
     schema = T.StructType([*keys, T.StructField("x", array), T.StructField("phi", array)])
     rows = explained.select(
-        *[col(c) for c in id_cols], F.array(*[as_double(explained, f) for f in features]).alias("x")
+        *[col(c) for c in id_cols],
+        F.array(*[as_double(explained, f) for f in features]).alias("x"),
+        F.array(*[F.lit(0.0) for _ in features]).alias("phi"),
     )
-    scored = rows.mapInPandas(score, schema)
-    long = scored.select(
+    for i, trees in enumerate(passes):
+        between = F.col("tree").between(trees[0], trees[-1]) if trees else F.lit(False)
+        shared = spark.sparkContext.broadcast(_unpacked(leaves.filter(between).collect()))
+
+        def score(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            paths = shared.value
+            for pdf in batches:
+                x, phi = (np.array(pdf[c].tolist(), dtype=float).reshape(len(pdf), -1) for c in ("x", "phi"))
+                pdf["phi"] = list(phi + _contributions(x, paths)) if len(pdf) else []
+                yield pdf
+
+        rows = rows.mapInPandas(score, schema)
+        if i + 1 < len(passes):
+            rows = cut_lineage(rows)
+    long = rows.select(
         *[col(c) for c in id_cols],
         F.inline(F.arrays_zip(F.array(*[F.lit(f) for f in features]), F.col("x"), F.col("phi"))),
     )
     values = long.toDF(*id_cols, "feature", "feature_value", "shap_value")
-    return ShapValues(values, base, list(id_cols), list(features))
+    return ShapValues(values, float(sum(r["base"] for r in sizes)), list(id_cols), list(features))
 
 
 def _is_tree(model: Model) -> bool:
@@ -346,12 +398,18 @@ def shap_values(
     order: Sequence[Column] | None = None,
     budget: int | None = None,
 ) -> ShapValues:
-    """The tree method where it applies, else the kernel method over a background sample."""
-    rows = df if max_samples is None else sample_n(df, max_samples, id_cols, seed, order)
-    if _is_tree(model):
-        return tree_shap(model, rows, features, id_cols)
-    if background is None:
+    """The tree method where it applies, else the kernel method over a background sample.
+
+    Without ``max_samples`` the tree method explains every row, and the kernel method, which
+    scores hundreds of copies of a row, the usual sample.
+    """
+    tree = _is_tree(model)
+    if not tree and background is None:
         raise ValueError("a background sample is required for this model")
+    count = max_samples if tree else default(max_samples, SHAP.sample_size)
+    rows = df if count is None else sample_n(df, count, id_cols, seed, order)
+    if tree:
+        return tree_shap(model, rows, features, id_cols)
     return kernel_shap(model, rows, background, features, id_cols, budget)
 
 
@@ -408,6 +466,7 @@ def shap_report(
 ) -> dict:
     """Sample, contributions, importance, summary, and dependence of the strongest features."""
     shap = shap_values(model, df, features, id_cols, background, SHAP.sample_size, seed)
+    shap.values = cut_lineage(shap.values)  # every table below reads them
     importance = shap_importance(shap)
     strongest = [r["feature"] for r in importance.limit(SHAP.dependence_features).collect()]
     return {

@@ -259,6 +259,16 @@ def tree_expectation(nodes, x, known, node=0):
     return sum(nodes[c]["cover"] / total * tree_expectation(nodes, x, known, c) for c in (left, right))
 
 
+def test_tree_passes_and_steps_change_nothing(linear_data, forest, monkeypatch):
+    rows = linear_data.filter("id < 40")
+    whole = shap_rows(shap.tree_shap(forest, rows, FEATURES, ["id"]))
+    monkeypatch.setattr(shap, "LEAF_BYTES", 3000)
+    monkeypatch.setattr(shap, "WORK_BYTES", 300_000)
+    split = shap_rows(shap.tree_shap(forest, rows, FEATURES, ["id"]))
+    for i, phi in whole.items():
+        np.testing.assert_allclose(split[i], phi, atol=1e-9)
+
+
 @pytest.mark.parametrize("kind", ["rf", "gbt_a"])
 def test_tree_method_equals_brute_force(spark, linear_data, kind):
     params = {"rf": {"numTrees": 3, "maxDepth": 4}, "gbt_a": {"maxIter": 3, "maxDepth": 3, "stepSize": 0.5}}[kind]
