@@ -37,8 +37,8 @@ def chi2_sf(x: float, df: float) -> float:
         c = b + an / c or _TINY
         h *= d * c
         if abs(d * c - 1) < _EPS:
-            break
-    return front * h
+            return front * h
+    raise ArithmeticError("the upper gamma fraction did not converge")
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -53,8 +53,8 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             c = 1 + num / c or _TINY
             h *= d * c
         if abs(d * c - 1) < _EPS:
-            break
-    return h
+            return h
+    raise ArithmeticError("the beta fraction did not converge")
 
 
 def beta_regularised(a: float, b: float, x: float) -> float:

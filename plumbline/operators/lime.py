@@ -30,6 +30,7 @@ from ..functions.order_stats import exact_quantiles
 from .splits import sample_n
 
 CHUNK = 1000
+DRAWN_CHUNKS = 8  # handed on together
 # Spread floor, selection and surrogate penalties, greedy selection limit, kernel width
 SPREAD_FLOOR = 1e-11
 SELECTION_PENALTY = 0.01
@@ -218,23 +219,29 @@ def lime_explain(
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                x = np.array(row[-3], dtype=float)
-                h, chunk = int(row[-2]), int(row[-1])
-                n = min(CHUNK, samples - chunk * CHUNK)
-                rng = np.random.default_rng([seed & 0xFFFFFFFF, h & (2**63 - 1), chunk])
-                z, rows = perturb(bins, x, n, rng)
-                if chunk == 0:
-                    z[0], rows[0] = 1.0, x
-                out = pd.DataFrame({c: [row[i]] * n for i, c in enumerate(names)})
-                out["_sample"] = np.arange(n) + chunk * CHUNK
-                out["_x"], out["_z"], out["_row"] = [x] * n, list(z), list(rows)
+            for start in range(0, len(pdf), DRAWN_CHUNKS):
+                part = pdf.iloc[start : start + DRAWN_CHUNKS]
+                chunk = part["_chunk"].to_numpy()
+                sizes = np.minimum(CHUNK, samples - chunk * CHUNK)
+                drawn = [
+                    perturb(bins, np.asarray(x, dtype=float), int(n),
+                            np.random.default_rng([seed & 0xFFFFFFFF, int(h) & (2**63 - 1), int(k)]))
+                    for x, h, k, n in zip(part["_x"], part["_h"], chunk, sizes)
+                ]
+                z, rows = (np.concatenate(arrays) for arrays in zip(*drawn))
+                first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                own = first[chunk == 0]  # the first draw of an instance is the instance
+                z[own] = 1.0
+                rows[own] = np.array(part["_x"][chunk == 0].tolist(), dtype=float).reshape(len(own), z.shape[1])
+                out = part[names].loc[part.index.repeat(sizes)].reset_index(drop=True)
+                place = np.arange(sizes.sum()) - np.repeat(first, sizes)
+                out["_sample"] = place + np.repeat(chunk * CHUNK, sizes)
+                out["_z"], out["_row"] = list(z), list(rows)
                 yield out
 
     array = T.ArrayType(T.DoubleType())
     drawn_schema = T.StructType(
-        [*keys, T.StructField("_sample", T.LongType()), T.StructField("_x", array),
-         T.StructField("_z", array), T.StructField("_row", array)]
+        [*keys, T.StructField("_sample", T.LongType()), T.StructField("_z", array), T.StructField("_row", array)]
     )
     rows = instances.select(
         *[col(c) for c in names],
@@ -245,7 +252,7 @@ def lime_explain(
     drawn = rows.mapInPandas(draw, drawn_schema)
     scored = model.transform(
         drawn.select(
-            *[col(c) for c in names], "_sample", "_x", "_z",
+            *[col(c) for c in names], "_sample", "_z", F.when(F.col("_sample") == 0, F.col("_row")).alias("_x"),
             *[F.col("_row")[j].alias(f) for j, f in enumerate(features)],
         )
     ).select(*[col(c) for c in names], "_sample", "_x", "_z", col(prediction).cast("double").alias("_y"))
