@@ -1,12 +1,15 @@
-"""Registered queries whose results are iterative fits: checked by rows and by tests.
+"""Registered queries of the model layer.
 
-Tree counts are small so that a check stays short; every query reads whole tables.
+Tree ensembles are iterative fits, checked by rows and by tests; their tree counts are small so that a check stays
+short, but every query reads whole tables. The same operators over linear learners, a stump, and derived trials have
+closed forms, and SQL.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from ..operators.learners import ColumnRegressor, base_learner, base_learners, evaluate_learners
@@ -14,11 +17,11 @@ from ..operators.lime import bin_profile, explain_first
 from ..operators.metrics import cv_summary
 from ..operators.search import RandomSearch, Real, Whole, search_summary
 from ..operators.shap import background_sample, shap_importance, shap_values, tree_shap
-from ..operators.stacking import StackedRegressor, cross_validate
+from ..operators.stacking import StackedModel, StackedRegressor, cross_validate
 from ..session import checkpoint_folder
-from .catalog import query
+from .catalog import FEATURES, FRAME, LINEAR, linear_model, linear_sql, query, r, rounded
 from .recipes import Trained, evaluate, load_model, preprocess, save_model, train
-from .valuation import ID, TARGET, valuation_frame
+from .valuation import ID, TARGET, table, valuation_frame
 
 SMALL = {
     "gbt_a": {"maxIter": 8, "stepSize": 0.3},
@@ -37,7 +40,7 @@ def model_rows(spark, sf_dir):
 
 
 def stacked(parallelism: int = 4) -> StackedRegressor:
-    return StackedRegressor(INPUTS, TARGET, [ID], SMALL, folds=3, parallelism=parallelism)
+    return StackedRegressor(INPUTS, TARGET, [ID], SMALL, folds=5, parallelism=parallelism)
 
 
 @query()
@@ -129,3 +132,75 @@ def saved_model_scores(spark, sf_dir):
     path = f"{checkpoint_folder(spark)}/model-{uuid.uuid4().hex}"
     save_model(trained(spark, sf_dir), path)
     return load_model(spark, path).transform(frame).select(ID, "prediction")
+
+
+# ---- the same operators where SQL has the result --------------------------------
+
+STACKED_LINEAR = f"""WITH RECURSIVE {FRAME}, {linear_sql("vf", "lin")},
+fm AS (SELECT f, avg(n_lines) AS m1, avg(avg_price) AS m2, avg(sale_price) AS my, var_pop(n_lines) AS v1, var_pop(avg_price) AS v2,
+       covar_pop(n_lines, avg_price) AS c12, covar_pop(n_lines, sale_price) AS c1, covar_pop(avg_price, sale_price) AS c2
+       FROM vf, range(5) g(f) WHERE o_orderkey % 5 <> f GROUP BY f),
+fb AS (SELECT *, (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1, (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2 FROM fm),
+held AS (SELECT sale_price AS y, my + b1 * (n_lines - m1) + b2 * (avg_price - m2) AS p FROM vf JOIN fb ON f = o_orderkey % 5),
+g AS (SELECT count(*)::DOUBLE AS n, avg(p) AS mp, avg(y) AS my, var_pop(p) * count(*) AS g11, covar_pop(p, y) * count(*) AS s1,
+      var_pop(y) * count(*) AS yy FROM held),
+it AS (SELECT 0 AS i, n / yy AS alpha, 1.0::DOUBLE AS lam, NULL::DOUBLE AS before, FALSE AS done FROM g
+  UNION ALL
+  SELECT i + 1, (n - gamma + 2e-6) / (greatest(yy - 2 * w * s1 + w * w * g11, 0) + 2e-6), (gamma + 2e-6) / (w * w + 2e-6), w,
+         before IS NOT NULL AND abs(w - before) < 1e-3
+  FROM (SELECT it.*, g.*, s1 / (g11 + lam / alpha) AS w, alpha * g11 / (lam + alpha * g11) AS gamma FROM it, g WHERE NOT done AND i < 300)),
+z AS (SELECT s1 / (g11 + lam / alpha) AS w, mp, my FROM it, g WHERE i = (SELECT max(i) FROM it)),
+st AS (SELECT o_orderkey, b0 + b1 * n_lines + b2 * avg_price AS p FROM vf, lin)
+SELECT o_orderkey, {r("p", 1)} AS p_linear, {r("my + w * (p - mp)", 1)} AS prediction FROM st, z"""
+
+
+def stacked_linear_model(frame) -> StackedModel:
+    learner = LinearRegression(labelCol=TARGET)
+    return StackedRegressor(FEATURES, TARGET, [ID], learners=[("linear", learner)], folds=5, fold_key=F.col(ID)).fit(frame)
+
+
+@query(STACKED_LINEAR)
+def stacked_linear(spark, sf_dir):
+    """Out-of-fold predictions of a linear learner, the meta-learner on them, and the learner fitted again."""
+    frame = valuation_frame(spark, sf_dir).select(ID, TARGET, *FEATURES)
+    return rounded(stacked_linear_model(frame).transform(frame).select(ID, "p_linear", "prediction"), p_linear=1, prediction=1)
+
+
+@query(STACKED_LINEAR)
+def stacked_linear_saved(spark, sf_dir):
+    """The same ensemble after saving and loading."""
+    frame = valuation_frame(spark, sf_dir).select(ID, TARGET, *FEATURES)
+    path = f"{checkpoint_folder(spark)}/stack-{uuid.uuid4().hex}"
+    stacked_linear_model(frame).write().save(path)
+    return rounded(StackedModel.load(path).transform(frame).select(ID, "p_linear", "prediction"), p_linear=1, prediction=1)
+
+
+@query(f"""WITH {FRAME}, b AS (SELECT o_orderkey, sale_price, (n_lines > 3)::INT::DOUBLE AS big FROM vf)
+SELECT o_orderkey, 'big' AS feature, big AS feature_value,
+       {r("avg(sale_price) OVER (PARTITION BY big) - avg(sale_price) OVER ()", 2)} AS shap_value FROM b""")
+def tree_shap_stump(spark, sf_dir):
+    """A tree of one split on a two-valued feature: each side's mean against the mean of all."""
+    rows = valuation_frame(spark, sf_dir).select(ID, TARGET, (F.col("n_lines") > 3).cast("double").alias("big"))
+    model = ColumnRegressor(DecisionTreeRegressor(labelCol=TARGET, maxDepth=1), ["big"], persist=True).fit(rows)
+    return rounded(tree_shap(model, rows, ["big"], [ID]).values, shap_value=2)
+
+
+@query("""WITH t AS (SELECT l_returnflag AS model, l_linenumber AS trial, 'd' || l_linenumber AS params,
+       round(sqrt(avg(l_discount * l_discount)), 6) AS rmse FROM lineitem GROUP BY 1, 2)
+SELECT model, min(rmse) AS best_value, (SELECT u.params FROM t u WHERE u.model = t.model ORDER BY u.rmse, u.trial LIMIT 1) AS best_params,
+       count(*) AS n_trials FROM t GROUP BY model""")
+def search_summary_trials(spark, sf_dir):
+    """Best trial of each model among trials derived from the lines."""
+    lines = table(spark, sf_dir, "lineitem")
+    error = F.round(F.sqrt(F.avg(F.col("l_discount") * F.col("l_discount"))), 6)
+    trials = lines.groupBy(F.col("l_returnflag").alias("model"), F.col("l_linenumber").alias("trial")).agg(error.alias("rmse"))
+    return search_summary(trials.withColumn("params", F.concat(F.lit("d"), F.col("trial").cast("string"))))
+
+
+@query(LINEAR + f"""SELECT o_orderkey, {r("prediction", 1)} AS prediction, {r("sale_price", 6)} AS actual
+FROM sc ORDER BY o_orderkey LIMIT 3""")
+def lime_predictions(spark, sf_dir):
+    """What the explanations of the first three rows say about the model and the truth."""
+    frame = valuation_frame(spark, sf_dir).select(ID, TARGET, *FEATURES)
+    found = explain_first(linear_model(frame), frame, bin_profile(frame, FEATURES), FEATURES, [ID], TARGET, n=3)
+    return rounded(found.select(ID, "prediction", "actual").distinct(), prediction=1, actual=6)
