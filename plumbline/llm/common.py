@@ -45,7 +45,7 @@ def settled(df: DataFrame, name: str) -> DataFrame:
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a settled table of short rows for broadcasting if it has at most so many; else it is left to shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def kept(df: DataFrame) -> DataFrame:

@@ -164,7 +164,8 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates:
     merged = spans(found.where(~F.col("template").isin(exact))).where(F.col("n") >= F.ceil(size * VOTES)).select(
         "key", F.struct("template", "low", "high").alias("mark"))
     marks = settled(whole.union(merged).groupBy("key").agg(F.collect_set("mark").alias("marks")), "marks")
-    side = F.broadcast(marks) if marks.limit(BROADCAST_ROWS // 10 + 1).count() <= BROADCAST_ROWS // 10 else marks
+    found = marks.agg(F.count("*"), F.coalesce(F.sum(F.size("marks")), F.lit(0))).first()
+    side = F.broadcast(marks) if sum(found) <= BROADCAST_ROWS // 4 else marks
     kind = docs.schema["doc_id"].dataType.simpleString()
     return texts.join(side, "key", "left").select("doc_id", "text", "marks").mapInArrow(
         _verified(K, known), f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, "
