@@ -74,7 +74,7 @@ def test_channel_restores_words():
         flat[a, b, c] = 0.1
     for disguise in ("1d10t", "i.d.i.o.t", "idiiiot", "!d!ot", "id*ot", "idiot"):
         assert toxicity.decode(disguise, flat) == "idiot"
-    assert toxicity.Restorer(flat).words("so i d i o t there") >= {"idiot", "so", "there"}
+    assert toxicity.Restorer(flat).words("so i d i o t there".split()) >= {"idiot", "so", "there"}
 
 
 def test_toxicity_of_held_out_rows(spark):
