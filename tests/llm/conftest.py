@@ -1,11 +1,6 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-import cases  # noqa: E402
+from . import cases
 
 
 @pytest.fixture(scope="session")

@@ -6,7 +6,6 @@ import zlib
 from collections import Counter, defaultdict
 
 import __spark_entry__ as entry
-import cases
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
@@ -17,6 +16,8 @@ from tokenizers import Tokenizer
 
 from plumbline.llm import mixing, packing, warc
 
+from . import cases
+
 
 @pytest.fixture(scope="module")
 def tokenizer():

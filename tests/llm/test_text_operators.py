@@ -1,11 +1,12 @@
 from collections import Counter
 
-import cases
 import numpy as np
 import pytest
 
 from plumbline.llm import components, license_scan, ngram_join, suffix_dedup
 
+from . import cases
+
 
 def test_components_of_a_long_path(spark):
     path = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
