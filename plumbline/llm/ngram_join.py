@@ -143,12 +143,12 @@ def shared_prefixes(signatures: DataFrame, percent: int) -> DataFrame:
     per_level = [F.expr(f"size(filter(held, x -> x.level = {c}))") for c in (0, 1)]
     alone0 = F.col("m0") - per_level[0]
     alone1 = F.col("m1") - F.col("m0") - per_level[1]
-    alone2 = F.size("tokens") - F.col("m1") - (F.size("held") - per_level[0] - per_level[1])
+    alone2 = F.col("counted") - F.col("m1") - (F.size("held") - per_level[0] - per_level[1])
     place = (
-        signatures.join(held, "doc_id")
+        signatures.select("doc_id", "n", "m0", "m1", F.size("tokens").alias("counted")).join(held, "doc_id")
         .withColumns({"need": need, "alone0": alone0, "alone1": alone0 + alone1, "alone2": alone0 + alone1 + alone2})
         .select("doc_id", "n", "need", "alone0", "alone1", "alone2",
-                (F.col("alone2") / F.size("tokens")).alias("plain"), F.posexplode("held").alias("i", "x"))
+                (F.col("alone2") / F.col("counted")).alias("plain"), F.posexplode("held").alias("i", "x"))
     )
     before = F.when(F.col("x.level") == 0, F.col("alone0")).when(F.col("x.level") == 1, F.col("alone1")).otherwise(
         F.col("alone2"))
@@ -271,8 +271,14 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     labelled = settled(
         signatures.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left")
         .select("doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id")), "labelled")
-    heads = labelled.where("n > 0 and doc_id = class_id").select("doc_id").distinct()
-    firsts = signatures.where("n > 0").join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id", "d1", "d2"])
+    # the token lists stay where they are: what is left out of them is short and joins as ids
+    words = labelled.where("n > 0 and doc_id is not null")
+    again = settled(words.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id"), "again")
+    out = settled(words.where("doc_id <> class_id").select("doc_id").union(again).distinct(), "copies")
+    held = signatures.where("n > 0 and doc_id is not null")
+    repeated = held.join(bounded(again), "doc_id", "left_semi").join(classes, ["d1", "d2", "n"]).where(
+        "doc_id = class_id").dropDuplicates(["doc_id", "d1", "d2"])
+    firsts = held.join(bounded(out), "doc_id", "left_anti").unionByName(repeated.select(held.columns))
     rows = settled(shared_prefixes(firsts, percent), "prefixes")
     sizes = rows.groupBy("token").agg(F.count("*").alias("g"), F.min(F.struct("plain", "doc_id")).alias("best")).where("g > 1")
     rows = settled(rows.join(sizes, "token").select("token", "doc_id", "n", "g", F.col("best.doc_id").alias("pivot")), "groups")
