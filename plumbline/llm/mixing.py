@@ -170,9 +170,10 @@ def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     asked = docs.withColumn("__size", F.regexp_count("text", F.lit(WORDS)).cast("long"))
     found = asked.join(one, same(("doc_id", "__d"), ("source", "__s")) & (F.col("__size") == F.col("__n")))
     words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORDS), F.lit(0))
-    text = F.array_join(F.flatten(F.transform("__parts", lambda x: F.slice(
-        F.col("__words"), (x["first"] + 1).cast("int"), (x["last"] - x["first"]).cast("int")))), "")
-    made = found.withColumn("__words", words).withColumn("text", text)
+    # the words are an argument of a function, and the one text a generated row: both are found once
+    text = F.transform(F.array(words), lambda own: F.array_join(F.flatten(F.transform("__parts", lambda x: F.slice(
+        own, (x["first"] + 1).cast("int"), (x["last"] - x["first"]).cast("int")))), ""))
+    made = found.select(*(c for c in docs.columns if c != "text"), F.explode(text).alias("text"))
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return made.select(docs.columns)
