@@ -13,13 +13,14 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, settled, small_batches
+from .common import BROADCAST_ROWS, batches, settled, small_batches, utf8
 
 # what a character may stand for (fixed values of the channel)
 STANDS_FOR = {
@@ -32,6 +33,7 @@ DROP_OTHER = 14.0
 SYMBOLS = 64
 LONGEST = 40  # characters of a token that is decoded; longer ones are taken as they are
 BEAM = 64
+FREQUENT = 100_000  # features frequent in toxic texts that may become telling, by frequency
 FEATURES = 4000  # of the lexicon, by significance
 LEAST_DOCS, LEAST_CONTEXTS, LEAST_Z, LEAST_WEIGHT = 5, 5, 4.0, 2.0
 STEP = 0.25  # bins of the evidence that the calibration is fitted on
@@ -51,8 +53,9 @@ def symbols(points: np.ndarray) -> np.ndarray:
 def _trigrams(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(SYMBOLS**3, np.int64)
     for part in parts:
-        for text in part.column(0):
-            points = np.frombuffer((text.as_py() or "").lower().encode("utf-32-le", "replace"), np.uint32)
+        for _, texts in batches(part.column(0)):
+            joined = b"\n".join(texts).decode("utf-8", "replace").lower()
+            points = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
             s = np.concatenate([[0, 0], symbols(points), [0]])
             s = s[np.concatenate([[True, True], (s[2:] > 0) | (s[1:-1] > 0)])]
             if len(s) > 2:
@@ -63,7 +66,7 @@ def _trigrams(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def character_model(docs: DataFrame) -> np.ndarray:
     """Costs (negative log probabilities) of each symbol after two others, over all texts."""
-    rows = docs.select("text").mapInArrow(_trigrams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(utf8(F.col("text")).alias("text")).mapInArrow(_trigrams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(SYMBOLS**3)
     for r in rows:
         counts[r["gram"]] = r["n"]
@@ -75,12 +78,13 @@ def character_model(docs: DataFrame) -> np.ndarray:
     return -np.log(p3).astype(np.float32)
 
 
+@lru_cache(maxsize=4096)
 def _symbol(c: str) -> int:
     return int(symbols(np.array([ord(c)], np.uint32))[0])
 
 
-def decode(token: str, costs: np.ndarray) -> str:
-    """The likeliest word behind a lower-case token, and no letters if it is none."""
+def decode(token: str, costs: list[float]) -> str:
+    """The likeliest word behind a lower-case token, and no letters if it is none; costs are the model's, flat."""
     states = {(0, 0, ""): (0.0, "")}  # two last symbols and the last character: cost, word
     for i, c in enumerate(token):
         letter = c.isalpha()
@@ -94,74 +98,89 @@ def decode(token: str, costs: np.ndarray) -> str:
                     key, total, longer = (a, b, last), cost + extra, word
                 else:
                     s = _symbol(x)
-                    key, total, longer = (b, s, x), cost + extra + float(costs[a, b, s]), word + x
+                    key, total, longer = (b, s, x), cost + extra + costs[(a * SYMBOLS + b) * SYMBOLS + s], word + x
                 if key not in new or total < new[key][0]:
                     new[key] = (total, longer)
         states = dict(sorted(new.items(), key=lambda y: (y[1], y[0]))[:BEAM])
-    end = lambda y: (y[1][0] + float(costs[y[0][0], y[0][1], 0]), y[1][1])
+    end = lambda y: (y[1][0] + costs[(y[0][0] * SYMBOLS + y[0][1]) * SYMBOLS], y[1][1])
     return min(map(end, states.items()))[1]
 
 
 _TRIPLED = re.compile(r"(.)\1\1")
 
 
+def restored(raw: str, costs: list[float]) -> str:
+    """The word that a lower-case token stands for, empty if none."""
+    if raw.isalpha() and not _TRIPLED.search(raw):
+        return raw
+    plain = raw.strip(".,;:!?\"'()[]{}-_/&%*#")
+    if (plain.isalpha() and not _TRIPLED.search(plain)) or len(raw) > LONGEST or not any(map(str.isalpha, raw)):
+        return plain if plain.isalpha() else ""
+    own = plain if plain.isalpha() or any(c in plain for c in STANDS_FOR) or _TRIPLED.search(plain) else raw
+    return decode(own, costs)
+
+
+def features(word: str) -> tuple[str, ...]:
+    """The word, and its beginnings of four and five letters."""
+    n = len(word)
+    return (word,) if n < 5 else (word, "^" + word[:4]) if n < 6 else (word, "^" + word[:4], "^" + word[:5])
+
+
 class Restorer:
-    """Restored words of texts; the decoded tokens of a worker are kept up to a bound."""
-
-    def __init__(self, costs: np.ndarray):
-        self.costs, self.known = costs, {}
-
-    def word(self, raw: str) -> str:
-        out = self.known.get(raw)
-        if out is None:
-            if len(self.known) >= CACHED_TOKENS:
-                self.known.clear()
-            plain = raw.strip(".,;:!?\"'()[]{}-_/&%*#")
-            if (plain.isalpha() and not _TRIPLED.search(plain)) or len(raw) > LONGEST or not any(map(str.isalpha, raw)):
-                out = plain if plain.isalpha() else ""
-            else:
-                own = plain if plain.isalpha() or any(c in plain for c in STANDS_FOR) or _TRIPLED.search(plain) else raw
-                out = decode(own, self.costs)
-            self.known[raw] = out
-        return out
+    """Restored words of texts, as far as one of their features is wanted (all, if nothing is said).
+
+    What a token stands for is kept, up to a bound; it is all that a text's other tokens cost.
+    """
+
+    def __init__(self, costs: np.ndarray, wanted=None):
+        self.costs, self.wanted = costs.ravel().tolist(), wanted
+        self.known: dict[str, str] = {}
+
+    def learn(self, raws) -> None:
+        for raw in raws:
+            word = restored(raw, self.costs)
+            if self.wanted is not None and word and self.wanted.isdisjoint(features(word)):
+                word = ""
+            self.known[raw] = word
 
     def spaced(self, tokens: list[str]) -> list[str]:
         """Words written with a space after each character: three or more single characters in a row."""
-        out, at = [], [i for i, t in enumerate(tokens) if len(t) == 1]
-        a = 0
+        at = [i for i, t in enumerate(tokens) if len(t) == 1]
+        runs, a = [], 0
         while a < len(at):
             b = a
             while b + 1 < len(at) and at[b + 1] == at[b] + 1:
                 b += 1
             if b - a >= 2:
                 run = "".join(tokens[at[a] : at[b] + 1])
-                out += [self.word(run[k : k + LONGEST]) for k in range(0, len(run), LONGEST)]
+                runs += [run[k : k + LONGEST] for k in range(0, len(run), LONGEST)]
             a = b + 1
-        return out
-
-    def words(self, text: str) -> set[str]:
-        tokens = text.lower().split()
-        found = {self.word(t) for t in set(tokens)}
-        found.update(self.spaced(tokens))
+        return runs
+
+    def words(self, tokens: list[str]) -> set[str]:
+        own = {*tokens, *self.spaced(tokens)}
+        if len(self.known) >= CACHED_TOKENS:
+            self.known.clear()
+        self.learn(own.difference(self.known))
+        found = set(map(self.known.__getitem__, own))
         found.discard("")
         return found
 
 
-def features(word: str) -> tuple[str, ...]:
-    """The word, and its beginnings of four and five letters."""
-    n = len(word)
-    return (word,) if n < 5 else (word, "^" + word[:4]) if n < 6 else (word, "^" + word[:4], "^" + word[:5])
+def tokens_of(text: str | None) -> list[str]:
+    return (text or "").lower().split()
 
 
-def _counted(costs: np.ndarray):
+def _counted(costs: np.ndarray, wanted: frozenset | None):
     """(feature, toxic, fold, documents) of training texts (text, toxic, fold), summed over each batch."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(costs)
+        restorer = Restorer(costs, wanted)
         for part in parts:
             counts: dict = {}
             for text, toxic, fold in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "fold"))):
-                counts.setdefault((toxic, fold), Counter()).update({f for w in restorer.words(text or "") for f in features(w)})
+                own = {f for w in restorer.words(tokens_of(text)) for f in features(w)}
+                counts.setdefault((toxic, fold), Counter()).update(own if wanted is None else own & wanted)
             for (toxic, fold), own in counts.items():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(own), pa.string()), pa.array([toxic] * len(own), pa.int32()),
@@ -175,18 +194,17 @@ def _contexts(costs: np.ndarray, wanted: frozenset):
     """(feature, toxic, fold, context) of the wanted features in training texts."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(costs)
+        restorer = Restorer(costs, wanted)
         for part in parts:
             rows = set()
             for text, toxic, fold in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "fold"))):
-                tokens = (text or "").lower().split()
-                telling = {t: own for t in set(tokens) if (own := [f for f in features(restorer.word(t)) if f in wanted])}
-                if not telling:
+                tokens = tokens_of(text)
+                if not restorer.words(tokens):
                     continue
-                for i, t in enumerate(tokens):
-                    for f in telling.get(t, ()):
-                        around = " ".join([*tokens[max(0, i - 1) : i], "|", *tokens[i + 1 : i + 2]])
-                        rows.add((f, toxic, fold, zlib.crc32(around.encode())))
+                telling = {t: [f for f in features(w) if f in wanted] for t in set(tokens) if (w := restorer.known.get(t))}
+                for i in [i for i, t in enumerate(tokens) if t in telling]:
+                    around = zlib.crc32(" ".join([*tokens[max(0, i - 1) : i], "|", *tokens[i + 1 : i + 2]]).encode())
+                    rows.update((f, toxic, fold, around) for f in telling[tokens[i]])
             columns = list(zip(*rows)) or [(), (), (), ()]
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -206,9 +224,9 @@ def _evidence(costs: np.ndarray, weights: list[dict[str, float]]):
     """(toxic, most, more) in bins, of training texts, each under the weights of the other fold."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(costs)
+        restorer = Restorer(costs, weights[0].keys() | weights[1].keys())
         for part in parts:
-            found = [evidence(restorer.words(t or ""), weights[f])
+            found = [evidence(restorer.words(tokens_of(t)), weights[f])
                      for t, f in zip(part.column("text").to_pylist(), part.column("fold").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [part.column("toxic"), *(pa.array([round(x[i] / STEP) for x in found], pa.int32()) for i in (0, 1))],
@@ -261,10 +279,17 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
     if not n.all():
         return ToxicityModel(costs, prior, (0.0, 0.0), {})
     totals = {"all": n.sum(axis=1), 0: n[:, 1], 1: n[:, 0]}  # what the weights for a fold are fitted on
-    counts = training.mapInArrow(_counted(costs), "feature string, toxic int, fold int, n long").groupBy("feature").agg(
-        *(F.sum(F.when((F.col("toxic") == t) & (F.col("fold") == f), F.col("n")).otherwise(0)).alias(f"n{t}{f}")
-          for t in (0, 1) for f in (0, 1)))
-    counts = settled(counts.where(F.col("n10") + F.col("n11") >= LEAST_DOCS), "features")
+    # a telling feature is frequent in toxic texts; only such are counted in the many others
+    kinds = "feature string, toxic int, fold int, n long"
+    often = settled(
+        training.where("toxic = 1").mapInArrow(_counted(costs, None), kinds).groupBy("feature").agg(
+            *(F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"n1{f}") for f in (0, 1)))
+        .where(F.greatest("n10", "n11") >= LEAST_DOCS), "often")
+    highest = often.orderBy(F.desc(F.col("n10") + F.col("n11")), "feature").limit(FREQUENT)
+    candidates = frozenset(r["feature"] for r in highest.select("feature").collect())
+    clean_counts = training.where("toxic = 0").mapInArrow(_counted(costs, candidates), kinds).groupBy("feature").agg(
+        *(F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"n0{f}") for f in (0, 1)))
+    counts = settled(highest.join(clean_counts, "feature", "left").fillna(0), "features")
     chosen = {}
     for part, of in (("all", ("0", "1")), (0, ("1",)), (1, ("0",))):
         clean, toxic = totals[part]
@@ -295,9 +320,9 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
 
 def _scored(model: ToxicityModel):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model.costs)
+        restorer = Restorer(model.costs, model.weights.keys())
         for part in parts:
-            odds = [model.log_odds(restorer.words(t or "")) for t in part.column("text").to_pylist()]
+            odds = [model.log_odds(restorer.words(tokens_of(t))) for t in part.column("text").to_pylist()]
             score = 1 / (1 + np.exp(-np.clip(np.array(odds, float), -30, 30)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
 

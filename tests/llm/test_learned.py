@@ -73,7 +73,7 @@ def test_channel_restores_words():
     for a, b, c in zip(word, word[1:], word[2:]):
         flat[a, b, c] = 0.1
     for disguise in ("1d10t", "i.d.i.o.t", "idiiiot", "!d!ot", "id*ot", "idiot"):
-        assert toxicity.decode(disguise, flat) == "idiot"
+        assert toxicity.decode(disguise, flat.ravel().tolist()) == "idiot"
     assert toxicity.Restorer(flat).words("so i d i o t there".split()) >= {"idiot", "so", "there"}
 
 
