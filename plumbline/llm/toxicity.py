@@ -36,6 +36,7 @@ BEAM = 64
 FREQUENT = 100_000  # features frequent in toxic texts that may become telling, by frequency
 FEATURES = 4000  # of the lexicon, by significance
 LEAST_DOCS, LEAST_CONTEXTS, LEAST_Z, LEAST_WEIGHT = 5, 5, 4.0, 2.0
+LEAST_RATIO = 3.0  # of the shares of toxic and clean documents that hold a feature
 STEP = 0.25  # bins of the evidence that the calibration is fitted on
 CACHED_TOKENS = 500_000
 
@@ -296,7 +297,8 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
         a, c = (sum((F.col(f"n{t}{f}") for f in of), F.lit(0)) for t in (1, 0))
         share = (a + c) / (clean + toxic)
         z = (a / toxic - c / clean) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / toxic + 1 / clean))
-        telling = counts.where((a >= LEAST_DOCS) & (z >= LEAST_Z)).orderBy(z.desc(), "feature").limit(FEATURES)
+        # a common word that is only somewhat more frequent can't get the least weight
+        telling = counts.where((a >= LEAST_DOCS) & (z >= LEAST_Z) & (a / toxic >= LEAST_RATIO * c / clean)).orderBy(z.desc(), "feature").limit(FEATURES)
         chosen[part] = {r["feature"] for r in telling.select("feature").collect()}
     wanted = frozenset().union(*chosen.values())
     seen = training.mapInArrow(_contexts(costs, wanted), "feature string, toxic int, fold int, context long").distinct()
