@@ -1,7 +1,7 @@
 """Toxicity of texts whose words may be disguised, by a noisy channel and a lexicon learned from labels.
 
 A disguised word is a lattice: each character is kept, replaced by the letter it stands for, dropped, or merged with
-its repetitions. Viterbi decoding under a character trigram model, counted over the whole corpus, finds the likeliest
+its repetitions; a run of spaced characters may also end a word after each of them. Viterbi decoding under a character trigram model, counted over the whole corpus, finds the likeliest
 word. The score is a calibrated sum of the log-odds of the telling words and word beginnings that the restored text
 holds. Evidence for these is counted in distinct contexts, so that copies of a text count once.
 """
@@ -31,7 +31,6 @@ COST = {"keep": 0.0, "swap": 1.0, "merge": 0.7, "mask": 2.0}  # negative log pro
 DROP = {**dict.fromkeys(".,;:-_'\"", 1.0), **dict.fromkeys("*#%&", 6.0)}  # of a character put in
 DROP_OTHER = 14.0
 SYMBOLS = 64
-LONGEST = 40  # characters of a token that is decoded; longer ones are taken as they are
 BEAM = 64
 FREQUENT = 100_000  # features frequent in toxic texts that may become telling, by frequency
 FEATURES = 4000  # of the lexicon, by significance
@@ -84,41 +83,68 @@ def _symbol(c: str) -> int:
     return int(symbols(np.array([ord(c)], np.uint32))[0])
 
 
-def decode(token: str, costs: list[float]) -> str:
-    """The likeliest word behind a lower-case token, and no letters if it is none; costs are the model's, flat."""
-    states = {(0, 0, ""): (0.0, "")}  # two last symbols and the last character: cost, word
-    for i, c in enumerate(token):
-        letter = c.isalpha()
-        ways = [(c, COST["keep"])] if letter else [("", DROP.get(c, DROP_OTHER))]
-        ways += [(x, COST["mask"] if c == "*" else COST["swap"]) for x in STANDS_FOR.get(c, "")]
-        again = i > 0 and token[i - 1] == c
+def decode(token: str, costs: list[float], spaced: bool = False) -> str:
+    """The likeliest word behind a lower-case token, and no letters if it is none; costs are the model's, flat.
+
+    The characters of a spaced run may be several words, which are returned with spaces between them.
+    """
+    states: dict = {(0, 0, ""): (0.0, None)}  # two last symbols and the last character: cost, letters so far as links
+    before = ""
+    for c in token:
+        ways = [(c, COST["keep"], _symbol(c))] if c.isalpha() else [("", DROP.get(c, DROP_OTHER), 0)]
+        ways += [(x, COST["mask"] if c == "*" else COST["swap"], _symbol(x)) for x in STANDS_FOR.get(c, "")]
+        if before == c:
+            ways.append(("", COST["merge"], 0))
+        before = c
         new: dict = {}
-        for (a, b, last), (cost, word) in states.items():
-            for x, extra in [*ways, *([("=", COST["merge"])] if again else [])]:
-                if x in ("", "="):
-                    key, total, longer = (a, b, last), cost + extra, word
-                else:
-                    s = _symbol(x)
-                    key, total, longer = (b, s, x), cost + extra + costs[(a * SYMBOLS + b) * SYMBOLS + s], word + x
-                if key not in new or total < new[key][0]:
-                    new[key] = (total, longer)
-        states = dict(sorted(new.items(), key=lambda y: (y[1], y[0]))[:BEAM])
-    end = lambda y: (y[1][0] + costs[(y[0][0] * SYMBOLS + y[0][1]) * SYMBOLS], y[1][1])
-    return min(map(end, states.items()))[1]
+        for key, (cost, word) in states.items():
+            starts = [(key[0], key[1], cost, word)]
+            if spaced and key[1]:
+                starts.append((0, 0, cost + costs[(key[0] * SYMBOLS + key[1]) * SYMBOLS], (word, " ")))
+            for k, (a, b, so_far, letters) in enumerate(starts):
+                for x, extra, s in ways:
+                    if x:
+                        own, total = (b, s, x), so_far + extra + costs[(a * SYMBOLS + b) * SYMBOLS + s]
+                    elif k:
+                        continue  # a word ends before a letter only
+                    else:
+                        own, total = key, so_far + extra
+                    if own not in new or total < new[own][0]:
+                        new[own] = (total, (letters, x) if x else letters)
+        if len(new) > BEAM:
+            new = dict(sorted(new.items(), key=lambda y: (y[1][0], y[0]))[:BEAM])
+        states = new
+    word = min((cost + costs[(a * SYMBOLS + b) * SYMBOLS], (a, b, last), i, word) for i, ((a, b, last), (cost, word)) in enumerate(states.items()))[3]
+    out = []
+    while word:
+        word, x = word
+        out.append(x)
+    return "".join(reversed(out))
 
 
 _TRIPLED = re.compile(r"(.)\1\1")
+_EDGES = ".,;:!?\"'()[]{}-_/&%*#"
 
 
-def restored(raw: str, costs: list[float]) -> str:
-    """The word that a lower-case token stands for, empty if none."""
+def restored(raw: str, costs: list[float]) -> tuple[str, ...]:
+    """The words that a lower-case token may stand for: without the signs around it, and with those that may be letters.
+
+    A run of single characters, with spaces between them, is read as one word and as several.
+    """
+    if " " in raw:
+        run = raw.replace(" ", "")
+        return tuple(dict.fromkeys([*restored(run, costs), *decode(run, costs, True).split()]))
     if raw.isalpha() and not _TRIPLED.search(raw):
-        return raw
-    plain = raw.strip(".,;:!?\"'()[]{}-_/&%*#")
-    if (plain.isalpha() and not _TRIPLED.search(plain)) or len(raw) > LONGEST or not any(map(str.isalpha, raw)):
-        return plain if plain.isalpha() else ""
-    own = plain if plain.isalpha() or any(c in plain for c in STANDS_FOR) or _TRIPLED.search(plain) else raw
-    return decode(own, costs)
+        return (raw,)
+    plain = raw.strip(_EDGES)
+    own = [plain, raw] if any(c in STANDS_FOR for c in raw[: raw.find(plain)] + raw[raw.find(plain) + len(plain) :]) else [plain]
+    words = []
+    for x in own if plain else [raw]:
+        if x.isalpha() and not _TRIPLED.search(x):
+            words.append(x)
+        elif any(c.isalpha() or c in STANDS_FOR for c in x):
+            words.append(decode(x, costs))
+    return tuple(dict.fromkeys(w for w in words if w))
 
 
 def features(word: str) -> tuple[str, ...]:
@@ -135,17 +161,17 @@ class Restorer:
 
     def __init__(self, costs: np.ndarray, wanted=None):
         self.costs, self.wanted = costs.ravel().tolist(), wanted
-        self.known: dict[str, str] = {}
+        self.known: dict[str, tuple[str, ...]] = {}
 
     def learn(self, raws) -> None:
         for raw in raws:
-            word = restored(raw, self.costs)
-            if self.wanted is not None and word and self.wanted.isdisjoint(features(word)):
-                word = ""
-            self.known[raw] = word
+            words = restored(raw, self.costs)
+            if self.wanted is not None and words:
+                words = tuple(w for w in words if not self.wanted.isdisjoint(features(w)))
+            self.known[raw] = words
 
-    def spaced(self, tokens: list[str]) -> list[str]:
-        """Words written with a space after each character: three or more single characters in a row."""
+    def spaced(self, tokens: list[str]) -> list[tuple[int, int, str]]:
+        """(first, end, characters with spaces between) of three or more single characters in a row."""
         at = [i for i, t in enumerate(tokens) if len(t) == 1]
         runs, a = [], 0
         while a < len(at):
@@ -153,19 +179,16 @@ class Restorer:
             while b + 1 < len(at) and at[b + 1] == at[b] + 1:
                 b += 1
             if b - a >= 2:
-                run = "".join(tokens[at[a] : at[b] + 1])
-                runs += [run[k : k + LONGEST] for k in range(0, len(run), LONGEST)]
+                runs.append((at[a], at[b] + 1, " ".join(tokens[at[a] : at[b] + 1])))
             a = b + 1
         return runs
 
     def words(self, tokens: list[str]) -> set[str]:
-        own = {*tokens, *self.spaced(tokens)}
+        own = {*tokens, *(run for _, _, run in self.spaced(tokens))}
         if len(self.known) >= CACHED_TOKENS:
             self.known.clear()
         self.learn(own.difference(self.known))
-        found = set(map(self.known.__getitem__, own))
-        found.discard("")
-        return found
+        return set().union(*map(self.known.__getitem__, own))
 
 
 def tokens_of(text: str | None) -> list[str]:
@@ -202,10 +225,13 @@ def _contexts(costs: np.ndarray, wanted: frozenset):
                 tokens = tokens_of(text)
                 if not restorer.words(tokens):
                     continue
-                telling = {t: [f for f in features(w) if f in wanted] for t in set(tokens) if (w := restorer.known.get(t))}
-                for i in [i for i, t in enumerate(tokens) if t in telling]:
-                    around = zlib.crc32(" ".join([*tokens[max(0, i - 1) : i], "|", *tokens[i + 1 : i + 2]]).encode())
-                    rows.update((f, toxic, fold, around) for f in telling[tokens[i]])
+                spans = [*((i, i + 1, t) for i, t in enumerate(tokens)), *restorer.spaced(tokens)]
+                telling = {t: {f for w in found for f in features(w) if f in wanted}
+                           for t in {t for _, _, t in spans} if (found := restorer.known.get(t))}
+                for i, j, t in spans:
+                    if t in telling:
+                        around = zlib.crc32(" ".join([*tokens[max(0, i - 1) : i], "|", *tokens[j : j + 1]]).encode())
+                        rows.update((f, toxic, fold, around) for f in telling[t])
             columns = list(zip(*rows)) or [(), (), (), ()]
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],

@@ -93,3 +93,33 @@ def test_toxicity_of_odd_rows(spark, docs, empty):
         assert len(got) == docs.count()
         assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
     assert toxicity.score_toxicity(empty, labels).count() == 0
+
+
+def likely(*words):
+    """A character model that favours the given words."""
+    flat = np.full((toxicity.SYMBOLS,) * 3, 5.0, np.float32)
+    for w in words:
+        path = [0, 0, *(ord(c) - 96 for c in w), 0]
+        for a, b, c in zip(path, path[1:], path[2:]):
+            flat[a, b, c] = 0.1
+    return flat
+
+
+def test_tokens_without_plain_letters_are_decoded():
+    def words(text, *known):
+        return toxicity.Restorer(likely(*known)).words(text.split())
+
+    assert words("@$$", "ass") == words("455", "ass") == {"ass"}
+    assert words("$#!7", "shit") == {"shit"}
+    assert "moo" in words("m**", "moo") and "idiot" in words("!diot", "idiot")  # masks at the ends
+    assert "idiot" in words("**idiot**!", "idiot")
+    assert words("st" + "u" * 60 + "pid", "stupid") == {"stupid"}
+    assert words("." * 30 + "s." + "." * 30 + "t.u.p.i.d", "stupid") == {"stupid"}
+    assert words("... -- ?", "idiot") == set()
+
+
+def test_spaced_runs_hold_several_words():
+    restorer = toxicity.Restorer(likely("a", "stupid", "idiot"))
+    assert restorer.words("a s t u p i d".split()) >= {"a", "stupid"}
+    assert restorer.words("s t u p i d 1 d 1 0 t".split()) >= {"stupid", "idiot"}
+    assert restorer.words(" ".join("stupid" * 12).split()) >= {"stupid"}
