@@ -32,8 +32,7 @@ DROP = {**dict.fromkeys(".,;:-_'\"", 1.0), **dict.fromkeys("*#%&", 6.0)}  # of a
 DROP_OTHER = 14.0
 SYMBOLS = 64
 BEAM = 64
-FREQUENT = 100_000  # features frequent in toxic texts that may become telling, by frequency
-FEATURES = 4000  # of the lexicon, by significance
+FREQUENT = 100_000  # features of toxic texts up to which clean texts are counted for these only; beyond, all are, and joined
 LEAST_DOCS, LEAST_CONTEXTS, LEAST_Z, LEAST_WEIGHT = 5, 5, 4.0, 2.0
 LEAST_RATIO = 3.0  # of the shares of toxic and clean documents that hold a feature
 STEP = 0.25  # bins of the evidence that the calibration is fitted on
@@ -312,11 +311,11 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
         training.where("toxic = 1").mapInArrow(_counted(costs, None), kinds).groupBy("feature").agg(
             *(F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"n1{f}") for f in (0, 1)))
         .where(F.greatest("n10", "n11") >= LEAST_DOCS), "often")
-    highest = often.orderBy(F.desc(F.col("n10") + F.col("n11")), "feature").limit(FREQUENT)
-    candidates = frozenset(r["feature"] for r in highest.select("feature").collect())
+    few = often.count() <= FREQUENT
+    candidates = frozenset(r["feature"] for r in often.select("feature").collect()) if few else None
     clean_counts = training.where("toxic = 0").mapInArrow(_counted(costs, candidates), kinds).groupBy("feature").agg(
         *(F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"n0{f}") for f in (0, 1)))
-    counts = settled(highest.join(clean_counts, "feature", "left").fillna(0), "features")
+    counts = settled(often.join(clean_counts, "feature", "left").fillna(0), "features")
     chosen = {}
     for part, of in (("all", ("0", "1")), (0, ("1",)), (1, ("0",))):
         clean, toxic = totals[part]
@@ -324,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
         share = (a + c) / (clean + toxic)
         z = (a / toxic - c / clean) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / toxic + 1 / clean))
         # a common word that is only somewhat more frequent can't get the least weight
-        telling = counts.where((a >= LEAST_DOCS) & (z >= LEAST_Z) & (a / toxic >= LEAST_RATIO * c / clean)).orderBy(z.desc(), "feature").limit(FEATURES)
+        telling = counts.where((a >= LEAST_DOCS) & (z >= LEAST_Z) & (a / toxic >= LEAST_RATIO * c / clean))
         chosen[part] = {r["feature"] for r in telling.select("feature").collect()}
     wanted = frozenset().union(*chosen.values())
     seen = training.mapInArrow(_contexts(costs, wanted), "feature string, toxic int, fold int, context long").distinct()

@@ -123,3 +123,24 @@ def test_spaced_runs_hold_several_words():
     assert restorer.words("a s t u p i d".split()) >= {"a", "stupid"}
     assert restorer.words("s t u p i d 1 d 1 0 t".split()) >= {"stupid", "idiot"}
     assert restorer.words(" ".join("stupid" * 12).split()) >= {"stupid"}
+
+
+def marked(spark, texts):
+    """docs and labels of (text, toxic)."""
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    return docs, spark.createDataFrame([(i, x) for i, (_, x) in enumerate(texts)], "doc_id long, toxic int")
+
+
+def test_rare_telling_words_are_kept_beside_frequent_ones(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FREQUENT", 3)
+    monkeypatch.setattr(toxicity, "FEATURES", 1, raising=False)
+    rng = np.random.default_rng(5)
+    common = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnr"]
+    telling = ["zorbu", "quimp", "yexil"]
+
+    def text(i, *more):
+        return " ".join([*rng.choice(common, 12), *more, *rng.choice(common, 12)])
+
+    docs, labels = marked(spark, [(text(i), 0) for i in range(900)] + [(text(i, telling[i % 3]), 1) for i in range(90)])
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert set(telling) <= set(model.weights) and not set(common) & set(model.weights)
