@@ -3,7 +3,8 @@
 A disguised word is a lattice: each character is kept, replaced by the letter it stands for, dropped, or merged with
 its repetitions; a run of spaced characters may also end a word after each of them. Viterbi decoding under a character trigram model, counted over the whole corpus, finds the likeliest
 word. The score is a calibrated sum of the log-odds of the telling words and word beginnings that the restored text
-holds. Evidence for these is counted in distinct contexts, so that copies of a text count once.
+holds. They are chosen and calibrated on distinct texts, and evidence for them is counted in distinct contexts, so that
+copies of a text count once.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, batches, settled, small_batches, utf8
+from .common import BROADCAST_ROWS, batches, bounded, settled, small_batches, utf8
 
 # what a character may stand for (fixed values of the channel)
 STANDS_FOR = {
@@ -34,7 +35,6 @@ SYMBOLS = 64
 BEAM = 64
 FREQUENT = 100_000  # features of toxic texts up to which clean texts are counted for these only; beyond, all are, and joined
 LEAST_DOCS, LEAST_CONTEXTS, LEAST_Z, LEAST_WEIGHT = 5, 5, 4.0, 2.0
-LEAST_RATIO = 3.0  # of the shares of toxic and clean documents that hold a feature
 STEP = 0.25  # bins of the evidence that the calibration is fitted on
 CACHED_TOKENS = 500_000
 
@@ -195,19 +195,22 @@ def tokens_of(text: str | None) -> list[str]:
 
 
 def _counted(costs: np.ndarray, wanted: frozenset | None):
-    """(feature, toxic, fold, documents) of training texts (text, toxic, fold), summed over each batch."""
+    """(feature, toxic, fold, texts) of distinct texts (text, toxic, fold, rows), summed over each batch.
+
+    Each of the equal rows of a text counts as its share.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(costs, wanted)
         for part in parts:
             counts: dict = {}
-            for text, toxic, fold in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "fold"))):
+            for text, toxic, fold, rows in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "fold", "rows"))):
                 own = {f for w in restorer.words(tokens_of(text)) for f in features(w)}
-                counts.setdefault((toxic, fold), Counter()).update(own if wanted is None else own & wanted)
+                counts.setdefault((toxic, fold), Counter()).update(dict.fromkeys(own if wanted is None else own & wanted, 1 / rows))
             for (toxic, fold), own in counts.items():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(own), pa.string()), pa.array([toxic] * len(own), pa.int32()),
-                     pa.array([fold] * len(own), pa.int32()), pa.array(list(own.values()), pa.int64())],
+                     pa.array([fold] * len(own), pa.int32()), pa.array(list(own.values()), pa.float64())],
                     names=["feature", "toxic", "fold", "n"])
 
     return run
@@ -247,7 +250,7 @@ def evidence(words: set[str], weights: dict[str, float]) -> tuple[float, float]:
 
 
 def _evidence(costs: np.ndarray, weights: list[dict[str, float]]):
-    """(toxic, most, more) in bins, of training texts, each under the weights of the other fold."""
+    """(toxic, rows, most, more) in bins, of distinct texts, each under the weights of the other fold."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(costs, weights[0].keys() | weights[1].keys())
@@ -255,8 +258,8 @@ def _evidence(costs: np.ndarray, weights: list[dict[str, float]]):
             found = [evidence(restorer.words(tokens_of(t)), weights[f])
                      for t, f in zip(part.column("text").to_pylist(), part.column("fold").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [part.column("toxic"), *(pa.array([round(x[i] / STEP) for x in found], pa.int32()) for i in (0, 1))],
-                names=["toxic", "most", "more"])
+                [part.column("toxic"), part.column("rows"), *(pa.array([round(x[i] / STEP) for x in found], pa.int32()) for i in (0, 1))],
+                names=["toxic", "rows", "most", "more"])
 
     return run
 
@@ -294,27 +297,33 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
     marks = settled(labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic")), "labels")
     side = F.broadcast(marks) if marks.count() <= BROADCAST_ROWS else marks
-    training = docs.where(labelled & (F.length("text") > 0)).select("doc_id", "text").join(side, "doc_id").select(
-        "text", "toxic", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("fold"))
-    n = np.zeros((2, 2))  # toxic, fold
-    for r in training.groupBy("toxic", "fold").agg(F.count("*").alias("n")).collect():
-        n[r["toxic"], r["fold"]] = r["n"]
+    texts = docs.where(labelled & (F.length("text") > 0)).select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    fold = F.pmod("hash", F.lit(2)).cast("int").alias("fold")
+    # of the documents with the same text and label, one stands for all; its own rows may repeat
+    copies = texts.select("doc_id", "hash").join(side, "doc_id").groupBy("hash", "toxic", "doc_id").agg(F.count("*").alias("rows"))
+    firsts = settled(copies.groupBy("hash", "toxic").agg(
+        F.min(F.struct("doc_id", "rows")).alias("x"), F.sum("rows").alias("all")).select("hash", "toxic", "x.*", "all"), "texts")
+    distinct = texts.join(bounded(firsts.drop("all")), ["doc_id", "hash"]).select("text", "toxic", fold, "rows")
+    n, unique = np.zeros((2, 2)), np.zeros((2, 2))  # rows and distinct texts by toxic, fold
+    for r in firsts.groupBy("toxic", fold).agg(F.sum("all").alias("n"), F.count("*").alias("u")).collect():
+        n[r["toxic"], r["fold"]], unique[r["toxic"], r["fold"]] = r["n"], r["u"]
     if not n.sum():
         return ToxicityModel(costs, -10.0, (0.0, 0.0), {})
     prior = math.log((n[1].sum() + 0.5) / (n[0].sum() + 0.5))
     if not n.all():
         return ToxicityModel(costs, prior, (0.0, 0.0), {})
-    totals = {"all": n.sum(axis=1), 0: n[:, 1], 1: n[:, 0]}  # what the weights for a fold are fitted on
+    totals = {"all": unique.sum(axis=1), 0: unique[:, 1], 1: unique[:, 0]}  # what the weights for a fold are fitted on
     # a telling feature is frequent in toxic texts; only such are counted in the many others
-    kinds = "feature string, toxic int, fold int, n long"
+    kinds = "feature string, toxic int, fold int, n double"
+    whole = lambda f: F.round(F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0.0))).cast("long")
     often = settled(
-        training.where("toxic = 1").mapInArrow(_counted(costs, None), kinds).groupBy("feature").agg(
-            *(F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"n1{f}") for f in (0, 1)))
+        distinct.where("toxic = 1").mapInArrow(_counted(costs, None), kinds).groupBy("feature").agg(
+            *(whole(f).alias(f"n1{f}") for f in (0, 1)))
         .where(F.greatest("n10", "n11") >= LEAST_DOCS), "often")
     few = often.count() <= FREQUENT
     candidates = frozenset(r["feature"] for r in often.select("feature").collect()) if few else None
-    clean_counts = training.where("toxic = 0").mapInArrow(_counted(costs, candidates), kinds).groupBy("feature").agg(
-        *(F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"n0{f}") for f in (0, 1)))
+    clean_counts = distinct.where("toxic = 0").mapInArrow(_counted(costs, candidates), kinds).groupBy("feature").agg(
+        *(whole(f).alias(f"n0{f}") for f in (0, 1)))
     counts = settled(often.join(clean_counts, "feature", "left").fillna(0), "features")
     chosen = {}
     for part, of in (("all", ("0", "1")), (0, ("1",)), (1, ("0",))):
@@ -322,11 +331,10 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
         a, c = (sum((F.col(f"n{t}{f}") for f in of), F.lit(0)) for t in (1, 0))
         share = (a + c) / (clean + toxic)
         z = (a / toxic - c / clean) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / toxic + 1 / clean))
-        # a common word that is only somewhat more frequent can't get the least weight
-        telling = counts.where((a >= LEAST_DOCS) & (z >= LEAST_Z) & (a / toxic >= LEAST_RATIO * c / clean))
+        telling = counts.where((a >= LEAST_DOCS) & (z >= LEAST_Z))
         chosen[part] = {r["feature"] for r in telling.select("feature").collect()}
     wanted = frozenset().union(*chosen.values())
-    seen = training.mapInArrow(_contexts(costs, wanted), "feature string, toxic int, fold int, context long").distinct()
+    seen = distinct.mapInArrow(_contexts(costs, wanted), "feature string, toxic int, fold int, context long").distinct()
     rows = seen.groupBy("feature", "toxic", "fold").agg(F.count("*").alias("n")).collect()
     weights: dict = {part: {} for part in totals}
     for part in totals:
@@ -338,8 +346,8 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
             weight = math.log((a + 0.5) / (totals[part][1] + 1)) - math.log((c + 1.0) / (totals[part][0] + 1))
             if a >= LEAST_CONTEXTS and weight >= LEAST_WEIGHT:
                 weights[part][f] = weight
-    bins = training.mapInArrow(_evidence(costs, [weights[0], weights[1]]), "toxic int, most int, more int").groupBy(
-        "toxic", "most", "more").agg(F.count("*").alias("n")).collect()
+    bins = distinct.mapInArrow(_evidence(costs, [weights[0], weights[1]]), "toxic int, rows long, most int, more int").groupBy(
+        "toxic", "most", "more").agg(F.sum(1 / F.col("rows")).alias("n")).collect()
     most, more, y, k = (np.array([r[c] for r in bins], float) for c in ("most", "more", "toxic", "n"))
     beta = calibrated(np.stack([most, more], axis=1) * STEP, y, k)
     return ToxicityModel(costs, float(beta[0]), (max(float(beta[1]), 0.0), max(float(beta[2]), 0.0)), weights["all"])

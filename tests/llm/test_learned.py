@@ -144,3 +144,18 @@ def test_rare_telling_words_are_kept_beside_frequent_ones(spark, monkeypatch):
     docs, labels = marked(spark, [(text(i), 0) for i in range(900)] + [(text(i, telling[i % 3]), 1) for i in range(90)])
     model = toxicity.fit(docs, labels, F.lit(True))
     assert set(telling) <= set(model.weights) and not set(common) & set(model.weights)
+
+
+def test_copies_of_a_clean_text_count_once(spark):
+    rng = np.random.default_rng(6)
+    common = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnr"]
+
+    def text(*more):
+        return " ".join([*rng.choice(common, 12), *more, *rng.choice(common, 12)])
+
+    copied = text("zorbu")
+    docs, labels = marked(spark, [(text(), 0) for _ in range(900)] + [(copied, 0)] * 3000 + [(text("zorbu"), 1) for _ in range(90)])
+    found = toxicity.score_toxicity(docs.union(docs.where("doc_id = 900")), labels)
+    assert found.where("doc_id >= 3900 and predicted = 1").count() > 0
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert model.weights["zorbu"] > 2
