@@ -59,7 +59,7 @@ class Search:
         squares = (queries**2).sum(axis=1)[:, None] + (points**2).sum(axis=1)[None] - 2 * queries @ points.T
         distance = np.concatenate([self.distance[active], np.sqrt(np.maximum(squares, 0))], axis=1)
         place = np.concatenate([self.place[active], np.broadcast_to(rows, (len(active), len(rows)))], axis=1)
-        best = np.argsort(distance, axis=1, kind="stable")[:, : self.k]
+        best = np.lexsort((place, distance), axis=1)[:, : self.k]
         self.distance[active] = np.take_along_axis(distance, best, axis=1)
         self.place[active] = np.take_along_axis(place, best, axis=1)
 
@@ -92,11 +92,23 @@ class Search:
 
 def search_shard(factor: float):
     def search(queries: np.ndarray, vectors: np.ndarray, k: int):
-        queries, vectors = queries.astype(np.float64), vectors.astype(np.float64)
-        found = Search(VantageTree(vectors), queries, k + SLACK, factor)
+        queries, vectors = queries.astype(np.float64) + 0.0, vectors.astype(np.float64) + 0.0
+        # equal vectors are one point of the tree; points and the rows of each are in order of rows
+        _, first, point, times = np.unique(vectors, axis=0, return_index=True, return_inverse=True, return_counts=True)
+        place = np.argsort(np.argsort(first))
+        points = vectors[np.sort(first)]
+        rows, times = np.argsort(place[point.ravel()], kind="stable"), times[np.argsort(first)]
+        begin = np.cumsum(times) - times
+        found = Search(VantageTree(points), queries, k + SLACK, factor)
         q, c = np.nonzero(found.place >= 0)
-        r = found.place[q, c]
-        return q, r, np.einsum("ij,ij->i", queries[q], vectors[r])
+        p = found.place[q, c]
+        score = np.einsum("ij,ij->i", queries[q], points[p])
+        each = np.minimum(times[p], k)
+        r = rows[np.repeat(begin[p], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)]
+        q, score = np.repeat(q, each), np.repeat(score, each)
+        best = np.lexsort((r, -score, q))
+        best = best[np.arange(len(best)) - np.searchsorted(q[best], q[best]) < k]
+        return q[best], r[best], score[best]
 
     return search
 

@@ -26,6 +26,15 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _distinct(ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of the rows that are equal in id and vector, in order of id, and how many each stands for."""
+    order = rows[np.lexsort((*vectors[rows].T[::-1], ids[rows]))]
+    new = np.ones(len(order), bool)
+    new[1:] = (ids[order[1:]] != ids[order[:-1]]) | (vectors[order[1:]] != vectors[order[:-1]]).any(axis=1)
+    at = np.flatnonzero(new)
+    return order[at], np.diff(np.append(at, len(order)))
+
+
 def _pairs(search: Callable, k: int, kind: pa.DataType):
     def run(group: pa.Table) -> pa.Table:
         asked, ids = group.column("asked").to_numpy(), group.column("vec_id").to_numpy()
@@ -33,10 +42,19 @@ def _pairs(search: Callable, k: int, kind: pa.DataType):
         out = ([], [], [])
         if len(rows) and len(queries):
             vectors = _matrix(group.column("vector"))
-            rows = rows[np.argsort(ids[rows], kind="stable")]
-            q, r, s = search(vectors[queries], vectors[rows], k + 1)  # the query's own row is one of them
-            other = ids[queries[q]] != ids[rows[r]]
-            out = ids[queries[q[other]]], ids[rows[r[other]]], s[other]
+            rows, times = _distinct(ids, vectors, rows)
+            # a query's own rows are among those found: one, unless its id comes with several vectors
+            own = np.searchsorted(ids[rows], ids[queries], "right") - np.searchsorted(ids[rows], ids[queries], "left")
+            more = 1 << np.ceil(np.log2(np.maximum(own, 1))).astype(np.int64)
+            parts = []
+            for m in np.unique(more):
+                some = queries[more == m]
+                q, r, s = search(vectors[some], vectors[rows], k + int(m))
+                other = ids[some[q]] != ids[rows[r]]
+                q, r, s = some[q[other]], r[other], s[other]
+                each = np.minimum(times[r], k)
+                parts.append((np.repeat(ids[q], each), np.repeat(ids[rows[r]], each), np.repeat(s, each)))
+            out = tuple(np.concatenate(x) for x in zip(*parts))
         return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()),
                          "score": pa.array(out[2], kind)})
 

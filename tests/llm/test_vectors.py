@@ -85,3 +85,28 @@ def test_no_vectors(table):
     assert ann.nearest(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert exact_search.best_products(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     assert ann.nearest(table, F.lit(False)).count() == 0
+
+
+def repeated(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize("times", [2, 30])
+def test_repeated_query_rows_take_no_places(spark, times):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(1, 60)]
+    rows += [(0, [9.0, 9.0, 9.0, 9.0])] * times + [(0, [8.0, 9.0, 9.0, 7.0 + i]) for i in reversed(range(times))] + [rows[3]] * 3  # the least is the query
+    table = repeated(spark, rows)
+    got, want = by_query(exact_search.best_products(table, F.col("vec_id") == 0, 5)), plain(table, 1000, 5, 256)
+    assert len(got[0]) == 5 and [s for _, s in got[0]] == [s for _, s in want[0]]
+    table = repeated(spark, [r for r in rows if r[0]] + [(0, rows[-1][1])] * times)
+    got, want = by_query(ann.nearest(table, F.col("vec_id") == 0, 20, 1.0)), plain(table, 1000, 20)
+    assert [i for i, _ in got[0]] == [i for i, _ in want[0]]
+
+
+def test_equal_vectors_come_in_order_of_ids(spark):
+    rng = np.random.default_rng(9)
+    same = [float(x) for x in rng.normal(size=4)]
+    rows = [(1000 - i, same) for i in range(150)] + [(i, [float(x) / 9 for x in rng.normal(size=4)]) for i in range(40)]
+    got = by_query(ann.nearest(repeated(spark, rows), F.col("vec_id") == 1000, 20, 1.0))
+    assert [i for i, _ in got[1000]] == list(range(851, 871))
