@@ -7,6 +7,9 @@ without a shuffle, so any number of responses is one pass over them.
 
 from __future__ import annotations
 
+import html.entities
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +19,18 @@ HIDDEN = r"(?is)<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</(script
 BREAKS = r"(?i)</?(address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
 TAG = r"(?s)<[^>]*>"
 LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
-# named references of HTML (fixed values); the ampersand is last, so that what it makes is not read again
+# the named references that the SQL of the query knows; the operator knows all of HTML
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&amp;": "&"}
 
+REFERENCE = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+# characters of HTML's names, by first letter, and of the numbers that it reads as Windows-1252
+NAMED: dict[str, dict[str, str]] = {}
+for _name, _characters in html.entities.html5.items():
+    if _name.endswith(";"):
+        NAMED.setdefault(_name[0], {})[_name[:-1]] = _characters
+NAMED["n"]["nbsp"] = " "
+WINDOWS = {str(i): bytes([i]).decode("cp1252") for i in range(128, 160) if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
 
 def base32(hexadecimal: Column) -> Column:
     """RFC 4648 letters of 40 hexadecimal digits, five digits to four letters at a time."""
@@ -47,15 +59,30 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
         body.alias("payload"), digest(body).alias("payload_digest"))
 
 
+def _referred(reference: Column) -> Column:
+    """What one character reference stands for: itself, if HTML has no such name."""
+    named = F.from_json(F.lit(json.dumps(NAMED)), "map<string,map<string,string>>")
+    windows = F.from_json(F.lit(json.dumps(WINDOWS)), "map<string,string>")
+    name = F.substring(reference, F.lit(2), F.length(reference) - 2)
+    letter = F.try_element_at(F.try_element_at(named, F.substring(name, 1, 1)), name)
+    hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
+    digits = F.regexp_replace(name, "^#[xX]?0*", "")
+    number = F.when(F.length(digits) > 7, F.lit(0)).when(hexadecimal, F.conv(digits, 16, 10).cast("int")).otherwise(digits.try_cast("int"))
+    valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    point = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+    number_read = F.coalesce(F.try_element_at(windows, number.cast("string")), point)
+    return F.when(F.substring(name, 1, 1) == "#", number_read).otherwise(F.coalesce(letter, reference))
+
+
 def decoded(text: Column) -> Column:
-    """Character references as characters: the common names, and numbers."""
-    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,6});"), F.lit(1)))
-    valid = F.filter(numbers, lambda n: (n.cast("int") > 0) & ~n.cast("int").between(0xD800, 0xDFFF) & (n.cast("int") <= 0x10FFFF))
-    out = F.aggregate(valid, text, lambda a, n: F.replace(
-        a, F.concat(F.lit("&#"), n, F.lit(";")), F.decode(F.unhex(F.lpad(F.hex(n.cast("int")), 8, "0")), "UTF-32")))
-    for name, character in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(character))
-    return out
+    """Character references as characters, each read once: all names of HTML that end in a semicolon, and numbers.
+
+    A no-break space by name is a space. Numbers that are no character are U+FFFD.
+    """
+    between = F.split(text, REFERENCE, -1)
+    references = F.concat(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), F.array(F.lit("")))
+    return F.when(~F.contains(text, F.lit("&")), text).otherwise(F.array_join(F.zip_with(
+        between, references, lambda a, r: F.concat(a, F.when(r == "", r).otherwise(_referred(r)))), ""))
 
 
 def plain_text(html: Column) -> Column:

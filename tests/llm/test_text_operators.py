@@ -2,8 +2,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from plumbline.llm import components, license_scan, ngram_join, suffix_dedup
+from plumbline.llm import components, license_scan, ngram_join, suffix_dedup, warc
 
 from . import cases
 
@@ -115,3 +116,14 @@ def test_license_scan_equals_brute_force(spark, docs, rows, empty):
     assert labels[900] == "apache-2,cc-by-nc,mit" and labels[902] == labels[903] == "mit" and labels[904] == labels[905] == ""
     assert all(0 <= r.score <= 1 for r in got)
     assert license_scan.scan_licenses(empty).count() == 0
+
+
+def test_all_character_references_are_decoded(spark):
+    text = ("&copy; 2024 &middot; &Eacute;t&eacute; &hellip; &#x27;q&#X1F600; &#128512; &#1114111; &#0000065; &#150; &amp;lt; &lt;b&gt; "
+            "&NotEqualTilde; &nosuch; &amp; a&b; &#99999999; &#xD800; &nbsp;.")
+    want = ("© 2024 · Été … 'q😀 😀 \U0010ffff A – &lt; <b> ≂̸ &nosuch; & a&b; \ufffd \ufffd  .")
+    df = spark.createDataFrame([(text,), ("plain",), (None,), ("",)], "t string")
+    assert [r[0] for r in df.select(warc.decoded(F.col("t"))).collect()] == [want, "plain", None, ""]
+    page = spark.createDataFrame([(1, "u", "<title>A &copy;</title><a href='/x&#x27;'>l</a><footer>&copy; me</footer>")], "page_id long, url string, html string")
+    meta, text = (r.block for r in warc.derivatives(warc.responses(page)).orderBy(F.desc("warc_type")).collect())
+    assert "title: A ©" in meta and "outlink: /x' " in meta and text.endswith("© me")
