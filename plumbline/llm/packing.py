@@ -35,10 +35,17 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile(f"({'|'.join(map(re.escape, added))})") if added else None
 
     def words(self, text: str) -> list[str]:
+        """Parts whose ids are those of the text; an added token, such as <|endoftext|>, is a part of its own."""
+        if self.added and self.added.search(text):
+            return [w for i, x in enumerate(self.added.split(text)) if x for w in ([x] if i % 2 else self._words(x))]
+        return self._words(text)
+
+    def _words(self, text: str) -> list[str]:
         parts = text.split(" ")
         if all(p and not p[0].isspace() for p in parts[1:]):
             return [parts[0], *(" " + p for p in parts[1:])]
@@ -244,7 +251,7 @@ def _placed(slots: dict[str, np.ndarray]):
 def pack(docs: DataFrame, length: int = 2048, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """Packs docs (doc_id, text) into sequences of at most `length` tokens; one row per piece.
 
-    A document is its ids and a closing id 0, so null and empty texts are one piece of one token. Repeated rows are
+    A document is its ids, in which the string of an added token is that token, and a closing id 0, so null and empty texts are one piece of one token. Repeated rows are
     packed as often as they come. Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset, and the ids
     if asked for; an empty table gives no rows.
     """

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm import components, license_scan, ngram_join, suffix_dedup, warc
+from plumbline.llm import components, license_scan, ngram_join, packing, suffix_dedup, warc
 
 from . import cases
 
@@ -127,3 +127,15 @@ def test_all_character_references_are_decoded(spark):
     page = spark.createDataFrame([(1, "u", "<title>A &copy;</title><a href='/x&#x27;'>l</a><footer>&copy; me</footer>")], "page_id long, url string, html string")
     meta, text = (r.block for r in warc.derivatives(warc.responses(page)).orderBy(F.desc("warc_type")).collect())
     assert "title: A ©" in meta and "outlink: /x' " in meta and text.endswith("© me")
+
+
+def test_added_tokens_in_texts_are_tokens():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(packing.TOKENIZER)
+    plain, words = Tokenizer.from_file(path), packing.WordCache(path)
+    texts = ["page.<|endoftext|> next", "<|endoftext|>", "a  <|endoftext|>  b <|endoftext|><|endoftext|>c\n", "<|endoftext|", "one two"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in want[0]
+    assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)] == want
