@@ -149,16 +149,18 @@ LETTER = _letter_table()
 def sample_texts(docs: DataFrame, labelled, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
     """Up to `rows` excerpts of `chars` characters for each language of the rows where `labelled` holds.
 
-    Rows and places are drawn by hashes of the text, so reruns agree. A first cut by a hash bound leaves about four
-    times the rows wanted, so that no large group is ranked.
+    Texts and places are drawn by hashes of the text, so reruns agree, and copies of a text are one. A first cut by a
+    hash bound leaves about four times the texts wanted, so that no large group is ranked.
     """
     there = docs.where(labelled & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = settled(there.groupBy("lang").agg(F.count("*").alias("c")), "languages")
+    counts = settled(there.select("lang", F.xxhash64("text").alias("hash")).distinct().groupBy("lang").agg(
+        F.count("*").alias("c")), "languages")
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
     cut = there.select("lang", "text", draw.alias("draw")).join(bounded(counts), "lang").where(
         F.col("draw") <= F.lit(float(1 << 40)) * 4 * rows / F.col("c"))
     at = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - chars, F.lit(0)) + 1) + 1
-    ranked = cut.select("lang", "draw", F.substring("text", at.cast("int"), F.lit(chars)).alias("part")).withColumn(
+    parts = cut.select("lang", "draw", F.xxhash64("text").alias("hash"), F.substring("text", at.cast("int"), F.lit(chars)).alias("part"))
+    ranked = parts.groupBy("lang", "hash").agg(F.min("draw").alias("draw"), F.min("part").alias("part")).withColumn(
         "r", F.row_number().over(W.partitionBy("lang").orderBy("draw", "part"))).where(F.col("r") <= rows)
     out: dict[str, list[str]] = {}
     for r in ranked.orderBy("lang", "r").collect():

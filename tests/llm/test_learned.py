@@ -159,3 +159,11 @@ def test_copies_of_a_clean_text_count_once(spark):
     assert found.where("doc_id >= 3900 and predicted = 1").count() > 0
     model = toxicity.fit(docs, labels, F.lit(True))
     assert model.weights["zorbu"] > 2
+
+
+def test_copies_are_one_of_the_sampled_texts(spark):
+    few = [("xx", f"{w} prose") for w in ("moru", "tabel")]
+    rows = [(i, t, lang) for i, (lang, t) in enumerate([few[0]] * 3000 + [few[1]] * 3000 + [("yy", f"word{i:x} other") for i in range(600)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.sample_texts(docs, F.lit(True))
+    assert sorted(got["xx"]) == ["moru prose", "tabel prose"] and len(got["yy"]) == len(set(got["yy"])) == 96
