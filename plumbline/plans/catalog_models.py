@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators.learners import ColumnRegressor, base_learner, base_learners, evaluate_learners
 from ..operators.lime import bin_profile, explain_first
 from ..operators.metrics import cv_summary
-from ..operators.search import RandomSearch, Real, Whole, search_summary
+from ..operators.search import RandomSearch, search_summary
 from ..operators.shap import background_sample, shap_importance, shap_values, tree_shap
 from ..operators.stacking import StackedModel, StackedRegressor, cross_validate
 from ..session import checkpoint_folder
@@ -28,10 +28,6 @@ SMALL = {
     "gbt_b": {"maxIter": 8, "stepSize": 0.3},
     "rf": {"numTrees": 8, "maxDepth": 8},
 }
-SMALL_SPACE = {
-    "rf": {"numTrees": Whole(4, 8), "maxDepth": Whole(4, 8), "minInstancesPerNode": Whole(1, 10)},
-    "gbt_a": {"maxIter": Whole(3, 6), "stepSize": Real(0.1, 0.5, log=True), "maxDepth": Whole(3, 5)},
-}
 INPUTS = ["n_lines", "avg_price", "sum_qty", "max_price"]
 
 
@@ -66,20 +62,20 @@ def base_predictions(spark, sf_dir):
 @query()
 def stacked_cv(spark, sf_dir):
     """Cross-validated error of the whole ensemble over outer folds."""
-    return cv_summary(cross_validate(model_rows(spark, sf_dir), stacked(), [ID], folds=2))
+    return cv_summary(cross_validate(model_rows(spark, sf_dir), stacked(), [ID]))
 
 
 @query()
 def search_trials(spark, sf_dir):
     """Seeded trials, each a cross-validation over the whole frame."""
-    search = RandomSearch(INPUTS, TARGET, [ID], n_trials=3, spaces=SMALL_SPACE, folds=2)
+    search = RandomSearch(INPUTS, TARGET, [ID], n_trials=3)
     search.optimize(model_rows(spark, sf_dir), "rf")
     return search.trial_table(spark)
 
 
 @query(name="search_summary")
 def best_trials(spark, sf_dir):
-    search = RandomSearch(INPUTS, TARGET, [ID], n_trials=2, spaces=SMALL_SPACE, folds=2)
+    search = RandomSearch(INPUTS, TARGET, [ID], n_trials=2)
     rows = model_rows(spark, sf_dir)
     search.optimize(rows, "rf")
     search.optimize(rows, "gbt_a")
