@@ -43,6 +43,23 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Settled tables of one run, under one folder; each can go once all that reads it is written."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a settled table of short rows for broadcasting if it has at most so many; else it is left to shuffle."""
     return F.broadcast(df) if df.count() <= rows else df

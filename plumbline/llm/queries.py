@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_search, language_id, license_scan, mixing, ngram_join, packing, suffix_dedup, toxicity, warc
+from . import ann, divergence, exact_search, language_id, license_scan, mixing, ngram_join, packing, suffix_dedup, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,6 +201,51 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(id_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(terms) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 3
+), v AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), g AS (
+  SELECT lang, source, coalesce((SELECT sum(n) FROM c WHERE c.lang = e.lang AND c.source = e.source), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM d) e
+), p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(n, 0) + 1) // (total + v) AS p
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)
+), q AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (w + 1) // (total + v) AS q
+  FROM (SELECT lang, term, sum(n) AS w FROM c GROUP BY ALL) JOIN (SELECT lang, sum(total) AS total FROM g GROUP BY lang) USING (lang)
+    JOIN v USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), o AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM o)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
