@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, divergence, exact_search, language_id, license_scan, mixing, ngram_join, packing, suffix_dedup, toxicity, warc
+from . import ann, conversation_repair, divergence, exact_search, language_id, license_scan, mixing, ngram_join, packing, suffix_dedup, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,6 +201,86 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(id_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_digests(conversation_repair.damaged(rows), rows)
+
+
+def repair_sql() -> str:
+    """The same repairs by a recursion from the last row on, and a second one that follows the letters."""
+    add = "{{'c': {c} + {v}.c, 'a': '{x}' || {v}.a}}".format
+    keep = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    named = [2, 2, 3, 2]  # the state after a row is inserted or renamed
+    late = "(symbol <> 'x' AND symbol = upper(symbol))::INT"
+    best = []
+    for q in range(4):
+        kept = " ".join(f"WHEN lower(symbol) = '{r}' THEN {add(c=late, x='K', v=f'v{to}')}" for (at, r), to in keep.items() if at == q)
+        best.append(f"list_min([{add(c=3, x='D', v=f'v{q}')}, CASE {kept} END, "
+                    f"CASE WHEN symbol <> 'x' THEN {add(c='2 + ' + late, x='R', v=f'v{named[q]}')} END]) AS b{q}")
+    once = [f"list_min([b{q}, {add(c=2, x='I', v=f'b{named[q]}')}]) AS i{q}" for q in range(4)]
+    twice = [f"list_min([b{q}, {add(c=2, x='I', v=f'i{named[q]}')}]) AS v{q}" for q in range(4)]
+    after = " ".join(f"WHEN letter = 'K' AND q = {at} AND role[1] = '{r}' THEN {to}" for (at, r), to in keep.items())
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i : list_reduce(list_prepend(i, range(8)),
+    lambda c, k : CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), seeded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_prepend(4294967295, list_transform(
+      string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x : ascii(x)::BIGINT)),
+      lambda c, b : xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 20 AS kind
+  FROM conversations, crc
+), r AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM seeded, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+    regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last FROM r
+), f AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM o
+), s AS (
+  SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'x' WHEN role[1] NOT IN ('s', 'u', 'a') THEN 'o' ELSE role[1] END AS own FROM f
+), symbols AS (
+  SELECT conv_id, i, CASE WHEN fault = 'truncated' THEN upper(own) ELSE own END AS symbol FROM s
+), stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS n FROM s GROUP BY conv_id
+), d(conv_id, i, v0, v1, v2, v3) AS (
+  SELECT conv_id, n, {{'c': 0::BIGINT, 'a': ''}}, {{'c': 4::BIGINT, 'a': 'II'}}, {{'c': 2::BIGINT, 'a': 'I'}}, {{'c': 0::BIGINT, 'a': ''}} FROM stats
+  UNION ALL
+  SELECT conv_id, i, {', '.join(twice)} FROM (
+    SELECT *, {', '.join(once)} FROM (
+      SELECT d.conv_id, d.i - 1 AS i, {', '.join(best)}
+      FROM d JOIN symbols ON d.conv_id IS NOT DISTINCT FROM symbols.conv_id AND d.i = symbols.i))
+), a AS (
+  SELECT conv_id, v0.c AS cost, v0.a AS audit FROM d WHERE i = 0
+), walk(conv_id, audit, k, i, q, line) AS (
+  SELECT conv_id, audit, 0, 0, 0, NULL::VARCHAR FROM a
+  UNION ALL
+  SELECT conv_id, audit, k, i, CASE WHEN letter = 'D' THEN q {after} WHEN q = 2 THEN 3 ELSE 2 END,
+    CASE letter WHEN 'D' THEN NULL WHEN 'K' THEN role || ':' || text
+      ELSE CASE WHEN q = 2 THEN 'assistant:' ELSE 'user:' END || CASE letter WHEN 'R' THEN text ELSE '' END END
+  FROM (SELECT w.conv_id, audit, k + 1 AS k, w.i + (audit[k + 1] <> 'I')::INT AS i, q, audit[k + 1] AS letter FROM walk w WHERE k < len(audit)) w
+    LEFT JOIN (SELECT conv_id AS id, i AS place, role, text FROM o) o ON w.conv_id IS NOT DISTINCT FROM id AND w.i = place
+), repaired AS (
+  SELECT conv_id, sha256(coalesce(string_agg(line, chr(10) ORDER BY k), '')) AS repaired_sha256 FROM walk GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+  LEFT JOIN stats ON c.conv_id IS NOT DISTINCT FROM stats.conv_id
+  LEFT JOIN a ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+  LEFT JOIN repaired ON c.conv_id IS NOT DISTINCT FROM repaired.conv_id
+"""
+
+
+SQL["op11_conversation_repair"] = repair_sql()
+
+
 @query
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
