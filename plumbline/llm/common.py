@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -51,6 +52,9 @@ class Scratch:
         self.folder = f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
+        # Spark frees the shuffle files of earlier tables once the driver has let go of their plans
+        gc.collect()
+        self.spark._jvm.System.gc()
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
@@ -125,6 +129,14 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
     return sums
 
 
+def number_sums(numbers: np.ndarray) -> np.ndarray:
+    """The same running sums of 64-bit numbers."""
+    sums = np.zeros(len(numbers) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(mixed(numbers) * _POWER(len(numbers)), out=sums[1:])
+    return sums
+
+
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of each span's content, whatever its place; the length counts."""
     with np.errstate(over="ignore"):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, conversation_repair, divergence, exact_search, language_id, license_scan, mixing, ngram_join, packing, suffix_dedup, toxicity, warc
+from . import ann, conversation_repair, divergence, exact_search, language_id, license_scan, mixing, ngram_join, packing, prefix_trees, suffix_dedup, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -236,7 +236,9 @@ WITH RECURSIVE crc AS (
   FROM seeded, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
 ), o AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS n,
-    regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last FROM r
+    regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last FROM r
 ), f AS (
   SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
     WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
@@ -281,6 +283,11 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c
 SQL["op11_conversation_repair"] = repair_sql()
 
 
+@query
+def op12_prefix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trees.remove_earlier(table(spark, sf_dir, "documents"), length=20)
+
+
 @query
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
