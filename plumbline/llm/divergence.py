@@ -1,7 +1,7 @@
 """Which words set the sources of a language apart, counted by chunks of text between white space.
 
-Documents are counted by chunk first: the same chunk of one (language, source) is one row with its occurrences, its
-documents, and the least and greatest row number of these. Each chunk of the corpus is then split into terms once, and
+Documents are counted by chunk first: the same chunk of one group (a language's source) is one row with its occurrences,
+its documents, and the least and greatest row number of these. Each chunk of the corpus is then split into terms once, and
 the terms are joined back to the counts. A chunk found in three documents of a group decides its terms at once; the
 documents of rarer chunks are just its two row numbers, so distinct documents are counted over few narrow rows.
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, batches, small_batches, utf8
+from .common import Scratch, batches, bounded, small_batches, utf8
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -32,43 +32,41 @@ COUNTED_BYTES = 16 << 20
 def _chunks(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the chunks of each group of rows; an empty chunk stands for the group itself."""
     for part in parts:
-        langs, sources, rows = (part.column(c) for c in ("lang", "source", "row"))
         for start, texts in batches(part.column("text"), COUNTED_BYTES):
-            groups: dict[tuple, int] = {}
-            chunks, counts, sizes, codes = [], [], [], []
-            for i, text in enumerate(texts, start):
+            chunks, counts, sizes = [], [], []
+            for text in texts:
                 own = Counter(text.split())  # bytes are split at ASCII white space only
-                own[b""] = 0
                 chunks.extend(own)
                 counts.extend(own.values())
                 sizes.append(len(own))
-                codes.append(groups.setdefault((langs[i].as_py(), sources[i].as_py()), len(groups)))
-            number = rows.slice(start, len(texts)).to_numpy(zero_copy_only=False)
+            each = pa.array(np.repeat(np.arange(start, start + len(texts)), sizes))
             made = pa.table({
-                "group": pa.array(np.repeat(np.array(codes, np.int32), sizes)),
-                "chunk": pa.array(chunks, pa.binary()),
-                "n": pa.array(counts, pa.int64()),
-                "row": pa.array(np.repeat(number, sizes)),
-            }).group_by(["group", "chunk"], use_threads=False).aggregate(
+                "g": part.column("g").take(each), "chunk": pa.array(chunks, pa.binary()),
+                "n": pa.array(counts, pa.int64()), "row": part.column("row").take(each),
+            }).group_by(["g", "chunk"], use_threads=False).aggregate(
                 [("n", "sum"), ("n", "count"), ("row", "min"), ("row", "max")]).combine_chunks()
-            names = list(groups)
-            group = made.column("group")
-            take = lambda k: pa.array([g[k] for g in names], pa.string()).take(group.combine_chunks())
             out = pa.table({
-                "lang": take(0), "source": take(1), "chunk": made.column("chunk").cast(pa.string()),
-                "n": made.column("n_sum"), "docs": made.column("n_count"), "least": made.column("row_min"), "most": made.column("row_max"),
+                "g": made.column("g"), "chunk": made.column("chunk").cast(pa.string()), "n": made.column("n_sum"),
+                "docs": made.column("n_count"), "least": made.column("row_min"), "most": made.column("row_max"),
             })
             yield from out.to_batches(max_chunksize=100_000)
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, chunk, n, docs, least, most) of docs (text, lang, source); row numbers follow the files of docs."""
+def group_numbers(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(g, l, lang, source): a number for each lang and source of docs, and one for each lang."""
+    found = scratch.put(docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source"))).distinct(), "groups")
+    numbered = found.withColumn("g", F.monotonically_increasing_id())  # of the rows of written files
+    return scratch.put(numbered.select("g", F.min("g").over(Window.partitionBy("lang")).alias("l"), "lang", "source"), "numbers")
+
+
+def chunk_counts(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """(g, chunk, n, docs, least, most) of docs (text, lang, source); row numbers follow the files of docs."""
     small_batches(docs.sparkSession)
-    empty = F.lit("")
-    rows = docs.select(F.coalesce("lang", empty).alias("lang"), F.coalesce("source", empty).alias("source"), utf8(F.col("text")).alias("text"),
+    rows = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")), utf8(F.col("text")).alias("text"),
                        F.monotonically_increasing_id().alias("row"))
-    counted = rows.mapInArrow(_chunks, "lang string, source string, chunk string, n long, docs long, least long, most long")
-    return counted.groupBy("lang", "source", "chunk").agg(
+    numbered = rows.join(bounded(groups), ["lang", "source"]).select("g", "row", "text")
+    counted = numbered.mapInArrow(_chunks, "g long, chunk string, n long, docs long, least long, most long")
+    return counted.groupBy("g", "chunk").agg(
         F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("least").alias("least"), F.max("most").alias("most"))
 
 
@@ -78,24 +76,23 @@ def terms_of(chunk: Column) -> Column:
 
 
 def term_counts(chunks: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs, least, most): terms joined to the counts of their chunks, one row for each chunk."""
+    """(g, term, n, docs, least, most): terms joined to the counts of their chunks, one row for each chunk."""
     dictionary = chunks.select("chunk").distinct().select(
         "chunk", F.explode(terms_of(F.col("chunk"))).alias("term")).groupBy("chunk", "term").agg(F.count("*").alias("times"))
-    return chunks.join(dictionary, "chunk").select(
-        "lang", "source", "term", (F.col("n") * F.col("times")).alias("n"), "docs", "least", "most")
+    return chunks.join(dictionary, "chunk").select("g", "term", (F.col("n") * F.col("times")).alias("n"), "docs", "least", "most")
 
 
 def kept_terms(terms: DataFrame, least_docs: int = 3) -> DataFrame:
-    """(lang, term) in at least `least_docs` (1, 2 or 3) documents of the language.
+    """(l, term) of terms (l, term, docs, least, most) in at least `least_docs` (1, 2 or 3) documents of the language.
 
     Up to two documents of a chunk are known by their row numbers; more than two decide by themselves.
     """
     if least_docs not in (1, 2, 3):
         raise ValueError("least_docs is 1, 2 or 3: two row numbers tell up to two documents apart")
     some = F.when(F.col("docs") < 3, F.array_distinct(F.array("least", "most"))).otherwise(F.array(F.lit(None).cast("long")))
-    rows = terms.select("lang", "term", "docs", F.explode(some).alias("row"))
-    return rows.groupBy("lang", "term").agg(F.max("docs").alias("docs"), F.count_distinct("row").alias("rows")).where(
-        (F.col("docs") >= least_docs) | (F.col("rows") >= least_docs)).select("lang", "term")
+    rows = terms.select("l", "term", "docs", F.explode(some).alias("row"))
+    return rows.groupBy("l", "term").agg(F.max("docs").alias("docs"), F.count_distinct("row").alias("rows")).where(
+        (F.col("docs") >= least_docs) | (F.col("rows") >= least_docs)).select("l", "term")
 
 
 def _share(count: str, total: str, kept: str) -> str:
@@ -107,19 +104,17 @@ def _distance(p: str, q: str) -> str:
     return f"(({p}) - ({q})) * (({p}) - ({q})) div ({q})"
 
 
-def _folded(lang: str, no: np.ndarray, p: np.ndarray, p0: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+def _folded(l: int, g: np.ndarray, p: np.ndarray, p0: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
     """What the shares of terms that both sources have add to those of absent terms, summed by pair of sources."""
     left, right = left[left != right], right[left != right]
     f = lambda a, b: (a - b) * (a - b) // b
     value = f(p[left], p[right]) - f(p[left], p0[right]) - f(p0[left], p[right]) + f(p0[left], p0[right])
-    pair = no[left] << 32 | no[right]
-    order = np.argsort(pair, kind="stable")
-    pair, value = pair[order], value[order]
-    at = np.flatnonzero(np.diff(pair, prepend=-1))
-    sums = np.add.reduceat(value, at) if len(at) else value
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(at), pa.string()), pa.array(pair[at] >> 32), pa.array(pair[at] & 0xFFFFFFFF), pa.array(sums)],
-        names=["lang", "no", "other", "value"])
+    order = np.lexsort((g[right], g[left]))
+    one, other = g[left][order], g[right][order]
+    at = np.flatnonzero((np.diff(one, prepend=-1) != 0) | (np.diff(other, prepend=-1) != 0))
+    sums = np.add.reduceat(value[order], at) if len(at) else value
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(at), l)), pa.array(one[at]), pa.array(other[at]), pa.array(sums)],
+                                      names=["l", "g", "other", "value"])
 
 
 def _all_pairs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,50 +126,48 @@ def _all_pairs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _both(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list] = {}
+    held: dict[int, list] = {}
     room: Counter = Counter()
 
-    def flushed(lang: str) -> pa.RecordBatch:
-        own = held.pop(lang)
-        room.pop(lang)
+    def flushed(l: int) -> pa.RecordBatch:
+        own = held.pop(l)
+        room.pop(l)
         left, right = _all_pairs(np.array([len(x[0]) for x in own]))
-        return _folded(lang, *(np.concatenate(x) for x in zip(*own)), left, right)
+        return _folded(l, *(np.concatenate(x) for x in zip(*own)), left, right)
 
     for part in parts:
         lists = part.column("sources")
-        columns = [lists.values.field(k).to_numpy(zero_copy_only=False) for k in ("no", "p", "p0")]
+        columns = [lists.values.field(k).to_numpy(zero_copy_only=False) for k in ("g", "p", "p0")]
         at = lists.offsets.to_numpy()
-        for i, lang in enumerate(part.column("lang").to_pylist()):
+        for i, l in enumerate(part.column("l").to_pylist()):
             own = tuple(c[at[i] : at[i + 1]] for c in columns)
             n = len(own[0])
             if n * n > PAIRS:  # very many sources: some left sides at a time
                 for a in range(0, n, max(1, PAIRS // n)):
                     some = np.arange(a, min(n, a + max(1, PAIRS // n)))
-                    yield _folded(lang, *own, np.repeat(some, n), np.tile(np.arange(n), len(some)))
+                    yield _folded(l, *own, np.repeat(some, n), np.tile(np.arange(n), len(some)))
                 continue
-            held.setdefault(lang, []).append(own)
-            room[lang] += n * n
-            if room[lang] > PAIRS:
-                yield flushed(lang)
-    for lang in list(held):
-        yield flushed(lang)
+            held.setdefault(l, []).append(own)
+            room[l] += n * n
+            if room[l] > PAIRS:
+                yield flushed(l)
+    for l in list(held):
+        yield flushed(l)
 
 
 def _pair_values(groups: DataFrame, shares: DataFrame) -> DataFrame:
-    """(lang, no, other, value): the sum over all kept terms for each ordered pair of sources of a language."""
-    left = groups.select("lang", "no", "p0", "own", "kept")
-    right = groups.select("lang", F.col("no").alias("other"), F.col("p0").alias("q0"), F.col("own").alias("others"))
-    pairs = left.join(right, "lang").where("no <> other")
-    absent = pairs.select("lang", "no", "other", F.expr(
+    """(l, g, other, value): the sum over all kept terms for each ordered pair of sources of a language."""
+    left = groups.select("l", "g", "p0", "own", "kept")
+    right = groups.select("l", F.col("g").alias("other"), F.col("p0").alias("q0"), F.col("own").alias("others"))
+    absent = left.join(right, "l").where("g <> other").select("l", "g", "other", F.expr(
         f"if(kept = 0, 0L, (kept - own - others) * ({_distance('p0', 'q0')}))").alias("value"))
-    shapes = shares.groupBy("lang", "no", "p").agg(F.count("*").alias("times"))
-    one = shapes.join(right, "lang").where("no <> other").select(
-        "lang", "no", "other", F.expr(f"times * ({_distance('p', 'q0')})").alias("value"))
-    other = shapes.select("lang", F.col("no").alias("other"), F.col("p").alias("q"), "times").join(left, "lang").where(
-        "no <> other").select("lang", "no", "other", F.expr(f"times * ({_distance('p0', 'q')})").alias("value"))
-    lists = shares.groupBy("lang", "term").agg(F.collect_list(F.struct("no", "p", "p0")).alias("sources")).where(F.size("sources") > 1)
-    both = lists.select("lang", "sources").mapInArrow(_both, "lang string, no long, other long, value long")
-    return absent.union(one).union(other).union(both).groupBy("lang", "no", "other").agg(F.sum("value").alias("value"))
+    shapes = shares.groupBy("l", "g", "p").agg(F.count("*").alias("times"))
+    one = shapes.join(right, "l").where("g <> other").select("l", "g", "other", F.expr(f"times * ({_distance('p', 'q0')})").alias("value"))
+    other = shapes.select("l", F.col("g").alias("other"), F.col("p").alias("q"), "times").join(left, "l").where("g <> other").select(
+        "l", "g", "other", F.expr(f"times * ({_distance('p0', 'q')})").alias("value"))
+    lists = shares.groupBy("l", "term").agg(F.collect_list(F.struct("g", "p", "p0")).alias("sources")).where(F.size("sources") > 1)
+    both = lists.select("l", "sources").mapInArrow(_both, "l long, g long, other long, value long")
+    return absent.union(one).union(other).union(both).groupBy("l", "g", "other").agg(F.sum("value").alias("value"))
 
 
 def source_divergence(docs: DataFrame, least_docs: int = 3, terms_each: int = 200) -> DataFrame:
@@ -185,30 +178,31 @@ def source_divergence(docs: DataFrame, least_docs: int = 3, terms_each: int = 20
     document of its own, whatever its id; a group without terms has shares of absent terms only, and a language
     without kept terms has pairs of value 0. Ties go to the least item by its bytes. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "divergence")
-    chunks = scratch.put(chunk_counts(docs), "chunks")
-    terms = scratch.put(term_counts(chunks), "terms")
+    scratch = Scratch(docs.sparkSession, "divergence")
+    numbers = group_numbers(docs, scratch)
+    chunks = scratch.put(chunk_counts(docs, numbers), "chunks")
+    terms = scratch.put(term_counts(chunks).join(bounded(numbers.select("g", "l")), "g"), "terms")
+    scratch.drop("chunks")
     kept = scratch.put(kept_terms(terms, least_docs), "kept")
-    counts = scratch.put(terms.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"]), "counts")
-    sizes = kept.groupBy("lang").agg(F.count("*").alias("kept"))
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
+    counts = scratch.put(terms.groupBy("l", "g", "term").agg(F.sum("n").alias("n")).join(kept, ["l", "term"]), "counts")
+    scratch.drop("terms")
+    sizes = kept.groupBy("l").agg(F.count("*").alias("kept"))
+    totals = counts.groupBy("g").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
     zero = F.lit(0).cast("long")
-    groups = chunks.where("chunk = ''").select("lang", "source").join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").select(
-        "lang", "source", *(F.coalesce(c, zero).alias(c) for c in ("total", "own", "kept")))
-    numbered = groups.withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("source")).cast("long"))
-    groups = scratch.put(numbered.withColumn("p0", F.expr(f"if(kept = 0, null, {_share('0', 'total', 'kept')})")), "groups")
-    scratch.drop("chunks", "terms")
-    whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("all_n"))
-    wholes = groups.groupBy("lang").agg(F.sum("total").alias("all_total"))
-    shares = scratch.put(
-        counts.join(groups, ["lang", "source"]).select("lang", "source", "term", "no", "p0", F.expr(_share("n", "total", "kept")).alias("p")), "shares")
-    asked = whole.join(wholes, "lang").join(sizes, "lang").select("lang", "term", F.expr(_share("all_n", "all_total", "kept")).alias("q"))
-    named = groups.select("lang", "no", "source")
-    pairs = _pair_values(groups, shares).join(named, ["lang", "no"]).join(
-        named.select("lang", F.col("no").alias("other"), F.col("source").alias("item")), ["lang", "other"])
+    groups = numbers.join(totals, "g", "left").join(sizes, "l", "left").select(
+        "l", "g", "lang", "source", *(F.coalesce(c, zero).alias(c) for c in ("total", "own", "kept")))
+    groups = scratch.put(groups.withColumn("p0", F.expr(f"if(kept = 0, null, {_share('0', 'total', 'kept')})")), "totals")
+    whole = counts.groupBy("l", "term").agg(F.sum("n").alias("all_n"))
+    wholes = groups.groupBy("l").agg(F.sum("total").alias("all_total"))
+    shares = scratch.put(counts.join(bounded(groups.select("g", "p0", "total", "kept")), "g").select(
+        "l", "g", "term", "p0", F.expr(_share("n", "total", "kept")).alias("p")), "shares")
+    asked = whole.join(wholes, "l").join(sizes, "l").select("l", "term", F.expr(_share("all_n", "all_total", "kept")).alias("q"))
+    named = groups.select("g", "lang", "source")
+    pairs = _pair_values(groups, shares).join(named, "g").join(
+        named.select(F.col("g").alias("other"), F.col("source").alias("item")), "other")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
-    telling = shares.join(asked, ["lang", "term"]).where("p > q").select(
-        "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr(_distance("p", "q")).alias("value"))
-    return ranked.union(telling.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= terms_each).select(*ranked.columns))
+    inner = Window.partitionBy("g").orderBy(F.desc("value"), "item")
+    telling = shares.join(asked, ["l", "term"]).where("p > q").select("g", F.col("term").alias("item"), F.expr(_distance("p", "q")).alias("value"))
+    first = telling.withColumn("rank", F.row_number().over(inner)).where(F.col("rank") <= terms_each)
+    return ranked.union(first.join(named, "g").select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))
