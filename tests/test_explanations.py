@@ -72,7 +72,9 @@ def test_shapiro_wilk_known_example(spark):
 
 
 def test_shapiro_wilk_of_normal_rows_and_seeds(spark, residual_rows):
-    assert residuals.shapiro_wilk(residual_rows, ["id"])["pvalue"] > 0.05
+    assert residuals.shapiro_wilk(residual_rows, ["id"])["pvalue"] < 0.001  # spread that changes is not normal
+    few = spark.createDataFrame([(i, float(v)) for i, v in enumerate(np.random.default_rng(5).normal(3, 2, 300))], "id long, residual double")
+    assert residuals.shapiro_wilk(few, ["id"])["pvalue"] > 0.05
     rng = np.random.default_rng(0)
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(rng.normal(size=6000))], "id long, residual double")
     one, again, other = (residuals.shapiro_wilk(df, ["id"], seed=s)["pvalue"] for s in (1, 1, 2))

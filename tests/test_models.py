@@ -204,6 +204,11 @@ def test_saved_recipe_scores_new_rows_in_batch_and_stream(spark, trained, houses
                          str(tmp_path / "state"), ["id"], "SalePrice", max_files=1)
     stream.awaitTermination()
     streamed = spark.read.parquet(str(tmp_path / "out"))
+    unknown.write.parquet(str(tmp_path / "in2"))
+    score_files(spark, str(tmp_path / "in2"), rows.schema, recipes.load_model(spark, path), str(tmp_path / "out2"),
+                str(tmp_path / "state2"), ["id"], "SalePrice").awaitTermination()
+    late = spark.read.parquet(str(tmp_path / "out2")).where("actual_price IS NULL")
+    assert late.count() == late.where("error IS NULL AND predicted_price IS NOT NULL").count() == open_.count()
     joined = streamed.join(batch.select("id", F.col("predicted_price").alias("p")), "id")
     assert joined.count() == 240
     assert joined.agg(F.max(F.abs(F.col("p") - F.col("predicted_price")))).first()[0] < 1e-6
