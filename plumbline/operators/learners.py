@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import FIT, LEARNERS
 from ..functions.columns import col
 from ..functions.lookups import settle
+from .boosting import HistogramBoosting
 from .metrics import regression_metrics, run_together
 
 LEARNER_NAMES = ("gbt_a", "gbt_b", "rf")
@@ -27,7 +28,12 @@ def assembler(features: Sequence[str], output: str = "features") -> VectorAssemb
 def base_learner(
     name: str, label: str, params: dict | None = None, features_col: str = "features", prediction: str = "prediction"
 ) -> Estimator:
-    """A learner with its defaults, any of which ``params`` replaces."""
+    """A learner with its defaults, any of which ``params`` replaces.
+
+    Parameters of ``BoostParams`` make the boosted learners grow with penalties and a leaf budget instead of as Spark's trees.
+    """
+    if name != "rf" and {"n_estimators", "learning_rate"} & set(params or {}):
+        return HistogramBoosting(None, label, params=params, vector=features_col, prediction=prediction)
     settings = {**getattr(LEARNERS, name), **(params or {})}
     return _KINDS[name](featuresCol=features_col, labelCol=label, predictionCol=prediction, **settings)
 

@@ -28,6 +28,7 @@ SMALL = {
     "gbt_b": {"maxIter": 8, "stepSize": 0.3},
     "rf": {"numTrees": 8, "maxDepth": 8},
 }
+SEARCH_SECONDS = 40  # for each study
 INPUTS = ["n_lines", "avg_price", "sum_qty", "max_price"]
 
 
@@ -67,18 +68,19 @@ def stacked_cv(spark, sf_dir):
 
 @query()
 def search_trials(spark, sf_dir):
-    """Seeded trials, each a cross-validation over the whole frame."""
-    search = RandomSearch(INPUTS, TARGET, [ID], n_trials=3)
+    """Seeded trials of the default space, each a cross-validation over the whole frame, with what trees the time allows."""
+    search = RandomSearch(INPUTS, TARGET, [ID], quick=True, timeout=SEARCH_SECONDS)
     search.optimize(model_rows(spark, sf_dir), "rf")
     return search.trial_table(spark)
 
 
 @query(name="search_summary")
 def best_trials(spark, sf_dir):
-    search = RandomSearch(INPUTS, TARGET, [ID], n_trials=2)
+    """The best of ten trials of each boosted learner, with all its penalties."""
+    search = RandomSearch(INPUTS, TARGET, [ID], quick=True, timeout=SEARCH_SECONDS)
     rows = model_rows(spark, sf_dir)
-    search.optimize(rows, "rf")
     search.optimize(rows, "gbt_a")
+    search.optimize(rows, "gbt_b")
     return search_summary(search.trial_table(spark))
 
 

@@ -1,6 +1,7 @@
 """Metrics, learners, meta-learner, stacking, search, recipes and streaming."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.config import BAYES, SEARCH, BayesianRidgeConfig
 from plumbline.operators import metrics
 from plumbline.operators.bayes_ridge import BayesianRidge
-from plumbline.operators.learners import base_learner, base_learners, evaluate_learners, linear_regressor
+from plumbline.operators.learners import ColumnRegressor, base_learner, base_learners, evaluate_learners, linear_regressor
 from plumbline.operators.search import SPACES, RandomSearch, Whole, search_summary, spark_params
 from plumbline.operators.stacking import StackedModel, StackedRegressor, cross_validate
 from plumbline.plans import recipes
@@ -158,6 +159,26 @@ def test_time_bound_stops_the_study(linear_data):
     assert 0 < len(some.trials) < 100_000
 
 
+def test_bound_cuts_trees_and_then_folds(spark, linear_data):
+    began = time.monotonic()
+    search = RandomSearch(FEATURES, "y", ["id"], quick=True, timeout=5)
+    search.optimize(linear_data, "rf")
+    assert time.monotonic() - began < 10 and 0 < len(search.results) <= 10
+    assert all(t.trees < 200 and t.rmse > 0 for t in search.results)
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None and linear_data.count() == 400
+
+
+def test_boosted_trials_are_scored_at_every_number_of_trees(linear_data):
+    space = {"gbt_b": {**SPACES["gbt_b"], "n_estimators": Whole(3, 5), "min_child_weight": Whole(1, 4)}}
+    search = RandomSearch(FEATURES, "y", ["id"], n_trials=2, folds=2, spaces=space)
+    best = search.optimize(linear_data, "gbt_b")
+    assert len(search.results) == 2 and all(t.folds == 2 and 1 <= t.trees == t.params["n_estimators"] <= 5 for t in search.results)
+    assert {"num_leaves", "reg_alpha", "reg_lambda"} <= set(best)
+    model = ColumnRegressor(base_learner("gbt_b", "y", best), FEATURES).fit(linear_data)
+    stack = StackedRegressor(FEATURES, "y", ["id"], folds=2, learners=[("gbt_b", base_learner("gbt_b", "y", best))]).fit(linear_data)
+    assert model.transform(linear_data).select("prediction").distinct().count() > 2 < stack.transform(linear_data).select("p_gbt_b").distinct().count()
+
+
 def test_drawn_values_become_spark_parameters():
     params = spark_params({"maxDepth": 9, "num_leaves": 20, "featureSubsetStrategy": 0.75})
     assert params == {"maxDepth": 5, "featureSubsetStrategy": "0.750000"}
