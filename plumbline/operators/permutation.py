@@ -1,80 +1,76 @@
 """Column permutation and permutation importance.
 
-One rule at every size. For each repeat rows fall into buckets by a draw from their id and
-the repeat, which bounds a bucket whatever the data looks like. Inside a bucket the rows
-stand in the order of a second draw, and the values of a feature in the order of a draw that
-also depends on the feature; the i-th row receives the i-th value. So every feature and
-repeat is a shuffle of its own, and one shuffle of the narrow rows per repeat serves all
-features. A draw is a part of an MD5 digest, which any engine can compute.
+Rows have global ranks in the order of their ids, and a repeat is a permutation of all ranks that is computed, not
+drawn: a Feistel network over two digits of the rank, keyed by seed and repeat, stepped on where it leaves the table.
+The row whose values a row receives is thus known by arithmetic, whatever the size, and meets it in one join of narrow
+rows for each repeat. The features of a repeat are shuffled alike, one at a time, so that join serves all of them.
 """
 
 from __future__ import annotations
 
 import math
+import random
 from collections.abc import Sequence
 
 from pyspark.ml import Transformer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FIT, default
 from ..functions.columns import as_double, col
 from ..functions.lookups import settle
+from ..functions.ranking import global_rank
 from .metrics import minmax_normalize
 
-BUCKET_ROWS = 2048
+ROUNDS = 6
+PRIME = 2**31 - 1
+STEPS = 64
 NOISE_THRESHOLD = 0.01
 
 
-def draw(ids: Sequence[Column], *salt: Column) -> Column:
-    """60 bits of the digest of the ids and the salt, as a whole number."""
-    text = F.concat_ws("|", *[i.cast("string") for i in ids], *[s.cast("string") for s in salt])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+def digits(n: int) -> tuple[int, int]:
+    """Two radices whose product covers n numbers and less than one more row of the first."""
+    first = math.isqrt(max(n, 1) - 1) + 1
+    return first, -(-max(n, 1) // first)
 
 
-def _bucketed(
-    df: DataFrame, payload: list[Column], id_cols: Sequence[str], seed: int, repeats: Column, bucket_rows: int
-) -> DataFrame:
-    """(repeat, rows): the rows of each bucket of each repeat, in their order; keys are in ``_ids``."""
-    buckets = max(1, math.ceil(df.count() / bucket_rows))
-    ids = [F.col(f"_id{i}") for i in range(len(id_cols))]
-    rows = df.select(*[col(c).alias(f"_id{i}") for i, c in enumerate(id_cols)], *payload)
-    rows = rows.withColumn("repeat", F.explode(repeats))
-    place = F.struct(
-        draw(ids, F.lit(seed), F.col("repeat"), F.lit("order")).alias("_key"), *ids,
-        *[F.col(c) for c in rows.columns if c != "repeat" and not c.startswith("_id")],
-    )
-    bucket = F.pmod(draw(ids, F.lit(seed), F.col("repeat"), F.lit("bucket")), F.lit(buckets))
-    return rows.select("repeat", bucket.alias("bucket"), place.alias("r")).groupBy("repeat", "bucket").agg(
-        F.sort_array(F.collect_list("r")).alias("rows"))
+def network(x: str, first: str | int, second: str | int, seed: int, repeat: int, div: str = "div") -> str:
+    """SQL of one pass of a rank through the network: a permutation of the numbers below first * second."""
+    rng = random.Random(f"{seed}/{repeat}")
+    left, right = f"({x} {div} {second})", f"({x} % {second})"
+    for i in range(ROUNDS):
+        times, plus = rng.randrange(1 << 20, 1 << 30), rng.randrange(PRIME)
+        if i % 2:
+            right = f"(({right} + ({left} * {times} + {plus}) % {PRIME}) % {second})"
+        else:
+            left = f"(({left} + ({right} * {times} + {plus}) % {PRIME}) % {first})"
+    return f"({left} * {second} + {right})"
 
 
-def _donors(rows: Column, ids: int, seed: int, repeat: Column, feature: Column, value) -> Column:
-    """The values of a feature in their shuffled order."""
+def _by_repeat(made, repeats: Sequence[int]) -> str:
+    return "CASE _repeat " + " ".join(f"WHEN {r} THEN {made(r)}" for r in repeats) + " END"
 
-    def keyed(r: Column) -> Column:
-        own = [r[f"_id{i}"] for i in range(ids)]
-        return F.struct(draw(own, F.lit(seed), repeat, feature).alias("k"), *own, value(r).alias("v"))
 
-    return F.transform(F.array_sort(F.transform(rows, keyed)), lambda x: x["v"])
+def donor_ranks(rows: DataFrame, n: int, seed: int, repeats: Sequence[int]) -> DataFrame:
+    """Adds `_donor`, the rank that each row of `_rank` and `_repeat` is sent to by its repeat.
 
+    A pass that ends outside the table goes on; each step leaves it less often than one time in the root of n, and never
+    more than the few numbers outside follow one another, so that the steps allowed always end inside.
+    """
+    first, second = digits(n)
+    once = _by_repeat(lambda r: network("_rank", first, second, seed, r), repeats)
+    again = _by_repeat(lambda r: network("x", first, second, seed, r), repeats)
+    walked = f"aggregate(sequence(1, {STEPS}), _donor, (x, i) -> CASE WHEN x < {n} THEN x ELSE {again} END)"
+    return rows.withColumn("_donor", F.expr(once)).withColumn("_donor", F.expr(f"CASE WHEN _donor < {n} THEN _donor ELSE {walked} END"))
 
-def permute_column(
-    df: DataFrame,
-    id_cols: Sequence[str],
-    column: str,
-    seed: int | None = None,
-    repeat: int = 0,
-    bucket_rows: int | None = None,
-) -> DataFrame:
-    """The frame with one column shuffled among its rows and all others in place."""
-    seed = default(seed, FIT.seed)
-    payload = [F.struct(*[col(c) for c in df.columns]).alias("row")]
-    grouped = _bucketed(df, payload, id_cols, seed, F.array(F.lit(repeat)), default(bucket_rows, BUCKET_ROWS))
-    donors = _donors(F.col("rows"), len(id_cols), seed, F.col("repeat"), F.lit(column), lambda r: r["row"][column])
-    flat = grouped.select("rows", donors.alias("donors"))
-    flat = flat.select(F.inline(F.arrays_zip(F.col("rows").alias("r"), F.col("donors").alias("donor"))))
-    return flat.select(*[(F.col("donor") if c == column else F.col("r.row")[c]).alias(c) for c in df.columns])
+
+def permute_column(df: DataFrame, id_cols: Sequence[str], column: str, seed: int | None = None, repeat: int = 0) -> DataFrame:
+    """The frame with one column shuffled among all its rows and the others in place."""
+    ranked = global_rank(df, [col(c) for c in id_cols], "_rank")
+    n = ranked.count()
+    sent = donor_ranks(ranked.withColumn("_repeat", F.lit(repeat)), n, default(seed, FIT.seed), [repeat])
+    values = ranked.select(F.col("_rank").alias("_donor"), col(column).alias("_value"))
+    return sent.join(values, "_donor").select(*[F.col("_value").alias(c) if c == column else col(c) for c in df.columns])
 
 
 def permuted_errors(
@@ -85,37 +81,29 @@ def permuted_errors(
     id_cols: Sequence[str],
     n_repeats: int = 10,
     seed: int | None = None,
-    bucket_rows: int | None = None,
     prediction: str = "prediction",
 ) -> DataFrame:
     """(feature, repeat, mse); feature NULL is the untouched baseline.
 
-    A copy of a row carries its own values once and the one value it receives.
+    A row meets the values of its donor once in a repeat, and is scored once for each feature.
     """
-    seed = default(seed, FIT.seed)
-    xs = F.array(*[as_double(df, f) for f in features]).alias("xs")
-    repeats = F.sequence(F.lit(0), F.lit(n_repeats - 1))
-    grouped = _bucketed(
-        df, [as_double(df, label).alias("y"), xs], id_cols, seed, repeats, default(bucket_rows, BUCKET_ROWS))
-    names = F.array(*[F.lit(f) for f in features])
-    jobs = grouped.withColumn("f", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))))
-    jobs = jobs.filter((F.col("f") >= 0) | (F.col("repeat") == 0))
-    shuffled = _donors(
-        F.col("rows"), len(id_cols), seed, F.col("repeat"), F.get(names, F.col("f")), lambda r: F.get(r["xs"], F.col("f")))
-    donors = F.when(F.col("f") >= 0, shuffled).otherwise(F.transform("rows", lambda r: F.lit(None).cast("double")))
-    flat = jobs.withColumn("donors", donors).select(
-        "f", "repeat", F.inline(F.arrays_zip(F.col("rows").alias("r"), F.col("donors").alias("donor"))))
-    swapped = [
-        F.when(F.col("f") == i, F.col("donor")).otherwise(F.col("r.xs")[i]).alias(f) for i, f in enumerate(features)
-    ]
-    scored = model.transform(flat.select("f", "repeat", F.col("r.y").alias("_y"), *swapped))
+    xs = F.array(*[as_double(df, f) for f in features]).alias("_xs")
+    narrow = df.select(*[col(c).alias(f"_id{i}") for i, c in enumerate(id_cols)], as_double(df, label).alias("_y"), xs)
+    ranked = global_rank(narrow, [F.col(f"_id{i}") for i in range(len(id_cols))], "_rank").select("_rank", "_y", "_xs")
+    n = ranked.count()
+    repeats = range(n_repeats)
+    each = ranked.withColumn("_repeat", F.explode(F.array(*[F.lit(r) for r in repeats])))
+    met = donor_ranks(each, n, default(seed, FIT.seed), repeats).join(
+        ranked.select(F.col("_rank").alias("_donor"), F.col("_xs").alias("_other")), "_donor")
+    jobs = met.select("_y", "_xs", "_other", "_repeat", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("_f"))
+    none = F.lit(None)
+    base = ranked.select("_y", "_xs", none.cast("array<double>").alias("_other"), none.cast("int").alias("_repeat"), F.lit(-1).alias("_f"))
+    swapped = [F.when(F.col("_f") == i, F.col("_other")[i]).otherwise(F.col("_xs")[i]).alias(f) for i, f in enumerate(features)]
+    scored = model.transform(jobs.union(base).select("_f", "_repeat", "_y", *swapped))
     e = F.col("_y") - F.col(prediction)
-    errors = scored.groupBy("f", "repeat").agg(F.avg(e * e).alias("mse"))
-    return errors.select(
-        F.when(F.col("f") >= 0, F.get(names, F.col("f"))).alias("feature"),
-        F.when(F.col("f") >= 0, F.col("repeat")).alias("repeat"),
-        "mse",
-    )
+    names = F.array(*[F.lit(f) for f in features])
+    return scored.groupBy("_f", "_repeat").agg(F.avg(e * e).alias("mse")).select(
+        F.when(F.col("_f") >= 0, F.get(names, F.col("_f"))).alias("feature"), F.col("_repeat").alias("repeat"), "mse")
 
 
 def importance_from_errors(errors: DataFrame) -> DataFrame:

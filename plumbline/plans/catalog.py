@@ -69,7 +69,6 @@ def fold_key(name: str = ID):
     return F.col(name)
 
 
-BLOCK = 2048  # rows of a permutation bucket on average
 
 
 def r(expr: str, digits: int) -> str:
@@ -595,28 +594,25 @@ def sample_n(spark, sf_dir):
     return splits.sample_n(table(spark, sf_dir, "orders").select(ID, "o_totalprice"), 500, [ID], order=order_key())
 
 
-def sql_draw(id_: str, *salt: str) -> str:
-    """SQL of ``permutation.draw``."""
-    text = ", ".join([f"{id_}::VARCHAR", *salt])
-    return f"('0x' || substr(md5(concat_ws('|', {text})), 1, 15))::BIGINT"
+def donors_sql(frame: str, id_: str, repeats: int, values: str) -> str:
+    """SQL of whole-table permutations: (rep, rank, donor, values) of every row of a frame in every repeat."""
+    def by(x: str) -> str:
+        return "CASE rep " + " ".join(f"WHEN {r} THEN {permutation.network(x, 'da', 'db', 42, r, '//')}" for r in range(repeats)) + " END"
 
-
-def shuffled_sql(frame: str, id_: str, repeat: str, values: dict[str, str]) -> str:
-    """SQL of one frame's places in their buckets: p for a row, p_<name> for its value of each feature."""
-    size = f"(SELECT greatest(1, ceil(count(*) / {BLOCK}.0))::BIGINT FROM {frame})"
-    places = ", ".join(
-        f"row_number() OVER (PARTITION BY {repeat}, bucket ORDER BY {sql_draw(id_, '42', repeat, salt)}, {id_}) AS {name}"
-        for name, salt in {"p": "'order'", **{f"p_{n}": f"'{v}'" for n, v in values.items()}}.items()
-    )
-    return f"""SELECT *, {places} FROM (SELECT *, {sql_draw(id_, "42", repeat, "'bucket'")} % {size} AS bucket FROM {frame})"""
+    return f"""SELECT rep, rank, {values}, CASE WHEN donor < n THEN donor ELSE list_reduce(list_prepend(donor, range({permutation.STEPS})),
+  lambda x, i : CASE WHEN x < n THEN x ELSE {by("x")} END) END AS donor
+FROM (SELECT *, {by("rank")} AS donor FROM (
+  SELECT *, (-(-n // da))::BIGINT AS db FROM (
+    SELECT *, row_number() OVER (ORDER BY {id_}) - 1 AS rank, count(*) OVER () AS n, ceil(sqrt(count(*) OVER ()))::BIGINT AS da FROM {frame})),
+  range({repeats}) g(rep))""".replace("(-(-n // da))::BIGINT", "((n + da - 1) // da)")
 
 
-@query(f"""WITH o AS (SELECT o_orderkey, o_totalprice, 0 AS rep FROM orders),
-x AS ({shuffled_sql("o", "o_orderkey", "rep", {"v": "o_totalprice"})})
-SELECT x.o_orderkey, d.o_totalprice FROM x JOIN x d ON d.bucket = x.bucket AND d.p_v = x.p""")
+@query(f"""WITH o AS (SELECT o_orderkey, o_totalprice FROM orders),
+x AS ({donors_sql("o", "o_orderkey", 1, "o_orderkey, o_totalprice")})
+SELECT x.o_orderkey, d.o_totalprice FROM x JOIN x d ON d.rank = x.donor""")
 def permute_column(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(ID, "o_totalprice")
-    return permutation.permute_column(rows, [ID], "o_totalprice", seed=42, bucket_rows=BLOCK)
+    return permutation.permute_column(rows, [ID], "o_totalprice", seed=42)
 
 
 # ---- residual tables and tests ----------------------------------------------------
@@ -898,21 +894,20 @@ def lime_bin_profile(spark, sf_dir):
 
 # ---- permutation importance of the linear model -----------------------------------
 
-PERMUTED = LINEAR + f""", rq AS (SELECT o_orderkey, sale_price AS y, n_lines, avg_price, rep FROM vf, range(10) g(rep)),
-rw AS ({shuffled_sql("rq", "o_orderkey", "rep", {"a": "n_lines", "b": "avg_price"})}),
+PERMUTED = LINEAR + f""", rw AS ({donors_sql("vf", "o_orderkey", 10, "sale_price AS y, n_lines, avg_price")}),
 er AS (SELECT 'n_lines' AS feature, x.rep, avg(pow(x.y - b0 - b1 * d.n_lines - b2 * x.avg_price, 2)) AS mse
-       FROM lin, rw x JOIN rw d ON d.rep = x.rep AND d.bucket = x.bucket AND d.p_a = x.p GROUP BY x.rep
+       FROM lin, rw x JOIN rw d ON d.rep = x.rep AND d.rank = x.donor GROUP BY x.rep
        UNION ALL SELECT 'avg_price', x.rep, avg(pow(x.y - b0 - b1 * x.n_lines - b2 * d.avg_price, 2))
-       FROM lin, rw x JOIN rw d ON d.rep = x.rep AND d.bucket = x.bucket AND d.p_b = x.p GROUP BY x.rep),
+       FROM lin, rw x JOIN rw d ON d.rep = x.rep AND d.rank = x.donor GROUP BY x.rep),
 pi AS (SELECT feature, avg(mse - b) AS importance_mean, stddev_pop(mse - b) AS importance_std FROM er,
        (SELECT avg(pow(sale_price - b0 - b1 * n_lines - b2 * avg_price, 2)) AS b FROM lin, vf) GROUP BY 1)
-""".replace("count(*) / 2048.0", "count(DISTINCT o_orderkey) / 2048.0")
+"""
 
 
 def linear_importance(spark, sf_dir) -> DataFrame:
     frame = valuation_frame(spark, sf_dir).select(ID, TARGET, *FEATURES)
     errors = permuted_errors(
-        frame, linear_model(frame), FEATURES, TARGET, [ID], n_repeats=10, seed=42, bucket_rows=BLOCK)
+        frame, linear_model(frame), FEATURES, TARGET, [ID], n_repeats=10, seed=42)
     return importance_from_errors(errors)
 
 

@@ -143,17 +143,29 @@ def test_residual_report_has_all_parts(residual_rows):
 
 
 def test_permutation_keeps_the_multiset_and_moves_rows(linear_data):
-    out = permutation.permute_column(linear_data, ["id"], "f0", bucket_rows=64)
+    out = permutation.permute_column(linear_data, ["id"], "f0")
     both = out.select("id", F.col("f0").alias("p"), "f1").join(linear_data.select("id", "f0", F.col("f1").alias("g1")), "id")
     rows = both.collect()
     assert sorted(r["p"] for r in rows) == sorted(r["f0"] for r in rows)
     assert all(r["f1"] == r["g1"] for r in rows) and sum(r["p"] == r["f0"] for r in rows) < 40
-    again = permutation.permute_column(linear_data.coalesce(1), ["id"], "f0", bucket_rows=64)
+    again = permutation.permute_column(linear_data.coalesce(1), ["id"], "f0")
     assert sorted(again.collect()) == sorted(out.collect())
-    other = permutation.permute_column(linear_data, ["id"], "f0", repeat=1, bucket_rows=64)
+    other = permutation.permute_column(linear_data, ["id"], "f0", repeat=1)
     assert sorted(other.collect()) != sorted(out.collect())
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 10, 99, 1000, 4001])
+def test_ranks_are_permuted_as_a_whole(spark, n):
+    rows = spark.range(n).select(F.col("id").alias("_rank"), F.explode(F.array(F.lit(0), F.lit(1))).alias("_repeat"))
+    found = permutation.donor_ranks(rows, n, 5, [0, 1]).collect()
+    for repeat in (0, 1):
+        donors = {r["_rank"]: r["_donor"] for r in found if r["_repeat"] == repeat}
+        assert sorted(donors.values()) == list(range(n))
+        if n > 900:  # spread over the table, not near where they were
+            assert np.corrcoef(list(donors), list(donors.values()))[0, 1] == pytest.approx(0, abs=0.1)
+            assert sum(a == b for a, b in donors.items()) < 10
+
+
 def importance(df, model, **options):
     table = permutation.permutation_importance(df, model, FEATURES, "y", ["id"], **options)
     return {r["feature"]: r["importance_mean"] for r in table.collect()}
