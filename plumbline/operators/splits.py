@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from ..functions.columns import as_double, col, id_hash
 from ..functions.order_stats import exact_quantiles, kth_values
 from ..functions.ranking import global_rank
 
-TOP_K_ROWS = 10_000
+BOTTOM_K = 10_000  # keys that a task may hold
 
 
 def quantile_edges(df: DataFrame, target: str, bins: int = FIT.strata) -> list[float]:
@@ -188,17 +190,84 @@ def sample_n(
     seed: int | None = None,
     order: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """Exactly ``n`` rows without replacement, or all rows when there are fewer.
+    """Exactly ``n`` rows without replacement, the first ones in ``order``, or all rows when there are fewer.
 
-    The n-th order key is found first and filters the rows, so that a top-k sees about ``n`` rows
-    in all rather than ``n`` of every partition. Rows equal in all order keys are told apart by that
-    top-k up to ``TOP_K_ROWS``; in a larger sample the last of such ties stay together.
+    The last order key of the sample is found first; rows before it are a filter, and as many of the rows equal to it in
+    all keys join them as are wanted still. Nothing depends on the size of the sample but the way to that key.
     """
     order = default(order, seeded_order(id_cols, default(seed, FIT.seed)))
-    keys = [F.col(f"_o{i}") for i in range(len(order))]
-    base = df.select(*[o.alias(f"_o{i}") for i, o in enumerate(order)]).persist(StorageLevel.MEMORY_AND_DISK)
+    if n <= 0:
+        return df.limit(0)
+    keys = df.select(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
+    found = smallest_keys(keys, n) if n <= BOTTOM_K else _searched_keys(keys, n)
+    if found is None:
+        return df
+    cut, before = found
+    less, equal = _beside(order, cut)
+    return df.filter(less).unionByName(df.filter(equal).limit(n - before))
+
+
+def _beside(order: Sequence[Column], cut: Sequence) -> tuple[Column, Column]:
+    """Conditions of the keys before and at a cut; nulls come first."""
+    less, equal = F.lit(False), F.lit(True)
+    for key, value in zip(order, cut):
+        if value is None:
+            equal = equal & key.isNull()
+            continue
+        before = key.isNull() | (key < F.lit(value))
+        less, equal = less | (equal & before), equal & key.isNotNull() & (key == F.lit(value))
+    return F.coalesce(less, F.lit(False)), equal
+
+
+def smallest_keys(keys: DataFrame, n: int) -> tuple[tuple, int] | None:
+    """(the n-th key, how many are before it), or nothing for fewer than n rows: one pass over the keys.
+
+    Every task keeps its n smallest; those of a group of tasks are merged before the groups are.
+    """
+    names = keys.columns
+    flagged = keys.select(*[x for c in names for x in (F.col(c).isNotNull().cast("int").alias(f"{c}_set"), F.col(c))])
+    sort_keys = [(c, "ascending") for c in flagged.columns]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for part in parts:
+            own = pa.Table.from_batches([part])
+            held = own if held is None else pa.concat_tables([held, own])
+            if held.num_rows > n:
+                held = held.take(pc.select_k_unstable(held, n, sort_keys))
+        if held is not None:
+            yield from held.combine_chunks().to_batches()
+
+    first = flagged.mapInArrow(run, flagged.schema)
+    tasks = keys.sparkSession.sparkContext.defaultParallelism
+    merged = first.repartition(tasks).mapInArrow(run, flagged.schema).select(*names)
+    rows = merged.orderBy(*[F.col(c).asc_nulls_first() for c in names]).limit(n)
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    last, total = counted.agg(F.max(F.struct(*names, "_n")), F.sum("_n")).first()
+    if last is None or total < n:
+        return None
+    return tuple(last[c] for c in names), n - last["_n"]
+
+
+def _searched_keys(keys: DataFrame, n: int) -> tuple[tuple, int] | None:
+    """The same by exact order statistics, key by key, for samples that one task should not hold."""
+    keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        near = df.filter(first_k(base, keys, {0: (F.lit(True), n)}, order))
+        if keys.count() < n:
+            return None
+        scope, before, cut = F.lit(True), 0, []
+        for name in keys.columns:
+            key = F.col(name)
+            nulls, size = keys.agg(F.count_if(scope & key.isNull()), F.count_if(scope & key.isNotNull())).first()
+            if n - before <= nulls:
+                cut.append(None)
+                scope = scope & key.isNull()
+                continue
+            before += nulls
+            value = kth_values(keys, {0: F.when(scope, key)}, {0: [n - before - 1]}, {0: size}, persist=False)[0][0]
+            before += keys.agg(F.count_if(scope & (key < F.lit(value)))).first()[0]
+            cut.append(value)
+            scope = scope & (key == F.lit(value))
+        return tuple(cut), before
     finally:
-        base.unpersist()
-    return near.orderBy(*order).limit(n) if n <= TOP_K_ROWS else near
+        keys.unpersist()

@@ -161,18 +161,31 @@ def test_first_k_moves_through_ties(spark):
 def test_samples_and_splits_of_repeated_ids_end(spark):
     rows = spark.range(0, 45_000, 1, 6).select((F.col("id") % 3).alias("id"), (F.col("id") % 1009).cast("double").alias("y"))
     assert splits.sample_n(rows, 4_000, ["id"]).count() == 4_000
-    assert splits.sample_n(rows, 12_000, ["id"]).count() % 15_000 == 0  # ties of a larger sample stay together
+    assert splits.sample_n(rows, 12_000, ["id"]).count() == 12_000 and splits.sample_n(rows, 20_000, ["id"]).count() == 20_000
+    assert splits.sample_n(rows, 50_000, ["id"]).count() == 45_000 and splits.sample_n(rows, 0, ["id"]).count() == 0
     marked = splits.mark_split(rows, ["id"], "y")
     assert marked.count() == 45_000
 
 
 def test_sample_beyond_top_k_equals_ordered_sample(priced, monkeypatch):
     small = {r["id"] for r in splits.sample_n(priced, 100, ["id"]).collect()}
-    monkeypatch.setattr(splits, "TOP_K_ROWS", 10)
+    monkeypatch.setattr(splits, "BOTTOM_K", 10)
     assert {r["id"] for r in splits.sample_n(priced, 100, ["id"]).collect()} == small
     assert splits.sample_n(priced, 10_000, ["id"]).count() == 503
 
 
+@pytest.mark.parametrize("bottom", [10_000, 3])
+def test_samples_follow_any_order(spark, monkeypatch, bottom):
+    monkeypatch.setattr(splits, "BOTTOM_K", bottom)
+    values = [None, 5, 5, None, 1, 9, 5, 7, 2, 2]
+    rows = spark.createDataFrame([(i, v, f"t{i % 3}") for i, v in enumerate(values)], "id long, v int, t string").repartition(4)
+    want = sorted(range(10), key=lambda i: (values[i] is not None, values[i] or 0, i))
+    for n in (1, 2, 3, 5, 9, 10, 11):
+        got = splits.sample_n(rows, n, ["id"], order=[F.col("v"), F.col("id")])
+        assert sorted(r["id"] for r in got.collect()) == sorted(want[:n])
+        assert splits.sample_n(rows, n, ["id"], order=[F.col("v")]).count() == min(n, 10)
+
+
 def test_folds(priced):
     folded = splits.assign_folds(priced, ["id"], 5)
     assert {r["fold"] for r in folded.select("fold").distinct().collect()} == set(range(5))
