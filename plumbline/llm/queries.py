@@ -24,11 +24,22 @@ def id_remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
-def unescaped(sql: str) -> str:
-    """SQL of a text with its character references by name decoded."""
-    for name, character in warc.ENTITIES.items():
-        sql = "replace({}, '{}', '{}')".format(sql, name, character.replace("'", "''"))
-    return sql
+def unescaped(text: str) -> str:
+    """SQL of a text with its character references decoded, each once; `known` maps names, and numbers read as Windows-1252."""
+    cut, found = f"regexp_split_to_array({text}, '{warc.REFERENCE}')", f"regexp_extract_all({text}, '{warc.REFERENCE}')"
+    digits = "regexp_replace(r[3:len(r) - 1], '^[xX]?0*', '')"
+    number = f"""CASE WHEN len({digits}) > 7 THEN 0 WHEN r[3] IN ('x', 'X') THEN ('0x' || lpad({digits}, 8, '0'))::BIGINT
+      ELSE coalesce(try_cast({digits} AS BIGINT), 0) END"""
+    point = f"list_transform([{number}], lambda n : coalesce(known[n::VARCHAR], chr((CASE WHEN n > 0 AND n <= 1114111 AND n NOT BETWEEN 55296 AND 57343 THEN n ELSE 65533 END)::INTEGER)))[1]"
+    one = f"list_transform([{found}[i]], lambda r : CASE WHEN r[2] = '#' THEN {point} ELSE coalesce(known[r[2:len(r) - 1]], r) END)[1]"
+    return f"list_aggregate(list_transform(range(1, len({cut}) + 1), lambda i : {cut}[i] || coalesce({one}, '')), 'string_agg', '')"
+
+
+def known_references() -> str:
+    """SQL of a map of all of HTML's names."""
+    pairs = {**{n: c for own in warc.NAMED.values() for n, c in own.items()}, **warc.WINDOWS}
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    return "MAP {" + ", ".join(f"{quoted(n)}: {quoted(c)}" for n, c in pairs.items()) + "}"
 
 
 @query
@@ -37,7 +48,9 @@ def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op1_warc_derivatives"] = r"""
-WITH r AS (
+WITH k AS (
+  SELECT KNOWN AS known
+), r AS (
   SELECT url, coalesce(html, '') AS html, md5(concat_ws('|', 'response', page_id, url)) AS h FROM pages
 ), i AS (
   SELECT url, html, '<urn:uuid:' || concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) || '>' AS refers_to,
@@ -53,7 +66,7 @@ WITH r AS (
 ), t AS (
   SELECT *, regexp_replace(regexp_replace(html,
     '(?is)<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</(script|style|noscript|template)\s*>', '', 'g'), '\s+', ' ', 'g') AS shown,
-    regexp_replace(trim(TITLE), '\s+', ' ', 'g') AS title FROM n
+    regexp_replace(trim(TITLE), '\s+', ' ', 'g') AS title, known FROM n, k
 ), b AS (
   SELECT *, regexp_replace(regexp_replace(regexp_replace(SHOWN, '[ \t]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g') AS plain,
     'conversion-record: ' || conversion_id || E'\r\n' || 'source-payload-digest: ' || digest || E'\r\n'
@@ -74,7 +87,7 @@ SELECT record_id, warc_type, url AS target_uri, '2024-01-01T00:00:00Z' AS warc_d
     to_base(('0x' || sha1(block)[5 * k + 1 : 5 * k + 5])::BIGINT, 32, 4)), 'string_agg', ''),
     '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS block_digest, block
 FROM o
-""".replace("TITLE", unescaped("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")).replace("LINK", unescaped("x")).replace(
+""".replace("KNOWN", known_references()).replace("TITLE", unescaped("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")).replace("LINK", unescaped("x")).replace(
     "SHOWN", unescaped(r"""regexp_replace(regexp_replace(shown,
     '(?i)</?(address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>',
     chr(10), 'g'), '(?s)<[^>]*>', '', 'g')"""))

@@ -19,9 +19,6 @@ HIDDEN = r"(?is)<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</(script
 BREAKS = r"(?i)</?(address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
 TAG = r"(?s)<[^>]*>"
 LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
-# the named references that the SQL of the query knows; the operator knows all of HTML
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&amp;": "&"}
-
 REFERENCE = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 # characters of HTML's names, by first letter, and of the numbers that it reads as Windows-1252
 NAMED: dict[str, dict[str, str]] = {}
