@@ -5,14 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .columns import col
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
+MAP_VALUES = 64  # of one feature that are part of an expression rather than of a join
 
 
 @dataclass
@@ -24,13 +26,23 @@ class Lookup:
     weight: str | None = None
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About how long a row is: texts as they are, nested values as JSON, 16 bytes for anything else."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for f in df.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(col(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(col(f.name)))), F.lit(0))
+    return size
+
+
 def settle(df: DataFrame, weight: str | None = None) -> Lookup:
     """Computes ``df`` once: held as a local relation when small, checkpointed otherwise."""
     once = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # measured before anything is collected; JSON is about as long as the values or longer
-        text = F.to_json(F.struct(*[col(c) for c in once.columns]))
-        rows, size = once.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+        # measured before anything is collected
+        rows, size = once.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(once)), F.lit(0))).first()
         if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
             return Lookup(df.sparkSession.createDataFrame(once.toArrow(), schema=df.schema), True, weight)
         return Lookup(cut_lineage(once), False, weight)
@@ -38,6 +50,29 @@ def settle(df: DataFrame, weight: str | None = None) -> Lookup:
         once.unpersist()
 
 
+def literal_map(values: dict) -> Column:
+    """A small dict as a map column."""
+    items = []
+    for key, value in values.items():
+        items += [F.lit(key), F.lit(value)]
+    return F.create_map(*items)
+
+
+def small_maps(lookup: Lookup, key: Column, value: str) -> dict[str, dict]:
+    """Values by key of every feature that has few of them, from a small table (feature, ...); these need no join."""
+    if not lookup.small:
+        return {}
+    table = lookup.table.select("feature", key.alias("key"), F.col(value).alias("value")).toArrow()
+    maps: dict[str, dict] = {}
+    for feature, k, v in zip(*(c.to_pylist() for c in table.columns)):
+        maps.setdefault(feature, {})[k] = v
+    return {f: {k: v for k, v in m.items() if v is not None} for f, m in maps.items() if len(m) <= MAP_VALUES}
+
+
+def mapped(values: dict, key: Column, fallback: Column) -> Column:
+    return F.coalesce(F.try_element_at(literal_map(values), key), fallback) if values else fallback
+
+
 def _hot_rows(lookup: Lookup) -> DataFrame:
     """Keys holding more than one average partition of rows: at most one per partition."""
     table = lookup.table

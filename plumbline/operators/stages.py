@@ -16,7 +16,6 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import functions as F
 
 from ..functions.lookups import Lookup, settle
 
@@ -65,11 +64,3 @@ class FittedStage(Model, MLReadable, MLWritable):
     @classmethod
     def read(cls):
         return _StageReader(cls)
-
-
-def literal_map(values: dict):
-    """A small dict as a map column."""
-    items = []
-    for key, value in values.items():
-        items += [F.lit(key), F.lit(value)]
-    return F.create_map(*items)
