@@ -16,7 +16,7 @@ from ..config import QUALITY
 from ..functions.columns import as_double, col
 from ..functions.lookups import settle
 from ..functions.numeric import normal_density, normal_quantile
-from ..functions.order_stats import exact_quantiles, kth_values
+from ..functions.order_stats import DIRECT_ROWS, exact_quantiles, kth_values
 from ..functions.ranking import global_rank
 from ..functions.tails import chi2_sf, f_sf, normal_sf
 from .splits import sample_n
@@ -120,15 +120,6 @@ def scale_location(
 # ---- LOWESS on a grid ---------------------------------------------------------
 
 
-def _anchor_array(rows: list[tuple]) -> Column:
-    return F.array(
-        *[
-            F.struct(F.lit(i).alias("anchor"), F.lit(x).alias("x0"), F.lit(h).alias("h"))
-            for i, x, h in rows
-        ]
-    )
-
-
 def lowess_anchors(df: DataFrame, x: str, frac: float, anchors: int) -> list[tuple]:
     """(anchor, x0, h): evenly spaced quantiles of x and the distance to the k-th neighbour.
 
@@ -139,6 +130,9 @@ def lowess_anchors(df: DataFrame, x: str, frac: float, anchors: int) -> list[tup
     points = sorted({q for q in exact_quantiles(df, {"x": value}, shares)["x"] if q is not None})
     n = df.agg(F.count(value)).first()[0]
     k = max(int(frac * n + 1e-10), 1)
+    if n <= DIRECT_ROWS:
+        held = df.select(value.alias("x")).toArrow().column("x").to_numpy()
+        return [(i, p, float(np.partition(np.abs(held - p), k - 1)[k - 1])) for i, p in enumerate(points)]
     reach = kth_values(
         df,
         {str(i): F.abs(value - F.lit(p)) for i, p in enumerate(points)},
@@ -149,22 +143,79 @@ def lowess_anchors(df: DataFrame, x: str, frac: float, anchors: int) -> list[tup
     return [(i, p, reach[str(i)][0]) for i, p in enumerate(points)]
 
 
-def _local_lines(weighted: DataFrame) -> DataFrame:
-    """Weighted straight lines around each anchor from five sums; ``a`` is the fit at x0."""
-    w, d, y = F.col("w"), F.col("d"), F.col("y")
-    sums = weighted.groupBy("anchor", "x0").agg(
-        F.sum(w).alias("s0"),
-        F.sum(w * d).alias("s1"),
-        F.sum(w * d * d).alias("s2"),
-        F.sum(w * y).alias("t0"),
-        F.sum(w * d * y).alias("t1"),
-    )
-    det = F.col("s0") * F.col("s2") - F.col("s1") * F.col("s1")
-    flat = det <= 1e-12 * F.col("s0") * F.col("s2")
-    level = F.when(flat, F.col("t0") / F.col("s0")).otherwise(
-        (F.col("s2") * F.col("t0") - F.col("s1") * F.col("t1")) / det
-    )
-    return sums.select("anchor", "x0", level.alias("smooth"))
+DEGREE = 9  # of tricube weights in the distance; local lines need two more
+
+
+def _by_interval(x: Column, cuts: Sequence[float], made, low: int = 0) -> Column:
+    """``made(i)`` for the interval that x falls in, i - 1 being the last cut below x, found by halving."""
+    if not cuts:
+        return made(low)
+    half = len(cuts) // 2
+    return F.when(x <= F.lit(cuts[half]), _by_interval(x, cuts[:half], made, low)).otherwise(
+        _by_interval(x, cuts[half + 1 :], made, low + half + 1))
+
+
+class _MicroBins:
+    """Intervals of x between the ends and centres of all windows.
+
+    Inside one interval every anchor's weight is one polynomial of x, so sums of powers by interval give the sums of
+    every anchor, and a row is in one interval, however many windows hold it. Powers are of places in the interval,
+    from -1 to 1. An anchor without width has an interval of its own point.
+    """
+
+    def __init__(self, grid: list[tuple], low: float, high: float):
+        self.grid = grid
+        self.flat = sorted({x0 for _, x0, h in grid if h == 0})
+        self.cuts = sorted({c for _, x0, h in grid for c in (x0 - h, x0, x0 + h) if low < c < high})
+        ends = [low, *self.cuts, high]
+        self.middle = [(a + b) / 2 for a, b in zip(ends, ends[1:])] + self.flat
+        self.half = [(b - a) / 2 or 1.0 for a, b in zip(ends, ends[1:])] + [1.0] * len(self.flat)
+
+    def sums(self, rows: DataFrame) -> np.ndarray:
+        """Sums of w t^p and w y t^p by interval, of rows (x, y, robust)."""
+        x = F.col("x")
+        number = _by_interval(x, self.cuts, lambda i: F.lit(i))
+        for i, point in enumerate(self.flat):
+            number = F.when(x == F.lit(point), len(self.cuts) + 1 + i).otherwise(number)
+        place = rows.withColumn("bin", number).withColumn("t", (x - F.get(F.array(*map(F.lit, self.middle)), F.col("bin"))) / F.get(
+            F.array(*map(F.lit, self.half)), F.col("bin")))
+        powers, w = [], F.col("robust")
+        for p in range(DEGREE + 3):
+            powers.append(F.sum(w).alias(f"w{p}"))
+            if p <= DEGREE + 1:
+                powers.append(F.sum(w * F.col("y")).alias(f"y{p}"))
+            w = w * F.col("t")
+        out = np.zeros((len(self.middle), 2, DEGREE + 3))
+        for r in place.groupBy("bin").agg(*powers).collect():
+            out[r["bin"], 0] = [r[f"w{p}"] for p in range(DEGREE + 3)]
+            out[r["bin"], 1, : DEGREE + 2] = [r[f"y{p}"] for p in range(DEGREE + 2)]
+        return out
+
+    def lines(self, sums: np.ndarray) -> list[float]:
+        """The weighted straight line around each anchor, at the anchor."""
+        return [self._level(x0, h, sums) for _, x0, h in self.grid]
+
+    def _level(self, x0: float, h: float, sums: np.ndarray) -> float:
+        total = np.zeros(5)  # w, w d, w d d, w y, w d y
+        for (middle, half), own in zip(zip(self.middle, self.half), sums):
+            if abs(middle - x0) > h or not own[0, 0]:
+                continue
+            d = np.array([middle - x0, half])
+            u = d / h * (1 if middle >= x0 else -1) if h else np.zeros(1)
+            cube = np.convolve(np.convolve(u, u), u)
+            once = -cube
+            once[0] += 1
+            weight = np.convolve(np.convolve(once, once), once)
+            for k, (moments, power) in enumerate(((own[0], 0), (own[0], 1), (own[0], 2), (own[1], 0), (own[1], 1))):
+                poly = weight
+                for _ in range(power):
+                    poly = np.convolve(poly, d)
+                total[k] += poly @ moments[: len(poly)]
+        s0, s1, s2, t0, t1 = total
+        det = s0 * s2 - s1 * s1
+        if not s0:
+            return math.nan
+        return float(t0 / s0 if det <= 1e-12 * s0 * s2 else (s2 * t0 - s1 * t1) / det)
 
 
 def lowess_grid(
@@ -177,43 +228,39 @@ def lowess_grid(
 ) -> DataFrame:
     """(anchor, x0, smooth): tricube local lines on a grid, with bisquare re-weighting.
 
-    Rows fan out only to the anchors whose window holds them and are reduced to five
-    sums per anchor before the shuffle, so what moves is one row per anchor and task.
+    A pass reduces every row to the sums of its interval between window ends, in one aggregate without fanning out.
     """
     points = df.select(as_double(df, x).alias("x"), as_double(df, y).alias("y")).dropna()
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    grid = lowess_anchors(points, "x", frac, anchors)
-    window = _anchor_array(grid)
-
-    def windowed(rows: DataFrame) -> DataFrame:
-        hit = rows.withColumn("a", F.explode(F.filter(window, lambda a: F.abs(F.col("x") - a["x0"]) <= a["h"])))
-        d = F.col("x") - F.col("a.x0")
-        u = F.abs(d) / F.col("a.h")
-        tricube = F.when(F.col("a.h") == 0, 1.0).otherwise(F.pow(1 - u * u * u, 3))
-        weight = tricube * F.col("robust")
-        return hit.select("a.anchor", "a.x0", d.alias("d"), "y", weight.alias("w"))
-
-    result = _local_lines(windowed(points.withColumn("robust", F.lit(1.0))))
-    for _ in range(iterations):
-        knots = [(r["x0"], r["smooth"]) for r in result.orderBy("x0").collect()]
-        off = F.abs(F.col("y") - _interpolated(F.col("x"), knots))
-        scored = points.withColumn("off", off)
-        spread = exact_quantiles(scored, {"off": F.col("off")}, [0.5])["off"][0] or 0.0
-        u = F.col("off") / F.lit(6 * spread if spread > 0 else math.inf)
-        robust = F.when(u < 1, F.pow(1 - u * u, 2)).otherwise(0.0)
-        result = _local_lines(windowed(scored.withColumn("robust", robust)))
-    curve = settle(result).table
-    points.unpersist()
-    return curve
+    schema = "anchor int, x0 double, smooth double"
+    try:
+        low, high = points.agg(F.min("x"), F.max("x")).first()
+        if low is None:
+            return df.sparkSession.createDataFrame([], schema)
+        grid = lowess_anchors(points, "x", frac, anchors)
+        bins = _MicroBins(grid, low, high)
+        smooth = bins.lines(bins.sums(points.withColumn("robust", F.lit(1.0))))
+        for _ in range(iterations):
+            knots = [(x0, v) for (_, x0, _), v in zip(grid, smooth)]
+            scored = points.withColumn("off", F.abs(F.col("y") - _interpolated(F.col("x"), knots)))
+            spread = exact_quantiles(scored, {"off": F.col("off")}, [0.5])["off"][0] or 0.0
+            u = F.col("off") / F.lit(6 * spread if spread > 0 else math.inf)
+            robust = F.when(u < 1, F.pow(1 - u * u, 2)).otherwise(0.0)
+            smooth = bins.lines(bins.sums(scored.withColumn("robust", robust)))
+    finally:
+        points.unpersist()
+    return df.sparkSession.createDataFrame([(i, float(x0), v) for (i, x0, _), v in zip(grid, smooth)], schema)
 
 
 def _interpolated(x: Column, knots: list[tuple[float, float]]) -> Column:
-    """Piecewise-linear curve through the anchors, as one CASE expression."""
-    value = F.lit(knots[-1][1])
-    for (x0, y0), (x1, y1) in reversed(list(zip(knots, knots[1:]))):
-        slope = (y1 - y0) / (x1 - x0)
-        value = F.when(x <= F.lit(x1), F.lit(y0) + (x - F.lit(x0)) * slope).otherwise(value)
-    return value
+    """Piecewise-linear curve through the anchors."""
+    def line(i: int) -> Column:
+        if i == len(knots) - 1:
+            return F.lit(knots[-1][1])
+        (x0, y0), (x1, y1) = knots[i : i + 2]
+        return F.lit(y0) + (x - F.lit(x0)) * ((y1 - y0) / (x1 - x0))
+
+    return _by_interval(x, [k[0] for k in knots[1:]], line)
 
 
 # ---- tests --------------------------------------------------------------------

@@ -643,19 +643,31 @@ def qq_table(spark, sf_dir):
     return rounded(out, theoretical=6, fitted=5)
 
 
-@query(LINEAR + f""", an AS (SELECT unnest(range(20)) AS anchor,
-       unnest(quantile_cont(prediction, [{", ".join(repr(i / 19) for i in range(20))}])) AS x0 FROM sc),
+def lowess_sql(anchors: int, passes: int) -> str:
+    """Local lines on a grid and their robust passes, each from the rows' distance to the curve before."""
+    lines = """SELECT anchor, x0, (s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1) AS smooth FROM (
+  SELECT anchor, x0, sum(w) AS s0, sum(w * d) AS s1, sum(w * d * d) AS s2, sum(w * y) AS t0, sum(w * d * y) AS t1 FROM (
+    SELECT anchor, x0, x - x0 AS d, y, r * pow(1 - pow(abs(x - x0) / h, 3), 3) AS w FROM h JOIN {rows} ON abs(x - x0) <= h) GROUP BY anchor, x0)"""
+    steps = f""", an AS (SELECT unnest(range({anchors})) AS anchor,
+       unnest(quantile_cont(prediction, [{", ".join(repr(i / (anchors - 1)) for i in range(anchors))}])) AS x0 FROM sc),
 h AS (SELECT anchor, x0, list_sort(list(abs(prediction - x0)))[CAST(floor(0.3 * count(*) + 1e-10) AS BIGINT)] AS h
       FROM an, sc GROUP BY anchor, x0),
-w AS (SELECT anchor, x0, prediction - x0 AS d, residual AS y, pow(1 - pow(abs(prediction - x0) / h, 3), 3) AS w
-      FROM h JOIN sc ON abs(prediction - x0) <= h),
-s AS (SELECT anchor, x0, sum(w) AS s0, sum(w * d) AS s1, sum(w * d * d) AS s2, sum(w * y) AS t0, sum(w * d * y) AS t1
-      FROM w GROUP BY anchor, x0)
-SELECT CAST(anchor AS INTEGER) AS anchor, round(x0, 2) AS x0, round((s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1), 2) AS smooth FROM s""")
+r0 AS (SELECT prediction AS x, residual AS y, 1.0::DOUBLE AS r FROM sc),
+c0 AS ({lines.format(rows="r0")})"""
+    for k in range(1, passes + 1):
+        steps += f""",
+g{k} AS (SELECT CASE WHEN anchor = 0 THEN '-inf'::DOUBLE ELSE x0 END AS a, x0, smooth, lead(x0) OVER (ORDER BY x0) AS b, lead(smooth) OVER (ORDER BY x0) AS next FROM c{k - 1}),
+o{k} AS (SELECT x, y, abs(y - (smooth + (x - x0) * ((next - smooth) / (b - x0)))) AS off FROM r0 JOIN g{k} ON x > a AND x <= b),
+r{k} AS (SELECT x, y, CASE WHEN off < 6 * m THEN pow(1 - pow(off / (6 * m), 2), 2) ELSE 0 END AS r FROM o{k}, (SELECT quantile_cont(off, 0.5) AS m FROM o{k})),
+c{k} AS ({lines.format(rows=f"r{k}")})"""
+    return steps + f" SELECT CAST(anchor AS INTEGER) AS anchor, round(x0, 2) AS x0, round(smooth, 2) AS smooth FROM c{passes}"
+
+
+@query(LINEAR + lowess_sql(50, 3))
 def lowess_grid(spark, sf_dir):
-    """Tricube local lines on 20 anchors, before robust re-weighting."""
+    """Tricube local lines on 50 anchors with three robust passes."""
     scored = linear_rows(spark, sf_dir)[1].select("prediction", "residual")
-    return rounded(residuals.lowess_grid(scored, "prediction", "residual", anchors=20, iterations=0), x0=2, smooth=2)
+    return rounded(residuals.lowess_grid(scored, "prediction", "residual"), x0=2, smooth=2)
 
 
 @query(LINEAR + """, t AS (SELECT regr_r2(residual * residual, prediction) AS r2, count(*) AS n FROM sc)

@@ -129,6 +129,16 @@ def test_lowess_equals_brute_force(spark, iterations):
     np.testing.assert_allclose([r["smooth"] for r in got], brute_lowess(x, y, anchors, 0.3, iterations), rtol=1e-6)
 
 
+def test_lowess_of_ties_and_few_rows(spark):
+    df = spark.createDataFrame([(float(i % 3), float(i % 3) * 2 + (i % 2)) for i in range(60)], "x double, y double")
+    got = residuals.lowess_grid(df, "x", "y", frac=0.3, anchors=2).orderBy("x0").collect()
+    assert [r["x0"] for r in got] == [0.0, 2.0]  # every window is one point: the level there
+    np.testing.assert_allclose([r["smooth"] for r in got], [0.5, 4.5])
+    assert residuals.lowess_grid(df.limit(0), "x", "y").count() == 0
+    one = residuals.lowess_grid(spark.createDataFrame([(3.0, 5.0)], "x double, y double"), "x", "y").collect()
+    assert [(r["x0"], r["smooth"]) for r in one] == [(3.0, 5.0)]
+
+
 def test_residual_report_has_all_parts(residual_rows):
     report = residuals.residual_report(residual_rows.drop("residual"), ["id"], "y", features=["a", "b", "c"])
     assert set(report["tests"]) == {"shapiro_wilk", "breusch_pagan"}
