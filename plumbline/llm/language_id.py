@@ -23,6 +23,7 @@ SAMPLE_ROWS = 96  # labelled rows of a language that its automaton is fitted on
 SAMPLE_CHARS = 256  # of each of these rows, from a seeded place
 ALPHABET = 64  # most frequent letters of the samples; the space is 0 and any other letter the last
 LANE = 1024
+LAST_LETTERS = 0x40000  # planes 0 to 3 hold all letters
 SCORE_SCALE = 24.0  # how sharply a difference of entropy (relative) decides the score
 
 
@@ -126,7 +127,7 @@ class LanguageModel:
 def fold_text(text: str) -> np.ndarray:
     """Code points of a text in lower case, with each run of anything but letters as one space."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    letters = LETTER[np.minimum(points, 0xFFFF)]
+    letters = LETTER[np.minimum(points, len(LETTER) - 1)]
     points = np.where(letters, points, np.uint32(32))
     keep = letters.copy()
     keep[1:] |= letters[:-1]
@@ -134,12 +135,10 @@ def fold_text(text: str) -> np.ndarray:
 
 
 def _letter_table() -> np.ndarray:
-    out = np.zeros(0x10000, bool)
-    for i in range(0xD800):
+    """Which code points are letters; there are none from LAST_LETTERS on, whose place stands for all that follow."""
+    out = np.zeros(LAST_LETTERS + 1, bool)
+    for i in (*range(0xD800), *range(0xE000, LAST_LETTERS)):
         out[i] = chr(i).isalpha()
-    for i in range(0xE000, 0x10000):
-        out[i] = chr(i).isalpha()
-    out[0xFFFF] = True  # stands for all planes above
     return out
 
 

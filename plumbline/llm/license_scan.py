@@ -87,14 +87,17 @@ def votes(texts: DataFrame, grams: DataFrame, k: int) -> DataFrame:
 def spans(diagonals: DataFrame) -> DataFrame:
     """(key, template, low, high, n): diagonals merged with neighbours that are near in the template and the text.
 
-    A diagonal meets the ones before it in the order of its first vote; a text's diagonals of one template are as many
-    as its matches, and a text fits into a task.
+    Stretches of text without a gap come first. In each, diagonals follow one another in the order of their offset, so
+    that a stray one, of words that the template repeats, does not stand between two neighbours. A text's diagonals of
+    one template are as many as its matches, and a text fits into a task.
     """
     order = W.partitionBy("key", "template").orderBy("low", "diagonal")
-    fresh = (F.col("low") > F.max("high").over(order.rowsBetween(W.unboundedPreceding, -1)) + GAP) | (
-        F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > NEAR)
-    marked = diagonals.withColumn("span", F.sum(F.coalesce(fresh, F.lit(True)).cast("int")).over(order))
-    return marked.groupBy("key", "template", "span").agg(
+    apart = F.col("low") > F.max("high").over(order.rowsBetween(W.unboundedPreceding, -1)) + GAP
+    placed = diagonals.withColumn("stretch", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(order))
+    near = W.partitionBy("key", "template", "stretch").orderBy("diagonal")
+    fresh = F.col("diagonal") - F.lag("diagonal").over(near) > NEAR
+    marked = placed.withColumn("span", F.sum(F.coalesce(fresh, F.lit(True)).cast("int")).over(near))
+    return marked.groupBy("key", "template", "stretch", "span").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
 
 

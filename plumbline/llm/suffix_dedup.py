@@ -148,7 +148,7 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     at = np.where(change != 0, np.arange(n), n)
     rising = change[np.minimum.accumulate(at[::-1])[::-1]] > 0
     small = np.flatnonzero(rising)
-    padded = np.concatenate([data, np.full(depth, SEPARATOR, np.uint8)])
+    padded = np.concatenate([data, np.zeros(depth, np.uint8)])  # nothing is the least
     keys = np.lib.stride_tricks.sliding_window_view(padded, depth)[small]
     small = small[np.argsort(np.ascontiguousarray(keys).view(f"S{depth}").ravel(), kind="stable")]
     del keys

@@ -74,9 +74,8 @@ def test_suffix_order_is_sorted():
         text = data.tobytes()
         order = suffix_dedup.suffix_order(data, 64)
         assert sorted(order) == list(range(len(data)))
-        cut = [text[i : i + 64] + b"\xff" * (64 - len(text[i : i + 64])) for i in order]
         plain = [text[i : i + 64] for i in order]
-        assert cut == sorted(cut) or plain == sorted(plain)
+        assert plain == sorted(plain)
 
 
 def test_without_repeats_keeps_rows_and_columns(docs, empty):
@@ -118,6 +117,23 @@ def test_license_scan_equals_brute_force(spark, docs, rows, empty):
     assert license_scan.scan_licenses(empty).count() == 0
 
 
+def test_licenses_with_inserted_words_keep_their_labels(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for label, template in license_scan.TEMPLATES.items():
+        own = template.split()
+        places = [[i] for i in range(len(own) + 1)] + [sorted(rng.integers(0, len(own) + 1, 2)) for _ in range(40)]
+        for some in places:
+            words = list(own)
+            for i in reversed(some):
+                words.insert(int(i), "zzword")
+            rows.append((len(rows), " ".join(words), label))
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    got = {r.doc_id: set(r.labels.split(",")) for r in license_scan.scan_licenses(df, phrases={}).collect()}
+    lost = [(label, text) for i, text, label in rows if label not in got[i] and len(text.split()) > 12]
+    assert not lost, (len(lost), lost[:3])
+
+
 def test_all_character_references_are_decoded(spark):
     text = ("&copy; 2024 &middot; &Eacute;t&eacute; &hellip; &#x27;q&#X1F600; &#128512; &#1114111; &#0000065; &#150; &amp;lt; &lt;b&gt; "
             "&NotEqualTilde; &nosuch; &amp; a&b; &#99999999; &#xD800; &nbsp;.")
