@@ -8,6 +8,8 @@ next to native stages and be saved and loaded with it.
 from __future__ import annotations
 
 from pyspark.ml import Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasLabelCol, HasSeed
 from pyspark.ml.util import (
     DefaultParamsReader,
     DefaultParamsWriter,
@@ -20,6 +22,25 @@ from pyspark.ml.util import (
 from ..functions.lookups import Lookup, settle
 
 
+class FoldParams(HasLabelCol, HasSeed):
+    """Parameters of estimators that deal rows into folds by their ids; grids and ``copy`` can change them."""
+
+    numFolds = Param(Params._dummy(), "numFolds", "parts that the rows are dealt into", TypeConverters.toInt)
+    idCols = Param(Params._dummy(), "idCols", "columns that name a row", TypeConverters.toListString)
+
+    @property
+    def label(self) -> str:
+        return self.getLabelCol()
+
+    @property
+    def id_cols(self) -> list[str]:
+        return self.getOrDefault(self.idCols)
+
+    @property
+    def folds(self) -> int:
+        return self.getOrDefault(self.numFolds)
+
+
 class _StageWriter(MLWriter):
     def __init__(self, stage):
         super().__init__()

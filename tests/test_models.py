@@ -6,11 +6,17 @@ import time
 import numpy as np
 import pytest
 from conftest import FEATURES
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from plumbline.config import BAYES, SEARCH, BayesianRidgeConfig
 from plumbline.operators import metrics
 from plumbline.operators.bayes_ridge import BayesianRidge
+from plumbline.operators.encoders import TargetEncoder
 from plumbline.operators.learners import ColumnRegressor, base_learner, base_learners, evaluate_learners, linear_regressor
 from plumbline.operators.search import SPACES, RandomSearch, Whole, search_summary, spark_params
 from plumbline.operators.stacking import StackedModel, StackedRegressor, cross_validate
@@ -129,6 +135,35 @@ def test_stack_cross_validation(linear_data):
     assert len(errors) == 2 and all(r["rmse"] > 0 for r in errors)
 
 
+def test_grids_run_over_own_estimators(linear_data, tmp_path):
+    rf = base_learner("rf", "y", SMALL["rf"])
+    stack = StackedRegressor(FEATURES, "y", ["id"], folds=2, learners=[("rf", rf)])
+    grid = ParamGridBuilder().addGrid(stack.numFolds, [2, 3]).addGrid(rf.maxDepth, [1, 4]).build()
+    found = CrossValidator(estimator=stack, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="y"), numFolds=2, seed=1).fit(linear_data)
+    assert len(found.avgMetrics) == 4 and len(set(found.avgMetrics)) == 4
+    assert max(m for m, g in zip(found.avgMetrics, grid) if g[rf.maxDepth] == 4) < min(m for m, g in zip(found.avgMetrics, grid) if g[rf.maxDepth] == 1)
+    other = stack.copy({stack.numFolds: 4, rf.maxDepth: 2})
+    assert (other.folds, other.learners[0][1].getMaxDepth(), stack.folds, rf.getMaxDepth()) == (4, 2, 2, 5)
+    other.write().save(str(tmp_path / "stack"))
+    again = StackedRegressor.load(str(tmp_path / "stack"))
+    assert (again.folds, again.features, again.label, again.id_cols, again.uid) == (4, FEATURES, "y", ["id"], other.uid)
+    assert again.learners[0][0] == "rf" and again.learners[0][1].getMaxDepth() == 2
+
+
+def test_encoders_take_parameters(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"c{i % 4}", float(i % 4 + i % 3)) for i in range(120)], "id long, c string, y double")
+    encoder = TargetEncoder("y", ["id"], ["c"])
+    pipe = Pipeline(stages=[encoder, VectorAssembler(inputCols=["c_encoded"], outputCol="features"), LinearRegression(labelCol="y", fitIntercept=False)])
+    grid = ParamGridBuilder().addGrid(encoder.smoothingWeight, [0.0, 500.0]).build()
+    found = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="y"), numFolds=2, seed=1).fit(rows)
+    assert found.avgMetrics[0] < found.avgMetrics[1]
+    other = encoder.copy({encoder.smoothingWeight: 3.0, encoder.numFolds: 7})
+    other.save(str(tmp_path / "encoder"))
+    again = TargetEncoder.load(str(tmp_path / "encoder"))
+    assert (again.smoothing, again.folds, again.columns, again.id_cols, again.label) == (3.0, 7, ["c"], ["id"], "y")
+    assert encoder.smoothing == 10.0
+
+
 TINY = {"rf": {"numTrees": Whole(2, 4), "maxDepth": Whole(2, 4)}}
 
 
