@@ -21,14 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (BROADCAST_ROWS, SLICE_BYTES, VISIBLE, Scratch, batches, bounded, number_sums, prefix_sums, sequence_hashes, small_batches,
+from .common import (SLICE_BYTES, VISIBLE, Scratch, batches, bounded, number_sums, prefix_sums, sequence_hashes, small_batches,
                      span_hashes, utf8)
 from .suffix_dedup import sliding_minimum
 
 GRAM = 8  # words hashed for the key of a window
 BLOCK = 4  # words of a letter of the trees
 GROUP = 1 << 16  # suffixes of one tree
-BROADCAST_ITEMS = 100_000
 PLACE_BITS = np.uint64(24)
 MOST_WORDS = 1 << 23  # taken at once, so that places fit their bits
 LAST = (1 << 63) - 1  # null ids come last
@@ -207,20 +206,20 @@ def earlier_ranges(texts: DataFrame, length: int, scratch: Scratch) -> DataFrame
     each = found.select("doc", "tag", F.explode(F.arrays_zip("key", "digest", "low", "windows")).alias("x")).select(
         "doc", "tag", "x.key", "x.digest", "x.low", "x.windows")
     often = scratch.put(each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "often")
-    live = scratch.put(each.join(bounded(often), "key"), "live")
+    live = scratch.put(each.join(often, "key"), "live")
     scratch.drop("found", "often")
     place = F.struct("doc", "low", "tag")
     distinct = scratch.put(live.groupBy("key", "digest").agg(
         F.count("*").alias("times"), F.min(place).alias("first"), F.first("windows").alias("windows")), "distinct")
     firsts = distinct.where("times > 1").select("key", "digest", "first")
-    copies = scratch.put(live.join(bounded(firsts), ["key", "digest"]).where(place > F.col("first")).select(
+    copies = scratch.put(live.join(firsts, ["key", "digest"]).where(place > F.col("first")).select(
         "doc", "tag", F.col("low").alias("a"), (F.col("low") + F.col("windows") - 1 + length).alias("b")), "copies")
     scratch.drop("live")
     several = distinct.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     wanted = scratch.put(distinct.join(several, "key").select("first.doc", "first.tag", F.struct("first.low", "windows").alias("x")).groupBy(
         "doc", "tag").agg(F.collect_list("x").alias("wanted")), "wanted")
     depth = len(block_sizes(length))
-    suffixes = scratch.put(_with(texts, wanted, "wanted", "inner").mapInArrow(
+    suffixes = scratch.put(texts.join(wanted, ["doc", "tag"]).mapInArrow(
         _suffixes(length), "doc long, tag long, start int, " + ", ".join(f"b{k} long" for k in range(depth))), "suffixes")
     later = earlier_windows(suffixes, depth, scratch).select("doc", "tag", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
     ranges = scratch.put(copies.union(later).groupBy("doc", "tag").agg(F.collect_list(F.struct("a", "b")).alias("ranges")), "ranges")
@@ -228,11 +227,6 @@ def earlier_ranges(texts: DataFrame, length: int, scratch: Scratch) -> DataFrame
     return ranges
 
 
-def _with(texts: DataFrame, side: DataFrame, lists: str, how: str) -> DataFrame:
-    items = side.agg(F.coalesce(F.sum(F.size(lists)), F.lit(0))).first()[0]
-    return texts.join(F.broadcast(side) if items <= BROADCAST_ITEMS else side, ["doc", "tag"], how)
-
-
 def remaining(words: list[bytes], ranges: list[dict] | None) -> list[bytes]:
     """The words outside all ranges."""
     if not ranges:
@@ -269,7 +263,7 @@ def cut_rows(docs: DataFrame, length: int, with_text: bool) -> DataFrame:
     keyed = {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "tag": F.xxhash64(text), "text": text}
     ranges = earlier_ranges(docs.select(*(c.alias(k) for k, c in keyed.items())), length, scratch)
     rows = docs.select(F.struct(*(c for c in docs.columns if c != "text")).alias("row"), *(c.alias(k) for k, c in keyed.items()))
-    asked = _with(rows, ranges, "ranges", "left").select("row", "text", "ranges")
+    asked = rows.join(ranges, ["doc", "tag"], "left").select("row", "text", "ranges")
     return asked.mapInArrow(_cut(with_text), f"row {asked.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept string")
 
 
