@@ -102,10 +102,11 @@ def evaluate_learners(
             ]
         ).select(F.lit(name).alias("model"), "*")
 
-    tables = run_together([lambda n=n, e=e: task(n, e) for n, e in learners], parallelism)
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table)
-    result = settle(out).table
-    both.unpersist()
-    return result
+    try:
+        tables = run_together([lambda n=n, e=e: task(n, e) for n, e in learners], parallelism)
+        out = tables[0]
+        for table in tables[1:]:
+            out = out.unionByName(table)
+        return settle(out).table
+    finally:
+        both.unpersist()

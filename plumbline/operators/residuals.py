@@ -272,10 +272,12 @@ def moments(df: DataFrame, columns: Sequence[str]) -> tuple[int, np.ndarray, np.
     narrow = df.select(*[as_double(df, c).alias(n) for c, n in zip(columns, names)]).dropna()
     vectors = VectorAssembler(inputCols=names, outputCol="v").transform(narrow).select("v")
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    stats = vectors.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("v")).alias("s")).first()["s"]
-    spread = np.sqrt(np.asarray(stats["variance"].toArray(), dtype=float))
-    matrix = np.nan_to_num(Correlation.corr(vectors, "v").first()[0].toArray())
-    vectors.unpersist()
+    try:
+        stats = vectors.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("v")).alias("s")).first()["s"]
+        spread = np.sqrt(np.asarray(stats["variance"].toArray(), dtype=float))
+        matrix = np.nan_to_num(Correlation.corr(vectors, "v").first()[0].toArray())
+    finally:
+        vectors.unpersist()
     np.fill_diagonal(matrix, np.where(spread > 0, 1.0, 0.0))
     return int(stats["count"]), np.asarray(stats["mean"].toArray()), matrix * np.outer(spread, spread)
 
