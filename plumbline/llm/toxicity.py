@@ -35,6 +35,7 @@ SYMBOLS = 64
 BEAM = 64
 FREQUENT = 100_000  # features of toxic texts up to which clean texts are counted for these only; beyond, all are, and joined
 LEAST_DOCS, LEAST_CONTEXTS, LEAST_Z, LEAST_WEIGHT = 5, 5, 4.0, 2.0
+LEAST_ODDS = 2.0  # how much likelier distinct toxic texts hold a telling feature; z alone grows with the sample
 STEP = 0.25  # bins of the evidence that the calibration is fitted on
 CACHED_TOKENS = 500_000
 
@@ -331,7 +332,8 @@ def fit(docs: DataFrame, labels: DataFrame, labelled) -> ToxicityModel:
         a, c = (sum((F.col(f"n{t}{f}") for f in of), F.lit(0)) for t in (1, 0))
         share = (a + c) / (clean + toxic)
         z = (a / toxic - c / clean) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / toxic + 1 / clean))
-        telling = counts.where((a >= LEAST_DOCS) & (z >= LEAST_Z))
+        odds = ((a + 0.5) / (toxic + 1)) / ((c + 1.0) / (clean + 1))
+        telling = counts.where((a >= LEAST_DOCS) & (z >= LEAST_Z) & (odds >= LEAST_ODDS))
         chosen[part] = {r["feature"] for r in telling.select("feature").collect()}
     wanted = frozenset().union(*chosen.values())
     seen = distinct.mapInArrow(_contexts(costs, wanted), "feature string, toxic int, fold int, context long").distinct()

@@ -167,3 +167,10 @@ def test_copies_are_one_of_the_sampled_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = language_id.sample_texts(docs, F.lit(True))
     assert sorted(got["xx"]) == ["moru prose", "tabel prose"] and len(got["yy"]) == len(set(got["yy"])) == 96
+
+
+def test_signs_above_the_first_plane_are_no_letters(spark, docs):
+    assert len(language_id.fold_text("😀😀 🎉 \U0010ffff")) == 0 and len(language_id.fold_text("𝒜 𠀀")) == 3
+    asked = docs.select("doc_id", "text", "lang").union(spark.createDataFrame([(9000, "😀😀 🎉", None)], "doc_id long, text string, lang string"))
+    found = language_id.identify(asked, labelled=F.lit(True)).where("doc_id = 9000").first()
+    assert found.lang_pred == "und"
