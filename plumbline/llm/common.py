@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import gc
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..session import checkpoint_folder
 
@@ -36,14 +37,43 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("folder of settled tables", default=None)
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared checkpoint folder: computed once, kept when executors are lost."""
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{(_FOLDER.get() or checkpoint_folder(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables settled inside go at the end; what is given to the function that is yielded stays."""
+    folder = f"{checkpoint_folder(spark).rstrip('/')}/temporary-{uuid.uuid4().hex}"
+    before = _FOLDER.get()
+    token = _FOLDER.set(folder)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        inner = _FOLDER.set(before)
+        try:
+            return settled(df, name)
+        finally:
+            _FOLDER.reset(inner)
+
+    try:
+        yield kept
+    finally:
+        _FOLDER.reset(token)
+        delete_folder(spark, folder)
+
+
 class Scratch:
     """Settled tables of one run, under one folder; each can go once all that reads it is written."""
 
@@ -60,8 +90,7 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(self.spark, f"{self.folder}/{name}")
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -69,10 +98,6 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def kept(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 

@@ -33,6 +33,7 @@ from .common import (
     sequence_hashes,
     settled,
     small_batches,
+    temporary_tables,
     utf8,
     words_of,
 )
@@ -297,7 +298,16 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs without those whose component has a smaller doc_id, and without repeated rows of an id."""
-    heads = jaccard_classes(docs, k, percent).where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return docs.where("doc_id is null").unionByName(
-        docs.where("doc_id is not null").join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+    """The rows of docs without those whose component has a smaller doc_id, and without repeated rows of an id.
+
+    Texts stay where they are: only the ids that go, and rows of ids that repeat, are joined or shuffled.
+    """
+    with temporary_tables(docs.sparkSession) as kept:
+        named = kept(jaccard_classes(docs, k, percent).where("doc_id is not null").select("doc_id", "component_id"), "named")
+    again = settled(named.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id"), "again")
+    gone = settled(named.where("doc_id <> component_id").select("doc_id").union(again).distinct(), "gone")
+    heads = named.join(bounded(again), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("c")).where("c = doc_id")
+    ids = docs.where("doc_id is not null")
+    first = ids.join(bounded(settled(heads.select("doc_id"), "heads")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return docs.where("doc_id is null").unionByName(ids.join(bounded(gone), "doc_id", "left_anti").select(docs.columns)).unionByName(
+        first.select(docs.columns))
