@@ -82,12 +82,16 @@ def decoded(text: Column) -> Column:
         between, references, lambda a, r: F.concat(a, F.when(r == "", r).otherwise(_referred(r)))), ""))
 
 
-def plain_text(html: Column) -> Column:
-    """Visible text of a page: a line for each block element, white space collapsed, references decoded."""
+def block_lines(html: Column) -> Column:
+    """Visible text of a page with a line for each block element, references as they are."""
     shown = F.regexp_replace(F.regexp_replace(html, HIDDEN, ""), r"\s+", " ")
-    lines = F.regexp_replace(F.regexp_replace(shown, BREAKS, "\n"), TAG, "")
-    lines = F.regexp_replace(F.regexp_replace(decoded(lines), r"[ \t]+", " "), r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(lines, r"^[ \n]+|[ \n]+$", "")
+    return F.regexp_replace(F.regexp_replace(shown, BREAKS, "\n"), TAG, "")
+
+
+def plain_text(lines: Column) -> Column:
+    """Block lines with references decoded and white space collapsed."""
+    text = F.regexp_replace(F.regexp_replace(decoded(lines), r"[ \t]+", " "), r" ?\n[ \n]*", "\n")
+    return F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
 
 
 def derivatives(records: DataFrame) -> DataFrame:
@@ -96,14 +100,18 @@ def derivatives(records: DataFrame) -> DataFrame:
     Nulls: an absent address or header line is left out of the block, an absent payload is empty and converts to an
     empty block. Repeated responses give repeated records. Other columns are ignored. No responses, no records.
     """
-    payload = F.coalesce(F.col("payload"), F.lit(""))
+    # in steps, so that what a later one reads more than once is worked out once
+    found = records.withColumn("_payload", F.coalesce(F.col("payload"), F.lit(""))).select(
+        "*", block_lines(F.col("_payload")).alias("_lines"), F.regexp_extract("_payload", r"(?is)<title[^>]*>(.*?)</title>", 1).alias("_named"),
+        F.regexp_extract_all("_payload", F.lit(LINK), F.lit(1)).alias("_links"))
+    read = found.select(
+        "*", plain_text(F.col("_lines")).alias("_text"), F.regexp_replace(F.trim(decoded(F.col("_named"))), r"\s+", " ").alias("_title"),
+        F.transform("_links", lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(decoded(x), r"\s+", "%20"), F.lit(" L a/@href"))).alias("_out"))
+    payload, title, links = F.col("_payload"), F.col("_title"), F.col("_out")
     conversion = record_id(F.lit("conversion"), F.col("record_id"))
     known = F.transform(
         F.split(F.coalesce(F.col("http_headers"), F.lit("")), CRLF),
         lambda x: F.when(F.length(x) > 0, F.concat(F.lit("http-header: "), x)))
-    title = F.regexp_replace(F.trim(decoded(F.regexp_extract(payload, r"(?is)<title[^>]*>(.*?)</title>", 1))), r"\s+", " ")
-    links = F.transform(F.regexp_extract_all(payload, F.lit(LINK), F.lit(1)),
-                        lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(decoded(x), r"\s+", "%20"), F.lit(" L a/@href")))
     lines = F.array_compact(F.concat(
         F.array(
             F.concat(F.lit("conversion-record: "), conversion),
@@ -116,8 +124,8 @@ def derivatives(records: DataFrame) -> DataFrame:
         F.struct(F.lit("metadata").alias("warc_type"), record_id(F.lit("metadata"), F.col("record_id")).alias("id"),
                  F.lit("application/warc-fields").alias("content_type"), fields.alias("block")),
         F.struct(F.lit("conversion").alias("warc_type"), conversion.alias("id"),
-                 F.lit("text/plain; charset=utf-8").alias("content_type"), plain_text(payload).alias("block")))
-    rows = records.select("target_uri", "warc_date", F.col("record_id").alias("refers_to"),
+                 F.lit("text/plain; charset=utf-8").alias("content_type"), F.col("_text").alias("block")))
+    rows = read.select("target_uri", "warc_date", F.col("record_id").alias("refers_to"),
                           F.col("payload_digest").alias("source_payload_digest"), F.explode(kinds).alias("x"))
     return rows.select(
         F.col("x.id").alias("record_id"), F.col("x.warc_type").alias("warc_type"), "target_uri", "warc_date", "refers_to",
