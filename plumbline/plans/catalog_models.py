@@ -28,7 +28,7 @@ SMALL = {
     "gbt_b": {"maxIter": 8, "stepSize": 0.3},
     "rf": {"numTrees": 8, "maxDepth": 8},
 }
-SEARCH_SECONDS = 40  # for each study
+SEARCH_SECONDS = 75  # for each study
 INPUTS = ["n_lines", "avg_price", "sum_qty", "max_price"]
 
 
