@@ -9,12 +9,12 @@ from conftest import FEATURES
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from plumbline.config import BAYES, SEARCH, BayesianRidgeConfig
-from plumbline.operators import metrics
+from plumbline.operators import blocks, metrics
 from plumbline.operators.bayes_ridge import BayesianRidge
 from plumbline.operators.encoders import TargetEncoder
 from plumbline.operators.learners import ColumnRegressor, base_learner, base_learners, evaluate_learners, linear_regressor
@@ -286,3 +286,18 @@ def test_explain_and_validate(trained):
 def test_linear_regressor_recovers_the_slope(linear_data):
     model = linear_regressor(FEATURES, "y").fit(linear_data)
     assert model.stages[-1].coefficients[0] == pytest.approx(3, abs=0.05)
+
+
+def test_trees_on_blocks_of_rows_are_trees_on_rows(spark):
+    """Many rows in few bins: fits read a bounded count of them and find the same splits."""
+    rows = spark.range(40_000).select(
+        "id", (F.col("id") % 7).cast("double").alias("f0"), (F.col("id") % 11).cast("double").alias("f1"),
+        (F.pow(F.col("id") % 7, 2) + F.col("id") % 11 * 5 + F.col("id") % 13 / 10).alias("y"))
+    tree = DecisionTreeRegressor(labelCol="y", maxDepth=4, minInstancesPerNode=600)
+    bins = blocks.fit_bins(rows, ["f0", "f1"], 32, "v")
+    coded = bins.coded(rows, ["c0", "c1"]).withColumn("deal", F.lit(0))
+    found = blocks.blocks_of(blocks.count_blocks(coded, ["c0", "c1"], "y", [], "deal"), ["c0", "c1"], "y", "v")
+    assert (found.count(), found.agg(F.sum(blocks.WEIGHT)).first()[0]) == (77, 40_000)
+    ours = blocks.on_blocks(tree, 40_000, featuresCol="v").fit(found).transform(bins.transform(rows))
+    plain = ColumnRegressor(tree, ["f0", "f1"]).fit(rows).transform(rows).withColumnRenamed("prediction", "q")
+    assert ours.join(plain, "id").agg(F.max(F.abs(F.col("prediction") - F.col("q")))).first()[0] < 1e-9
