@@ -9,6 +9,7 @@ from conftest import FEATURES
 from pyspark.sql import functions as F
 
 from plumbline.operators import permutation, residuals, shap
+from plumbline.operators import permutation as permutation_module
 from plumbline.operators.learners import ColumnRegressor, base_learner, linear_regressor
 from plumbline.operators.lime import bin_profile, compare_predictions, explain_first, lime_explain
 
@@ -377,3 +378,17 @@ def test_compare_predictions(linear_data, linear):
     row = compare_predictions(linear, linear_data, ["id"], "y").filter("id = 3").first()
     assert row["Error"] == pytest.approx(abs(row["Prediction"] - row["Actual"]))
     assert compare_predictions(linear, linear_data, ["id"]).columns == ["id", "Prediction"]
+
+
+def test_comparing_importances_computes_each_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        runs.add(1)
+        yield from batches
+
+    made = [
+        spark.createDataFrame([("a", 4.0), ("b", 1.0)], f"feature string, {c} double").coalesce(1).mapInPandas(counted, f"feature string, {c} double")
+        for c in ("importance_mean", "importance")]
+    found = permutation_module.compare_importance(*made).collect()
+    assert ([r["feature"] for r in found], runs.value) == (["a", "b"], 2)
