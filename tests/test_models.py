@@ -14,7 +14,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from plumbline.config import BAYES, SEARCH, BayesianRidgeConfig
-from plumbline.operators import blocks, metrics
+from plumbline.operators import blocks, metrics, residuals
 from plumbline.operators.bayes_ridge import BayesianRidge
 from plumbline.operators.encoders import TargetEncoder
 from plumbline.operators.learners import ColumnRegressor, base_learner, base_learners, evaluate_learners, linear_regressor
@@ -301,3 +301,23 @@ def test_trees_on_blocks_of_rows_are_trees_on_rows(spark):
     ours = blocks.on_blocks(tree, 40_000, featuresCol="v").fit(found).transform(bins.transform(rows))
     plain = ColumnRegressor(tree, ["f0", "f1"]).fit(rows).transform(rows).withColumnRenamed("prediction", "q")
     assert ours.join(plain, "id").agg(F.max(F.abs(F.col("prediction") - F.col("q")))).first()[0] < 1e-9
+
+
+def test_meta_learner_reads_blocks_where_all_learners_are_trees(spark, linear_data, monkeypatch):
+    """Moments of blocks are those of the rows behind them, so that held-out rows need not be scored one by one."""
+    rows = linear_data.select("y", (F.col("id") % 3).cast("double").alias("c0")).unionByName(
+        spark.createDataFrame([(None, 1.0), (float("nan"), 2.0)], "y double, c0 double"))
+    counts = blocks.count_blocks(rows.withColumn("deal", F.lit(0)), ["c0"], "y", [], "deal")
+    n, mean, cross = blocks.block_moments(counts.withColumn("p", F.col("c0") * 2 + 1), ["p"])
+    m, expected, covariance = residuals.moments(rows.withColumn("p", F.col("c0") * 2 + 1), ["p", "y"])
+    assert n == m == linear_data.count()
+    np.testing.assert_allclose(mean, expected)
+    np.testing.assert_allclose(cross, covariance * (n - 1))
+
+    def refuse(*_):
+        raise AssertionError("rows were read for the meta-learner")
+
+    monkeypatch.setattr(BayesianRidge, "_fit", refuse)
+    learners = [("a", DecisionTreeRegressor(labelCol="y", maxDepth=2)), ("b", DecisionTreeRegressor(labelCol="y", maxDepth=4))]
+    model = StackedRegressor(FEATURES, "y", ["id"], folds=2, learners=learners).fit(linear_data)
+    assert model.meta.state["n"] == linear_data.count()
