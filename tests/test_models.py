@@ -20,7 +20,7 @@ from plumbline.operators.encoders import TargetEncoder
 from plumbline.operators.learners import ColumnRegressor, base_learner, base_learners, evaluate_learners, linear_regressor
 from plumbline.operators.search import SPACES, RandomSearch, Whole, search_summary, spark_params
 from plumbline.operators.stacking import StackedModel, StackedRegressor, cross_validate
-from plumbline.plans import recipes
+from plumbline.plans import catalog_models, recipes
 from plumbline.streaming.score import score_files
 
 SMALL = {"gbt_a": {"maxIter": 3}, "gbt_b": {"maxIter": 3, "minInstancesPerNode": 2}, "rf": {"numTrees": 4, "maxDepth": 5}}
@@ -321,3 +321,22 @@ def test_meta_learner_reads_blocks_where_all_learners_are_trees(spark, linear_da
     learners = [("a", DecisionTreeRegressor(labelCol="y", maxDepth=2)), ("b", DecisionTreeRegressor(labelCol="y", maxDepth=4))]
     model = StackedRegressor(FEATURES, "y", ["id"], folds=2, learners=learners).fit(linear_data)
     assert model.meta.state["n"] == linear_data.count()
+
+
+def test_kernel_shap_query_builds_its_rows_once(spark, monkeypatch):
+    """The fit and both samples read written rows, not the joins above the tables."""
+    class Fit:
+        def fit(self, rows):
+            return rows
+
+    class Seen(Exception):
+        pass
+
+    def sample(rows, *_):
+        raise Seen(rows.inputFiles())
+
+    monkeypatch.setattr(catalog_models, "stacked", Fit)
+    monkeypatch.setattr(catalog_models, "background_sample", sample)
+    with pytest.raises(Seen) as found:
+        catalog_models.kernel_shap_importance(spark, "/root/testdata/sf0.001")
+    assert found.value.args[0] == []
