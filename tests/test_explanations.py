@@ -8,6 +8,7 @@ import pytest
 from conftest import FEATURES
 from pyspark.sql import functions as F
 
+from plumbline.functions import order_stats
 from plumbline.operators import permutation, residuals, shap
 from plumbline.operators import permutation as permutation_module
 from plumbline.operators.learners import ColumnRegressor, base_learner, linear_regressor
@@ -130,6 +131,25 @@ def test_lowess_equals_brute_force(spark, iterations):
     np.testing.assert_allclose([r["smooth"] for r in got], brute_lowess(x, y, anchors, 0.3, iterations), rtol=1e-6)
 
 
+@pytest.mark.parametrize("spread_rows", [2_000_000, 150])
+def test_lowess_anchors_of_many_rows_come_from_one_count(spark, monkeypatch, spread_rows):
+    """Ranks and distances of all anchors are read off counted intervals, ties included; nothing is counted for each anchor."""
+    def refuse(*_):
+        raise AssertionError("rows were counted for each anchor")
+
+    monkeypatch.setattr(order_stats, "_narrow", refuse)
+    monkeypatch.setattr(residuals, "DIRECT_ROWS", 100)
+    monkeypatch.setattr(order_stats, "INTERVALS", 16)
+    monkeypatch.setattr(order_stats, "SPREAD_ROWS", spread_rows)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(0, 3, 1500), np.repeat(1.25, 700), np.arange(-400, 400) / 100])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(3)
+    found = residuals.lowess_anchors(df, "x", 0.3, 21)
+    points = np.unique(np.quantile(x, np.linspace(0, 1, 21)))
+    np.testing.assert_allclose([p for _, p, _ in found], points, rtol=1e-12)
+    assert [h for _, _, h in found] == [np.sort(np.abs(x - p))[int(0.3 * len(x) + 1e-10) - 1] for _, p, _ in found]
+
+
 def test_lowess_of_ties_and_few_rows(spark):
     df = spark.createDataFrame([(float(i % 3), float(i % 3) * 2 + (i % 2)) for i in range(60)], "x double, y double")
     got = residuals.lowess_grid(df, "x", "y", frac=0.3, anchors=2).orderBy("x0").collect()
