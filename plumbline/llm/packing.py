@@ -10,6 +10,7 @@ place by their rank among pieces of the same length, counted in salted groups so
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,6 +27,9 @@ CACHED_WORDS = 600_000
 GROUP_ROWS = 50_000
 _CACHE: dict = {}
 _BREAK = re.compile(r" (?=\S)")
+_STRAY = re.compile(r" (?!\S)")  # a space that no visible character follows
+# letters, signs but the apostrophe, a line break before a visible character, and letters and signs again: a unit each
+_UNITS = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@[-^`{-~]+)(?:(\n)([^\W\d_]+)([!-&(-/:-@[-^`{-~]+)?)?")
 
 
 class WordCache:
@@ -46,22 +50,36 @@ class WordCache:
         return self._words(text)
 
     def _words(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        if all(p and not p[0].isspace() for p in parts[1:]):
-            return [parts[0], *(" " + p for p in parts[1:])]
+        if "\0" not in text and not _STRAY.search(text):
+            return text.replace(" ", "\0 ").split("\0")
         at = [0, *(m.start() for m in _BREAK.finditer(text)), len(text)]
         return [text[a:b] for a, b in zip(at, at[1:])]
 
     def learn(self, words: list[str]) -> None:
-        """Ids of new words; one of letters only is a single unit of the model, which then needs no pre-tokenizer."""
-        plain = [w for w in words if (w[1:] if w[:1] == " " else w).isalpha()]
-        units = [w.encode().decode("latin-1").translate(_BYTE_LETTERS) for w in plain]
-        tokenize = self.tokenizer.model.tokenize
-        for w, unit in zip(plain, units):
-            self.known[w] = np.array([t.id for t in tokenize(unit)], "<u4").tobytes()
-        rest = [w for w in words if w not in self.known]
+        """Ids of new words; one of letters only is a single unit of the model, which then needs no pre-tokenizer.
+
+        Words of letters and signs are joined from such units, whose ids are kept like those of words.
+        """
+        known, rest = self.known, []
+        for w in words:
+            if (w[1:] if w[:1] == " " else w).isalpha():
+                known[w] = self._unit(w)
+            elif units := _units(w):
+                ids = b""
+                for unit in units:
+                    own = known.get(unit)
+                    if own is None:
+                        own = known[unit] = self._unit(unit)
+                    ids += own
+                known[w] = ids
+            else:
+                rest.append(w)
         for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+            known[w] = _packed(e.ids)
+
+    def _unit(self, unit: str) -> bytes:
+        letters = unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return _packed([t.id for t in self.tokenizer.model.tokenize(letters)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
@@ -72,6 +90,21 @@ class WordCache:
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
+def _units(word: str) -> list[str] | None:
+    """What the pre-tokenizer makes of a word of letters and signs; nothing for other words."""
+    found = _UNITS.fullmatch(word)
+    if not found:
+        return None
+    first, signs, line, second, more = found.groups()
+    if not (first[1:] if first[0] == " " else first).isalpha() or not (second or "a").isalpha():  # numbers that are no digits
+        return None
+    return [u for u in (first, signs, line, second, more) if u]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _byte_letters() -> dict[int, str]:
     """Byte-level BPE writes each byte as a visible character: itself, or the next free one from 256 on."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}

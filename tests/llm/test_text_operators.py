@@ -155,3 +155,19 @@ def test_added_tokens_in_texts_are_tokens():
     want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
     assert 50256 in want[0]
     assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)] == want
+
+
+def test_words_of_letters_and_signs_need_no_pre_tokenizer(monkeypatch):
+    """They are joined from units of the model, and the ids are those of the whole text."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    words = packing.WordCache(public_tokenizers.path(packing.TOKENIZER))
+    whole = words.tokenizer
+    plain = ["Erbe, wenn: ja.\nÜber! x+++", " (no) end.", "süß###.\nNeu; a\0b, c"]
+    odd = ["a½b. c", "x²!\nY", "it's. don't!", "a.\n\nb", "a.\n b", "a.\nb's", "é.x", "x@\n", "a_b,", "q .", "<|endoftext|>.\nA. b", "a.b.c", "  "]
+    for text in plain + odd:
+        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    asked = []
+    monkeypatch.setattr(words, "tokenizer", type("Seen", (), {
+        "model": whole.model, "encode_batch_fast": lambda self, rest, **_: asked.extend(rest) or []})())
+    words.learn([" erben,", "wohl.\nDann", "gut!"])
+    assert asked == []
