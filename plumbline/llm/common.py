@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_folder
 
-SLICE_BYTES = 1 << 20  # text handled at once inside a task
+SLICE_BYTES = 1 << 18  # text handled at once inside a task; its arrays take up to a hundred times as much
 BROADCAST_ROWS = 1_000_000  # of a key or of short rows; beyond it both sides shuffle
 
 _MUL1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -98,6 +98,19 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+_KEPT: dict = {}
+
+
+def kept_by(operator: str) -> dict:
+    """What an operator keeps in a Python worker between its tasks.
+
+    Workers are reused by later stages, so it goes when another operator begins.
+    """
+    if operator not in _KEPT:
+        _KEPT.clear()
+    return _KEPT.setdefault(operator, {})
+
+
 def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 

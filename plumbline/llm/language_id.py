@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded, settled, small_batches
+from .common import bounded, kept_by, settled, small_batches
 
 SAMPLE_ROWS = 96  # labelled rows of a language that its automaton is fitted on
 SAMPLE_CHARS = 256  # of each of these rows, from a seeded place
@@ -171,6 +171,7 @@ def _predict(model: LanguageModel):
     languages = np.array([*model.languages, "und"], object)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by("language_id")
         for part in parts:
             names = [c for c in part.schema.names if c != "text"]
             best, score = [], []

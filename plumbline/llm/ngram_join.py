@@ -27,6 +27,7 @@ from .common import (
     batches,
     bounded,
     fraction,
+    kept_by,
     list_values,
     long_lists,
     mixed,
@@ -71,6 +72,7 @@ def _signatures(k: int, percent: int):
     ends = [fraction(x) for x in SLICES]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by("ngram_join")
         for part in parts:
             for start, texts in batches(part.column(1)):
                 sets = shingle_sets(texts, k)
@@ -104,6 +106,7 @@ def _sets(k: int, percent: int):
     """Each text's whole set, and its prefixes under orders 2 and 3."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by("ngram_join")
         for part in parts:
             for start, texts in batches(part.column(1)):
                 sets = shingle_sets(texts, k)

@@ -20,12 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import settled, small_batches
+from .common import kept_by, settled, small_batches
 
 TOKENIZER = "byte_bpe_50k.json"
 CACHED_WORDS = 600_000
 GROUP_ROWS = 50_000
-_CACHE: dict = {}
 _BREAK = re.compile(r" (?=\S)")
 _STRAY = re.compile(r" (?!\S)")  # a space that no visible character follows
 # letters, signs but the apostrophe, a line break before a visible character, and letters and signs again: a unit each
@@ -116,14 +115,15 @@ _BYTE_LETTERS = _byte_letters()
 
 
 def _tokenizer(path: str | None) -> WordCache:
-    if path not in _CACHE:
+    kept = kept_by("packing")
+    if path not in kept:
         import os
 
         import public_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _CACHE[path] = WordCache(path or public_tokenizers.path(TOKENIZER))
-    return _CACHE[path]
+        kept[path] = WordCache(path or public_tokenizers.path(TOKENIZER))
+    return kept[path]
 
 
 def piece_lengths(n: int, length: int) -> list[int]:

@@ -20,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, mixed, prefix_sums, settled, small_batches, span_hashes, utf8
+from .common import batches, kept_by, mixed, prefix_sums, settled, small_batches, span_hashes, utf8
 
 GRAM = 32  # bytes hashed for the key of a window
 BUCKET_BYTES = 1 << 19
+PART_BYTES = 1 << 19  # of a long text that are looked at together
 HOT_SNIPPETS = 5000  # distinct snippets of one key that are still sorted in one task
 NARROW = 8  # windows that are told apart together at first
 BROADCAST_ITEMS = 100_000
@@ -63,8 +64,9 @@ def window_runs(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length:
     return text[first], hashes[place[first]], starts[first], starts[last]
 
 
-def _pieces_of(texts: list[bytes], length: int, most: int = 1 << 23):
-    """Joined texts; a very long one in overlapping parts, so that places fit their bits."""
+def _pieces_of(texts: list[bytes], length: int, most: int = PART_BYTES):
+    """Joined texts; a long one in overlapping parts, so that the arrays of a part are small and places fit their bits."""
+    most = max(most, 2 * length)
     for i, t in enumerate(texts):
         if len(t) <= most:
             continue
@@ -86,6 +88,7 @@ def _pieces_of(texts: list[bytes], length: int, most: int = 1 << 23):
 
 def _anchors(length: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by("suffix_dedup")
         for part in parts:
             for start, texts in batches(part.column("text")):
                 found = []

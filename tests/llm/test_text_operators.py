@@ -1,6 +1,10 @@
+import gc
+import tracemalloc
+import weakref
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,3 +175,33 @@ def test_words_of_letters_and_signs_need_no_pre_tokenizer(monkeypatch):
         "model": whole.model, "encode_batch_fast": lambda self, rest, **_: asked.extend(rest) or []})())
     words.learn([" erben,", "wohl.\nDann", "gut!"])
     assert asked == []
+
+
+def test_anchors_of_a_long_text_need_little_memory():
+    text = np.random.default_rng(8).integers(97, 123, 3_000_000).astype(np.uint8).tobytes()
+    part = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([b"k"]), pa.array([text])], names=["doc_id", "key", "text"])
+    tracemalloc.start()
+    found = list(suffix_dedup._anchors(200)(iter([part])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    lows, highs = (np.concatenate([b.column(c).values.to_numpy() for b in found]) for c in ("lows", "highs"))
+    windows = np.sort(np.concatenate([np.arange(a, b + 1) for a, b in zip(lows, highs)]))
+    assert np.array_equal(windows, np.arange(len(text) - 199))  # each window once, whatever the parts
+
+
+def test_parts_of_a_long_text_are_compared(spark):
+    rng = np.random.default_rng(9)
+    base = "".join(map(chr, rng.integers(97, 123, suffix_dedup.PART_BYTES * 2 + 5000)))
+    at = suffix_dedup.PART_BYTES - 150  # across the end of a part
+    docs = spark.createDataFrame([(1, base), (2, "x" + base[at : at + 400] + "y")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(docs, 200).collect()}
+    assert got == {1: (400, 1), 2: (400, 1)}
+
+
+def test_workers_let_go_of_the_tokenizer_when_another_operator_begins():
+    words = weakref.ref(packing._tokenizer(None))
+    assert packing._tokenizer(None) is words()
+    list(suffix_dedup._anchors(200)(iter([])))
+    gc.collect()
+    assert words() is None
