@@ -38,6 +38,7 @@ LEAST_DOCS, LEAST_CONTEXTS, LEAST_Z, LEAST_WEIGHT = 5, 5, 4.0, 2.0
 LEAST_ODDS = 2.0  # how much likelier distinct toxic texts hold a telling feature; z alone grows with the sample
 STEP = 0.25  # bins of the evidence that the calibration is fitted on
 CACHED_TOKENS = 500_000
+COUNTED = 500_000  # features that a task counts before it passes them on
 
 
 def symbols(points: np.ndarray) -> np.ndarray:
@@ -153,25 +154,52 @@ def features(word: str) -> tuple[str, ...]:
     return (word,) if n < 5 else (word, "^" + word[:4]) if n < 6 else (word, "^" + word[:4], "^" + word[:5])
 
 
+_DOUBLED = re.compile(r"(.)\1")
+
+
+class Beginnings(dict):
+    """Whether a token of these first four characters may stand for a word with a wanted feature.
+
+    The channel keeps a letter or merges it with its repetitions, so four letters, none of them doubled, begin every
+    word of the token and all its features.
+    """
+
+    def __init__(self, wanted):
+        super().__init__()
+        self.wanted = {f.removeprefix("^")[:4] for f in wanted}
+
+    def __missing__(self, begin: str) -> bool:
+        fixed = len(begin) == 4 and begin.isalpha() and not _DOUBLED.search(begin)
+        self[begin] = may = not fixed or begin in self.wanted
+        return may
+
+
 class Restorer:
-    """Restored words of texts, as far as one of their features is wanted (all, if nothing is said).
+    """Restored words of texts, as far as one of their features is wanted (all, if nothing is said), or these features.
 
-    What a token stands for is kept, up to a bound; it is all that a text's other tokens cost.
+    What a token stands for is kept, up to a bound; it is all that a text's other tokens cost. Tokens whose beginning
+    rules out every wanted feature are not looked up.
     """
 
-    def __init__(self, costs: np.ndarray, wanted=None):
-        self.costs, self.wanted = costs.ravel().tolist(), wanted
+    def __init__(self, costs: np.ndarray, wanted=None, as_features: bool = False):
+        self.costs, self.wanted, self.as_features = costs.ravel().tolist(), wanted, as_features
+        self.begins = None if wanted is None else Beginnings(wanted)
         self.known: dict[str, tuple[str, ...]] = {}
 
     def learn(self, raws) -> None:
+        wanted = self.wanted
         for raw in raws:
             words = restored(raw, self.costs)
-            if self.wanted is not None and words:
-                words = tuple(w for w in words if not self.wanted.isdisjoint(features(w)))
+            if self.as_features:
+                words = tuple(f for w in words for f in features(w) if wanted is None or f in wanted)
+            elif wanted is not None and words:
+                words = tuple(w for w in words if not wanted.isdisjoint(features(w)))
             self.known[raw] = words
 
     def spaced(self, tokens: list[str]) -> list[tuple[int, int, str]]:
         """(first, end, characters with spaces between) of three or more single characters in a row."""
+        if list(map(len, tokens)).count(1) < 3:
+            return []
         at = [i for i, t in enumerate(tokens) if len(t) == 1]
         runs, a = [], 0
         while a < len(at):
@@ -185,6 +213,11 @@ class Restorer:
 
     def words(self, tokens: list[str]) -> set[str]:
         own = {*tokens, *(run for _, _, run in self.spaced(tokens))}
+        if self.begins is not None:
+            begins = self.begins
+            if len(begins) >= CACHED_TOKENS:
+                begins.clear()
+            own = {t for t in own if begins[t[:4]]}
         if len(self.known) >= CACHED_TOKENS:
             self.known.clear()
         self.learn(own.difference(self.known))
@@ -196,23 +229,28 @@ def tokens_of(text: str | None) -> list[str]:
 
 
 def _counted(costs: np.ndarray, wanted: frozenset | None):
-    """(feature, toxic, fold, texts) of distinct texts (text, toxic, fold, rows), summed over each batch.
+    """(feature, toxic, fold, texts) of distinct texts (text, toxic, fold, rows), summed over many of a task's texts.
 
     Each of the equal rows of a text counts as its share.
     """
 
+    def summed(counts: dict) -> Iterator[pa.RecordBatch]:
+        for (toxic, fold, rows), own in counts.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(own), pa.string()), pa.array([toxic] * len(own), pa.int32()),
+                 pa.array([fold] * len(own), pa.int32()), pa.array(np.array(list(own.values()), float) / rows)],
+                names=["feature", "toxic", "fold", "n"])
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(costs, wanted)
+        restorer = Restorer(costs, wanted, as_features=True)
+        counts: dict = {}
         for part in parts:
-            counts: dict = {}
             for text, toxic, fold, rows in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "fold", "rows"))):
-                own = {f for w in restorer.words(tokens_of(text)) for f in features(w)}
-                counts.setdefault((toxic, fold), Counter()).update(dict.fromkeys(own if wanted is None else own & wanted, 1 / rows))
-            for (toxic, fold), own in counts.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(own), pa.string()), pa.array([toxic] * len(own), pa.int32()),
-                     pa.array([fold] * len(own), pa.int32()), pa.array(list(own.values()), pa.float64())],
-                    names=["feature", "toxic", "fold", "n"])
+                counts.setdefault((toxic, fold, rows), Counter()).update(restorer.words(tokens_of(text)))
+            if sum(map(len, counts.values())) >= COUNTED:
+                yield from summed(counts)
+                counts = {}
+        yield from summed(counts)
 
     return run
 
@@ -228,10 +266,10 @@ def _contexts(costs: np.ndarray, wanted: frozenset):
                 tokens = tokens_of(text)
                 if not restorer.words(tokens):
                     continue
-                spans = [*((i, i + 1, t) for i, t in enumerate(tokens)), *restorer.spaced(tokens)]
+                runs = restorer.spaced(tokens)
                 telling = {t: {f for w in found for f in features(w) if f in wanted}
-                           for t in {t for _, _, t in spans} if (found := restorer.known.get(t))}
-                for i, j, t in spans:
+                           for t in {*tokens, *(t for _, _, t in runs)} if (found := restorer.known.get(t))}
+                for i, j, t in [*((i, i + 1, t) for i, t in enumerate(tokens) if t in telling), *runs]:
                     if t in telling:
                         around = zlib.crc32(" ".join([*tokens[max(0, i - 1) : i], "|", *tokens[j : j + 1]]).encode())
                         rows.update((f, toxic, fold, around) for f in telling[t])

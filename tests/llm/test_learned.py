@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from plumbline.llm import language_id, toxicity
@@ -174,3 +175,27 @@ def test_signs_above_the_first_plane_are_no_letters(spark, docs):
     asked = docs.select("doc_id", "text", "lang").union(spark.createDataFrame([(9000, "😀😀 🎉", None)], "doc_id long, text string, lang string"))
     found = language_id.identify(asked, labelled=F.lit(True)).where("doc_id = 9000").first()
     assert found.lang_pred == "und"
+
+
+def test_tokens_that_cannot_hold_a_wanted_feature_are_not_decoded(monkeypatch):
+    text = "morning! house$$$ hoUse. sttupid $tupid st*pid s.t.u.p.i.d stuuupid! i d i o t moon m**n goodbye! stup1d, st".lower().split()
+    costs = likely("stupid", "idiot", "moon", "good")
+    every = toxicity.Restorer(costs).words(text)
+    asked = []
+    decode = toxicity.decode
+    monkeypatch.setattr(toxicity, "decode", lambda token, *more: asked.append(token) or decode(token, *more))
+    for wanted in ({"stupid"}, {"^stup", "idiot"}, {"moon", "st"}, {"^good"}, {"absent"}):
+        found = toxicity.Restorer(costs, wanted).words(text)
+        assert found == {w for w in every if not wanted.isdisjoint(toxicity.features(w))}
+    assert "st*pid" in asked and not {"morning!", "house$$$"} & set(asked)
+
+
+def test_features_are_counted_over_many_batches():
+    part = pa.RecordBatch.from_arrays(
+        [pa.array(["moon good", "moon", None]), pa.array([0, 0, 0], pa.int32()), pa.array([1, 1, 1], pa.int32()), pa.array([1, 2, 1])],
+        names=["text", "toxic", "fold", "rows"])
+    out = [r for b in toxicity._counted(likely("moon"), frozenset({"moon", "good"}))(iter([part] * 50)) for r in b.to_pylist()]
+    total = {}
+    for r in out:
+        total[r["feature"], r["toxic"], r["fold"]] = total.get((r["feature"], r["toxic"], r["fold"]), 0) + r["n"]
+    assert total == {("moon", 0, 1): 75, ("good", 0, 1): 50} and len(out) < 10
