@@ -337,6 +337,33 @@ def test_tree_method_equals_brute_force(spark, linear_data, kind):
         assert found.base_value + phi.sum() == pytest.approx(r["prediction"])
 
 
+def test_rows_between_the_same_thresholds_share_their_contributions(linear_data, forest, monkeypatch):
+    spark = linear_data.sparkSession
+    flat = shap.leaf_paths(*shap.node_table(forest.stages[-1], spark)).collect()
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(6000, 4))
+    x[:40, 0], x[40:60, 1], x[60:80, 2] = np.nan, -np.inf, np.inf
+    asked = []
+    terms = shap._leaf_terms
+    monkeypatch.setattr(shap, "_leaf_terms", lambda rows, *more: asked.append(len(rows)) or terms(rows, *more))
+    for tables in shap._unpacked(flat):
+        tree = shap._Tree(tables)
+        cuts = np.concatenate([c for c in tree.cuts.values()])
+        x[100 : 100 + len(cuts)] = cuts[:, None]  # rows on the thresholds
+        want = sum(terms(x, *t) for t in tables)
+        asked.clear()
+        for a in range(0, len(x), 1000):
+            np.testing.assert_allclose(tree.contributions(x[a : a + 1000]), want[a : a + 1000], atol=1e-9)
+        assert sum(asked) <= len(tables) * math.prod(len(c) + 2 for c in tree.cuts.values()) and sum(asked) < len(tables) * len(x)
+        monkeypatch.setattr(shap, "PLACES", 5)
+        again = np.concatenate([tree.contributions(x[a : a + 1000]) for a in range(0, len(x), 1000)])
+        np.testing.assert_allclose(again, want, atol=1e-9)
+        monkeypatch.undo()
+        monkeypatch.setattr(shap, "_leaf_terms", lambda rows, *more: asked.append(len(rows)) or terms(rows, *more))
+        tree.countable = False
+        np.testing.assert_allclose(tree.contributions(x), want, atol=1e-9)
+
+
 def test_shap_tables(linear_data, linear):
     with pytest.raises(ValueError):
         shap.shap_values(linear, linear_data, FEATURES, ["id"])
