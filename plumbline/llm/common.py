@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_folder
 
 SLICE_BYTES = 1 << 18  # text handled at once inside a task; its arrays take up to a hundred times as much
+BATCH_BYTES = 1 << 21  # text sent at once to a task that goes through it in such slices
 BROADCAST_ROWS = 1_000_000  # of a key or of short rows; beyond it both sides shuffle
 
 _MUL1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -31,10 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds what one Arrow batch holds, as texts may be long."""
+def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+    """Bounds what one Arrow batch holds, as texts may be long and it is held several times on its way to a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
 _FOLDER: ContextVar[str | None] = ContextVar("folder of settled tables", default=None)
@@ -104,10 +105,12 @@ _KEPT: dict = {}
 def kept_by(operator: str) -> dict:
     """What an operator keeps in a Python worker between its tasks.
 
-    Workers are reused by later stages, so it goes when another operator begins.
+    Workers are reused by later stages, so it goes when another operator begins, and unused memory with it.
     """
     if operator not in _KEPT:
         _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
     return _KEPT.setdefault(operator, {})
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
+    BATCH_BYTES,
     VISIBLE,
     batches,
     bounded,
@@ -267,7 +268,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     wordless texts have no shingles and stand alone; texts of fewer than k words have one. Rows that repeat a doc_id
     share its component; rows without an id follow their text. An empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(F.col("text")).alias("text"))
     signatures = settled(texts.mapInArrow(_signatures(k, percent), SIGNATURE), "signatures")
     classes = signatures.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, kept_by, mixed, prefix_sums, settled, small_batches, span_hashes, utf8
+from .common import BATCH_BYTES, batches, kept_by, mixed, prefix_sums, settled, small_batches, span_hashes, utf8
 
 GRAM = 32  # bytes hashed for the key of a window
 BUCKET_BYTES = 1 << 19
@@ -28,6 +28,7 @@ PART_BYTES = 1 << 19  # of a long text that are looked at together
 HOT_SNIPPETS = 5000  # distinct snippets of one key that are still sorted in one task
 NARROW = 8  # windows that are told apart together at first
 BROADCAST_ITEMS = 100_000
+SORTED = 1 << 14  # suffixes whose first bytes are copied at once
 PLACE_BITS = np.uint64(24)
 SEPARATOR = 255  # no byte of UTF-8
 
@@ -138,6 +139,36 @@ def _snippets(length: int):
     return run
 
 
+def in_order(starts: np.ndarray, padded: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes of `padded` in order of their first `depth` bytes, equal ones as given.
+
+    Many are dealt out by two bytes, again and again, so that the bytes of few are copied to be compared.
+    """
+    parts, left = [np.zeros(0, np.int64)], [(starts, 0)]
+    while left:
+        some, at = left.pop()
+        if at >= depth:
+            parts.append(some)
+        elif len(some) <= SORTED:
+            keys = np.lib.stride_tricks.sliding_window_view(padded, depth - at)[some + at]
+            parts.append(some[np.argsort(keys.view(f"S{depth - at}").ravel(), kind="stable")])
+        else:
+            two = padded[some + at].astype(np.uint16) << 8
+            if at + 1 < depth:
+                two |= padded[some + at + 1]
+            order = np.argsort(two, kind="stable")
+            some, two = some[order], two[order]
+            ends = np.append(np.flatnonzero(np.diff(two)) + 1, len(some))
+            dealt, a = [], 0
+            while a < len(some):
+                one = np.searchsorted(ends, a, "right")
+                last = max(one, np.searchsorted(ends, a + SORTED, "right") - 1)
+                dealt.append((some[a : ends[last]], at + 2 if last == one else at))
+                a = ends[last]
+            left.extend(reversed(dealt))
+    return np.concatenate(parts)
+
+
 def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of `data` in order of their first `depth` bytes, by two-stage sorting.
 
@@ -152,9 +183,7 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     rising = change[np.minimum.accumulate(at[::-1])[::-1]] > 0
     small = np.flatnonzero(rising)
     padded = np.concatenate([data, np.zeros(depth, np.uint8)])  # nothing is the least
-    keys = np.lib.stride_tricks.sliding_window_view(padded, depth)[small]
-    small = small[np.argsort(np.ascontiguousarray(keys).view(f"S{depth}").ravel(), kind="stable")]
-    del keys
+    small = in_order(small, padded, depth)
     ends = np.searchsorted(data[small], np.arange(257))
     queued: list[list[np.ndarray]] = [[] for _ in range(256)]
     queued[data[-1]].append(np.array([n - 1]))
@@ -361,7 +390,7 @@ def _cut(length: int, with_text: bool):
 
 def cut_rows(docs: DataFrame, length: int, with_text: bool) -> DataFrame:
     """(row, n_bytes, n_removed, n_spans, kept or kept_sha256): all columns of docs but the text are in `row`."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     binary = utf8(F.col("text"))
     key = F.unhex(F.md5(binary))
     removed = repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), binary.alias("text")), length)

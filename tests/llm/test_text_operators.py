@@ -205,3 +205,33 @@ def test_workers_let_go_of_the_tokenizer_when_another_operator_begins():
     list(suffix_dedup._anchors(200)(iter([])))
     gc.collect()
     assert words() is None
+
+
+@pytest.mark.parametrize("most", [1 << 14, 8])
+def test_suffixes_are_ordered_in_little_memory(monkeypatch, most):
+    monkeypatch.setattr(suffix_dedup, "SORTED", most)
+    rng = np.random.default_rng(10)
+    word = rng.integers(97, 123, 60)
+    for data in (rng.integers(97, 99, 500), np.tile(word, 9), np.tile([97, 98], 300), rng.integers(0, 256, 400), np.array([5])):
+        data = data.astype(np.uint8)
+        for depth in (1, 2, 3, 20):
+            order = suffix_dedup.suffix_order(data, depth)
+            assert sorted(order) == list(range(len(data)))
+            shown = [data[i : i + depth].tobytes() for i in order]
+            assert shown == sorted(shown)
+    if most > 8:
+        data = rng.integers(97, 123, 1 << 20).astype(np.uint8)
+        tracemalloc.start()
+        suffix_dedup.suffix_order(data, 200)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 64 << 20
+
+
+@pytest.mark.parametrize("operator", ["suffix_dedup", "ngram_join"])
+def test_texts_reach_tasks_in_small_batches(spark, operator):
+    docs = spark.createDataFrame([(i, f"{i} " + "word " * 40_000) for i in range(40)], "doc_id long, text string").coalesce(1)
+    module = {"suffix_dedup": suffix_dedup, "ngram_join": ngram_join}[operator]
+    made = module.remove_repeats(docs) if operator == "suffix_dedup" else module.jaccard_classes(docs, 5, 80)
+    sizes = docs.mapInArrow(lambda parts: (pa.RecordBatch.from_arrays([pa.array([p.nbytes])], names=["n"]) for p in parts), "n long")
+    assert made.count() == 40 and max(r.n for r in sizes.collect()) < 4 << 20
