@@ -1,9 +1,8 @@
-"""Which words set the sources of a language apart, counted by chunks of text between white space.
+"""Which words set the sources of a language apart.
 
-Documents are counted by chunk first: the same chunk of one group (a language's source) is one row with its occurrences,
-its documents, and the least and greatest row number of these. Each chunk of the corpus is then split into terms once, and
-the terms are joined back to the counts. A chunk found in three documents of a group decides its terms at once; the
-documents of rarer chunks are just its two row numbers, so distinct documents are counted over few narrow rows.
+Tasks count the terms of each group (a language's source): how often each occurs, and in how many documents. A document
+is in one group, so the documents of a language that have a term are the sum over its groups. Counts of a term meet once,
+by term and language, where rare terms go and the language's own count is known.
 
 A source's share p of a term and another's share q give floor((p - q)^2 / q). The sum over all kept terms, for each pair
 of sources, is split: terms that neither or only one of them has depend on few numbers, and only terms that both have
@@ -17,39 +16,51 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, batches, bounded, small_batches, utf8
+from .common import LOWER, Scratch, batches, bounded, small_batches, utf8
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# lower-cases A-Z and leaves a-z and what is not ASCII; the bytes of [\x00-\x40\x5B-\x60\x7B-\x7F] become spaces
+TERM_BYTES = bytes(LOWER[i] if i > 127 or chr(i).isalpha() else 32 for i in range(256))
 SCALE = 1_000_000_000
 PAIRS = 1 << 20  # pairs of sources folded at once
 COUNTED_BYTES = 16 << 20
+HELD_ROWS = 1 << 20  # counts that a task holds before they go on
 
 
-def _chunks(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the chunks of each group of rows; an empty chunk stands for the group itself."""
+def _summed(held: list[pa.Table]) -> pa.Table:
+    made = pa.concat_tables(held).group_by(["g", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+    return made.select(["g", "term", "n_sum", "docs_sum"]).rename_columns(["g", "term", "n", "docs"]).combine_chunks()
+
+
+def _terms(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the terms of each group of rows, and of the rows that have them; a term may come again."""
+    held: list[pa.Table] = []
+
+    def passed() -> Iterator[pa.RecordBatch]:
+        yield from (t.set_column(1, "term", t.column("term").cast(pa.string())) for x in held for t in x.to_batches(max_chunksize=100_000))
+        held.clear()
+
     for part in parts:
         for start, texts in batches(part.column("text"), COUNTED_BYTES):
-            chunks, counts, sizes = [], [], []
+            terms, counts, sizes = [], [], []
             for text in texts:
-                own = Counter(text.split())  # bytes are split at ASCII white space only
-                chunks.extend(own)
+                own = Counter(text.translate(TERM_BYTES).split())
+                terms.extend(own)
                 counts.extend(own.values())
                 sizes.append(len(own))
             each = pa.array(np.repeat(np.arange(start, start + len(texts)), sizes))
-            made = pa.table({
-                "g": part.column("g").take(each), "chunk": pa.array(chunks, pa.binary()),
-                "n": pa.array(counts, pa.int64()), "row": part.column("row").take(each),
-            }).group_by(["g", "chunk"], use_threads=False).aggregate(
-                [("n", "sum"), ("n", "count"), ("row", "min"), ("row", "max")]).combine_chunks()
-            out = pa.table({
-                "g": made.column("g"), "chunk": made.column("chunk").cast(pa.string()), "n": made.column("n_sum"),
-                "docs": made.column("n_count"), "least": made.column("row_min"), "most": made.column("row_max"),
-            })
-            yield from out.to_batches(max_chunksize=100_000)
+            n = pa.array(counts, pa.int64())
+            held.append(_summed([pa.table({"g": part.column("g").take(each), "term": pa.array(terms, pa.binary()), "n": n,
+                                           "docs": pa.array(np.ones(len(n), np.int64))})]))
+            if sum(map(len, held)) >= HELD_ROWS:
+                held[:] = [_summed(held)]
+                if len(held[0]) >= HELD_ROWS // 2:
+                    yield from passed()
+    if len(held) > 1:
+        held[:] = [_summed(held)]
+    yield from passed()
 
 
 def group_numbers(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -59,40 +70,21 @@ def group_numbers(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.put(numbered.select("g", F.min("g").over(Window.partitionBy("lang")).alias("l"), "lang", "source"), "numbers")
 
 
-def chunk_counts(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """(g, chunk, n, docs, least, most) of docs (text, lang, source); row numbers follow the files of docs."""
-    small_batches(docs.sparkSession)
-    rows = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")), utf8(F.col("text")).alias("text"),
-                       F.monotonically_increasing_id().alias("row"))
-    numbered = rows.join(bounded(groups), ["lang", "source"]).select("g", "row", "text")
-    counted = numbered.mapInArrow(_chunks, "g long, chunk string, n long, docs long, least long, most long")
-    return counted.groupBy("g", "chunk").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("least").alias("least"), F.max("most").alias("most"))
-
-
-def terms_of(chunk: Column) -> Column:
-    """The terms of a text, lower-cased A-Z."""
-    return F.regexp_extract_all(F.translate(chunk, UPPER, LOWERED), F.lit(TERM), F.lit(0))
-
-
-def term_counts(chunks: DataFrame) -> DataFrame:
-    """(g, term, n, docs, least, most): terms joined to the counts of their chunks, one row for each chunk."""
-    dictionary = chunks.select("chunk").distinct().select(
-        "chunk", F.explode(terms_of(F.col("chunk"))).alias("term")).groupBy("chunk", "term").agg(F.count("*").alias("times"))
-    return chunks.join(dictionary, "chunk").select("g", "term", (F.col("n") * F.col("times")).alias("n"), "docs", "least", "most")
+def kept_terms(docs: DataFrame, groups: DataFrame, least_docs: int = 3) -> DataFrame:
+    """(l, g, term, n, all_n, once) of docs (text, lang, source): counts of terms in at least `least_docs` documents of the language.
 
-
-def kept_terms(terms: DataFrame, least_docs: int = 3) -> DataFrame:
-    """(l, term) of terms (l, term, docs, least, most) in at least `least_docs` (1, 2 or 3) documents of the language.
-
-    Up to two documents of a chunk are known by their row numbers; more than two decide by themselves.
+    all_n is the term's count in the language; once marks one row of each language's term.
     """
-    if least_docs not in (1, 2, 3):
-        raise ValueError("least_docs is 1, 2 or 3: two row numbers tell up to two documents apart")
-    some = F.when(F.col("docs") < 3, F.array_distinct(F.array("least", "most"))).otherwise(F.array(F.lit(None).cast("long")))
-    rows = terms.select("l", "term", "docs", F.explode(some).alias("row"))
-    return rows.groupBy("l", "term").agg(F.max("docs").alias("docs"), F.count_distinct("row").alias("rows")).where(
-        (F.col("docs") >= least_docs) | (F.col("rows") >= least_docs)).select("l", "term")
+    small_batches(docs.sparkSession)
+    rows = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")), utf8(F.col("text")).alias("text"))
+    numbered = rows.join(bounded(groups), ["lang", "source"]).select("g", "text")
+    counted = numbered.mapInArrow(_terms, "g long, term string, n long, docs long").join(bounded(groups.select("g", "l")), "g")
+    # tasks have summed them already, so they are dealt out as they are
+    each = counted.repartition("term", "l").groupBy("term", "l", "g").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    language = Window.partitionBy("term", "l")
+    return each.select(
+        "l", "g", "term", "n", F.sum("n").over(language).alias("all_n"), F.sum("docs").over(language).alias("docs"),
+        (F.min("g").over(language) == F.col("g")).alias("once")).where(F.col("docs") >= least_docs).drop("docs")
 
 
 def _share(count: str, total: str, kept: str) -> str:
@@ -180,29 +172,21 @@ def source_divergence(docs: DataFrame, least_docs: int = 3, terms_each: int = 20
     """
     scratch = Scratch(docs.sparkSession, "divergence")
     numbers = group_numbers(docs, scratch)
-    chunks = scratch.put(chunk_counts(docs, numbers), "chunks")
-    terms = scratch.put(term_counts(chunks).join(bounded(numbers.select("g", "l")), "g"), "terms")
-    scratch.drop("chunks")
-    kept = scratch.put(kept_terms(terms, least_docs), "kept")
-    counts = scratch.put(terms.groupBy("l", "g", "term").agg(F.sum("n").alias("n")).join(kept, ["l", "term"]), "counts")
-    scratch.drop("terms")
-    sizes = kept.groupBy("l").agg(F.count("*").alias("kept"))
-    totals = counts.groupBy("g").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
-    zero = F.lit(0).cast("long")
-    groups = numbers.join(totals, "g", "left").join(sizes, "l", "left").select(
-        "l", "g", "lang", "source", *(F.coalesce(c, zero).alias(c) for c in ("total", "own", "kept")))
+    counts = scratch.put(kept_terms(docs, numbers, least_docs), "counts")
+    totals = counts.groupBy("g").agg(F.sum("n").alias("total"), F.count("*").alias("own"), F.count_if("once").alias("firsts"))
+    language = Window.partitionBy("l")
+    groups = numbers.join(totals, "g", "left").na.fill(0, ["total", "own", "firsts"]).select(
+        "l", "g", "lang", "source", "total", "own", F.sum("firsts").over(language).alias("kept"), F.sum("total").over(language).alias("all_total"))
     groups = scratch.put(groups.withColumn("p0", F.expr(f"if(kept = 0, null, {_share('0', 'total', 'kept')})")), "totals")
-    whole = counts.groupBy("l", "term").agg(F.sum("n").alias("all_n"))
-    wholes = groups.groupBy("l").agg(F.sum("total").alias("all_total"))
-    shares = scratch.put(counts.join(bounded(groups.select("g", "p0", "total", "kept")), "g").select(
-        "l", "g", "term", "p0", F.expr(_share("n", "total", "kept")).alias("p")), "shares")
-    asked = whole.join(wholes, "l").join(sizes, "l").select("l", "term", F.expr(_share("all_n", "all_total", "kept")).alias("q"))
+    shares = scratch.put(counts.join(bounded(groups.select("g", "p0", "total", "kept", "all_total")), "g").select(
+        "l", "g", "term", "p0", F.expr(_share("n", "total", "kept")).alias("p"), F.expr(_share("all_n", "all_total", "kept")).alias("q")), "shares")
+    scratch.drop("counts")
     named = groups.select("g", "lang", "source")
     pairs = _pair_values(groups, shares).join(named, "g").join(
         named.select(F.col("g").alias("other"), F.col("source").alias("item")), "other")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
     inner = Window.partitionBy("g").orderBy(F.desc("value"), "item")
-    telling = shares.join(asked, ["l", "term"]).where("p > q").select("g", F.col("term").alias("item"), F.expr(_distance("p", "q")).alias("value"))
+    telling = shares.where("p > q").select("g", F.col("term").alias("item"), F.expr(_distance("p", "q")).alias("value"))
     first = telling.withColumn("rank", F.row_number().over(inner)).where(F.col("rank") <= terms_each)
     return ranked.union(first.join(named, "g").select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))

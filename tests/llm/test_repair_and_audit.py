@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from plumbline.llm import conversation_repair, divergence, prefix_trees
@@ -229,3 +230,25 @@ def test_dense_and_sparse_sums_agree():
     at = np.cumsum(sizes) - sizes
     want = [(a + x, a + y) for a, n in zip(at, sizes) for x, y in itertools.product(range(n), repeat=2)]
     assert sorted(zip(left.tolist(), right.tolist())) == sorted((int(a), int(b)) for a, b in want)
+
+
+def test_a_task_counts_each_term_once(monkeypatch):
+    texts = [b"Rare, rare. (RARE) x1y", b"rare \xc3\x89t\xc3\xa9!", b"", b"-- 12 x", b"foo_foo@x"] * 3
+    part = pa.RecordBatch.from_arrays([pa.array([1, 1, 1, 2, 2] * 3), pa.array(texts)], names=["g", "text"])
+    empty = pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.binary())], names=["g", "text"])
+    want = {(1, "rare"): (24, 12), (1, "x"): (6, 6), (1, "y"): (6, 6), (1, "Ét\xe9"): (6, 6), (2, "x"): (12, 12), (2, "foo"): (12, 6)}
+    for held in (1 << 20, 1):
+        monkeypatch.setattr(divergence, "HELD_ROWS", held)
+        rows = [tuple(r.values()) for b in divergence._terms(iter([part, empty, part])) for r in b.to_pylist()]
+        sums = defaultdict(lambda: (0, 0))
+        for g, term, n, docs in rows:
+            sums[g, term] = (sums[g, term][0] + n, sums[g, term][1] + docs)
+        assert sums == want
+        assert held == 1 or len(rows) == len(want)
+
+
+def test_terms_in_more_than_three_documents(spark):
+    rows = [(i, f"all{'' if i else ' none'} {'some' * (i % 2)}", "xx", f"q{i % 3}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = divergence.source_divergence(docs, least_docs=5, terms_each=20).collect()
+    assert Counter((r.lang, r.source, r.part, r.item, r.value, r.rank) for r in got) == Counter(audited([r[1:] for r in rows], 5, 20))
