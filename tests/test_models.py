@@ -13,7 +13,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
-from plumbline.config import BAYES, SEARCH, BayesianRidgeConfig
+from plumbline.config import BAYES, LEARNERS, SEARCH, BayesianRidgeConfig
 from plumbline.operators import blocks, metrics, residuals
 from plumbline.operators.bayes_ridge import BayesianRidge
 from plumbline.operators.encoders import TargetEncoder
@@ -340,3 +340,22 @@ def test_kernel_shap_query_builds_its_rows_once(spark, monkeypatch):
     with pytest.raises(Seen) as found:
         catalog_models.kernel_shap_importance(spark, "/root/testdata/sf0.001")
     assert found.value.args[0] == []
+
+
+class Asked(Exception):
+    """What a query asks for, raised before the work begins."""
+
+
+def test_ensemble_performance_has_all_trees(spark, monkeypatch):
+    def learners(df, id_cols, target, params=None, **options):
+        raise Asked(dict(base_learners(target, params)))
+
+    monkeypatch.setattr(catalog_models, "train", learners)
+    monkeypatch.setattr(catalog_models, "valuation_frame", lambda *_: None)
+    with pytest.raises(Asked) as asked:
+        catalog_models.ensemble_performance(spark, "")
+    found = asked.value.args[0]
+    for name in ("gbt_a", "gbt_b"):
+        assert found[name].getMaxIter() == getattr(LEARNERS, name)["maxIter"] == 1000
+    assert found["rf"].getNumTrees() == LEARNERS.rf["numTrees"] == 500
+    assert found["rf"].getMaxDepth() == LEARNERS.rf["maxDepth"]
