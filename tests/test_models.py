@@ -359,3 +359,24 @@ def test_ensemble_performance_has_all_trees(spark, monkeypatch):
         assert found[name].getMaxIter() == getattr(LEARNERS, name)["maxIter"] == 1000
     assert found["rf"].getNumTrees() == LEARNERS.rf["numTrees"] == 500
     assert found["rf"].getMaxDepth() == LEARNERS.rf["maxDepth"]
+
+
+def test_search_summary_has_all_trials(spark, monkeypatch):
+    def studies(search, rows, learners):
+        raise Asked(search, learners)
+
+    monkeypatch.setattr(RandomSearch, "optimize_all", studies)
+    with pytest.raises(Asked) as asked:
+        catalog_models.best_trials(spark, "/root/testdata/sf0.001")
+    search, learners = asked.value.args
+    assert learners == ["gbt_a", "gbt_b"]
+    assert search.n_trials == SEARCH.n_trials == 100
+    assert search.spaces == SPACES and search.folds == 5
+    assert search.timeout == math.inf
+
+
+def test_a_study_without_a_time_bound_grows_every_tree(spark, linear_data):
+    space = {"gbt_a": {"n_estimators": Whole(4, 4), "learning_rate": Whole(1, 1), "max_depth": Whole(2, 2)}}
+    search = RandomSearch(FEATURES, "y", ["id"], n_trials=12, folds=2, spaces=space, timeout=math.inf)
+    search.optimize(linear_data, "gbt_a")
+    assert [(t.number, t.folds) for t in search.results] == [(n, 2) for n in range(12)]
