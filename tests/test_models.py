@@ -21,6 +21,7 @@ from plumbline.operators.learners import ColumnRegressor, base_learner, base_lea
 from plumbline.operators.search import SPACES, RandomSearch, Whole, search_summary, spark_params
 from plumbline.operators.stacking import StackedModel, StackedRegressor, cross_validate
 from plumbline.plans import catalog_models, recipes
+from plumbline.session import stored
 from plumbline.streaming.score import score_files
 
 SMALL = {"gbt_a": {"maxIter": 3}, "gbt_b": {"maxIter": 3, "minInstancesPerNode": 2}, "rf": {"numTrees": 4, "maxDepth": 5}}
@@ -380,3 +381,29 @@ def test_a_study_without_a_time_bound_grows_every_tree(spark, linear_data):
     search = RandomSearch(FEATURES, "y", ["id"], n_trials=12, folds=2, spaces=space, timeout=math.inf)
     search.optimize(linear_data, "gbt_a")
     assert [(t.number, t.folds) for t in search.results] == [(n, 2) for n in range(12)]
+
+
+def test_preparation_makes_its_rows_once(spark):
+    """The search of the split, the fills, the trim and both parts read written rows."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            made.add(len(part))
+            yield part
+
+    rows = spark.range(60).selectExpr("id", "id * 1.5D as y", "IF(id % 7 = 0, NULL, id * 1.0D) as x", "CAST(id % 3 AS STRING) as t")
+    train, test, _ = recipes.preprocess(rows.mapInPandas(counted, rows.schema), ["id"], "y")
+    assert (train.count(), test.count()) == (48, 12)
+    assert made.value == 60
+    assert sorted(r["id"] for r in train.unionByName(test).collect()) == list(range(60))
+
+
+def test_stored_rows_keep_names_types_and_values(spark):
+    rows = spark.sql("SELECT 1 AS a, 'x' AS `A b`, CAST('NaN' AS DOUBLE) AS `a.c` UNION ALL SELECT NULL, NULL, -0.0D")
+    rows = rows.select("a", F.col("A b").alias("A"), F.col("`a.c`"))  # names that differ by case, and one with a dot
+    held = stored(rows)
+    assert [(f.name, f.dataType) for f in held.schema] == [(f.name, f.dataType) for f in rows.schema]
+    assert sorted(map(str, held.collect())) == sorted(map(str, rows.collect()))
+    assert stored(spark.sql("SELECT 1 AS a, NULL AS b")).collect() == [(1, None)]  # no type that Parquet has
+    assert held.inputFiles() and stored(rows.limit(0)).columns == rows.columns
