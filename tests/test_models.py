@@ -407,3 +407,24 @@ def test_stored_rows_keep_names_types_and_values(spark):
     assert sorted(map(str, held.collect())) == sorted(map(str, rows.collect()))
     assert stored(spark.sql("SELECT 1 AS a, NULL AS b")).collect() == [(1, None)]  # no type that Parquet has
     assert held.inputFiles() and stored(rows.limit(0)).columns == rows.columns
+
+
+def test_saved_model_scores_makes_its_frame_once(spark, monkeypatch):
+    def seen(df, *_, **options):
+        raise Asked(df.inputFiles(), options["held"])
+
+    monkeypatch.setattr(catalog_models, "train", seen)
+    with pytest.raises(Asked) as asked:
+        catalog_models.saved_model_scores(spark, "/root/testdata/sf0.001")
+    files, held = asked.value.args
+    assert held and files and all("/stored-" in f for f in files)
+
+
+def test_edges_of_many_features_are_those_of_each(spark):
+    wide = spark.range(500).select(*[(F.xxhash64("id", F.lit(i)) % (10 if i % 2 else 300)).cast("double").alias(f"f{i}") for i in range(130)])
+    names = wide.columns
+    edges = blocks.fit_bins(wide, names, 32, "v").state["edges"]
+    for i in (0, 1, 98, 99, 100, 101, 129):
+        assert edges[i] == blocks.fit_bins(wide, [names[i]], 32, "v").state["edges"][0]
+    empty = wide.withColumn("f0", F.lit(None).cast("double")).filter("f1 > 99")
+    assert blocks.fit_bins(empty, ["f0", "f1"], 32, "v").state["edges"] == [[], []]
